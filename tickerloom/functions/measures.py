@@ -25,9 +25,23 @@ def spread_bps(spread: Column, vwap: Column) -> Column:
     return F.round(ratio(spread, vwap) * 10_000, 1)
 
 
+def width_micros(duration: str) -> Column:
+    """Length of a duration such as ``5 minutes``; folded to a constant."""
+    return F.unix_micros(F.expr(f"TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL '{duration}'"))
+
+
 def window_start(event_time: Column, duration: str) -> Column:
-    """Start of the epoch-aligned tumbling window that holds ``event_time``."""
-    return F.window(event_time, duration)["start"]
+    """Start of the epoch-aligned tumbling window that holds ``event_time``.
+
+    Equals ``window(event_time, duration).start``; as plain arithmetic it adds no
+    filter of its own and nothing to compute per row but one remainder.
+    """
+    micros = F.unix_micros(event_time)
+    return F.timestamp_micros(micros - F.pmod(micros, width_micros(duration)))
+
+
+def window_end(start: Column, duration: str) -> Column:
+    return F.timestamp_micros(F.unix_micros(start) + width_micros(duration))
 
 
 def in_regular_session(event_time: Column, zone: str = "America/New_York") -> Column:

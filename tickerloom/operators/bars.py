@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import BAR_COLUMNS, BOUND_COLUMNS, THRESHOLD_PCT
-from tickerloom.functions.measures import percent, ratio, window_start
+from tickerloom.functions.measures import percent, ratio, window_end, window_start
 
 
 def _by_window(trades: DataFrame, duration: str, measures: list[Column]) -> DataFrame:
@@ -29,8 +29,7 @@ def _by_window(trades: DataFrame, duration: str, measures: list[Column]) -> Data
         trades.filter(F.col("event_time").isNotNull())
         .groupBy(start, "ticker")
         .agg(*measures)
-        # A window start lies on the grid, so its own window is the same window.
-        .withColumn("window_end", F.window("window_start", duration)["end"])
+        .withColumn("window_end", window_end(F.col("window_start"), duration))
     )
 
 

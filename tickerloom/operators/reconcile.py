@@ -19,7 +19,10 @@ def batch_bars(
     used = ["trade_id", "ticker", "event_time", "price", "quantity"]
     extra = [c for c in order_by or [] if c not in used]
     start = window_start(F.col("event_time"), duration).alias("window_start")
-    return dedup(trades.select(*used, *extra), order_by=order_by).groupBy(start, "ticker").agg(
+    once = dedup(
+        trades.filter(F.col("event_time").isNotNull()).select(*used, *extra), order_by=order_by
+    )
+    return once.groupBy(start, "ticker").agg(
         ratio(F.sum(F.col("price") * F.col("quantity")), F.sum("quantity")).alias("batch_vwap"),
         F.count("trade_id").alias("batch_trade_count"),
         F.sum("quantity").alias("batch_volume"),
