@@ -2,22 +2,36 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import UNIVERSE, WAREHOUSE_COLUMNS
-from tickerloom.plans.publish import GateClosed, publish
+from tickerloom.plans.publish import GateClosed, LoadIncomplete, publish
 from tickerloom.plans.reports import health_report
 from tickerloom.sinks.files import export_tables
 from tickerloom.sinks.versioned import (
     SchemaMismatch,
     as_of,
     history,
+    stream_batches,
     version_growth,
     write_batch,
 )
-from tickerloom.sinks.warehouse import staged_files_sink, warehouse_rows
+from tickerloom.sinks.warehouse import JdbcSink, StagedFilesSink, warehouse_rows
 from tickerloom.sources.tables import TableMissing, read_table, read_tables, require_tables
 
 ALL = [{"ticker": t} for t in UNIVERSE]
 
 
+class Recorder:
+    """A sink that remembers what was loaded."""
+
+    def __init__(self, found=25):
+        self.loaded, self.found = [], found
+
+    def load(self, df, table):
+        self.loaded.append(table)
+
+    def count(self, spark, table):
+        return self.found
+
+
 def numbers(spark, start, end):
     return spark.range(start, end).select("id", (F.col("id") * 1.5).alias("price"))
 
@@ -60,6 +74,16 @@ def test_schema_is_enforced(spark, tmp_path):
     assert rows == {7: 2.5, 8: None}
 
 
+def test_a_stream_of_other_columns_is_refused_at_the_start(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_batch(numbers(spark, 0, 3), 0, path)
+    source = str(tmp_path / "in")
+    spark.range(3).select("id", F.lit("x").alias("price")).write.parquet(source)
+    stream = spark.readStream.schema("id bigint, price string").parquet(source)
+    with pytest.raises(SchemaMismatch):
+        stream_batches(stream, path, str(tmp_path / "state"))
+
+
 def test_missing_tables(spark, tmp_path):
     numbers(spark, 0, 3).write.parquet(str(tmp_path / "here"))
     paths = {"here": str(tmp_path / "here"), "gone": str(tmp_path / "gone")}
@@ -108,7 +132,7 @@ def test_warehouse_rows_need_utc(make_bars, spark):
 
 
 def test_publish(spark, tmp_path, make_bars):
-    sink = staged_files_sink(str(tmp_path))
+    sink = StagedFilesSink(str(tmp_path))
     bars = make_bars(*ALL)
     assert publish(bars, bars, sink) == {"VWAP_1MIN": "loaded", "VWAP_5MIN": "loaded"}
     assert publish(bars, bars, sink)["VWAP_1MIN"] == "loaded"
@@ -119,8 +143,21 @@ def test_publish(spark, tmp_path, make_bars):
 
 
 def test_nothing_is_published_when_a_check_fails(make_bars):
-    loaded = []
+    sink = Recorder()
     with pytest.raises(GateClosed):
-        publish(make_bars(*ALL, {"vwap": None}), make_bars(*ALL),
-                lambda df, table: loaded.append(table))
-    assert loaded == []
+        publish(make_bars(*ALL, {"vwap": None}), make_bars(*ALL), sink)
+    assert sink.loaded == []
+
+
+def test_a_load_that_doubles_rows_is_noticed(make_bars):
+    with pytest.raises(LoadIncomplete, match="VWAP_1MIN: sent 25 rows, found 26"):
+        publish(make_bars(*ALL), make_bars(*ALL), Recorder(found=26))
+
+
+def test_jdbc_sink_needs_a_driver(spark, make_bars):
+    """No database is started here: the options are checked up to the driver lookup."""
+    sink = JdbcSink("jdbc:nosuch:db", {"user": "u"})
+    with pytest.raises(Exception, match="No suitable driver"):
+        sink.load(warehouse_rows(make_bars({})), "VWAP_1MIN")
+    with pytest.raises(Exception, match="No suitable driver"):
+        sink.count(spark, "VWAP_1MIN")

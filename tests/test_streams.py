@@ -11,7 +11,7 @@ from tickerloom.operators.quality import lateness_audit
 from tickerloom.operators.trades import enrich
 from tickerloom.session import recommended_conf
 from tickerloom.sinks.versioned import as_of, history, stream_batches
-from tickerloom.sinks.warehouse import staged_files_sink
+from tickerloom.sinks.warehouse import StagedFilesSink
 from tickerloom.sources.messages import captured_messages, parse_trades, topic_messages
 from tickerloom.streaming.queries import (
     AVAILABLE_NOW,
@@ -235,7 +235,7 @@ def test_scheduled_run(spark, tmp_path):
     write_messages(spark, folder, 0, rows)
     done = run_once(
         captured_messages(spark, folder), f"{tmp_path}/tables", f"{tmp_path}/state",
-        staged_files_sink(f"{tmp_path}/warehouse"), universe=["A", "B"],
+        StagedFilesSink(f"{tmp_path}/warehouse"), universe=["A", "B"],
     )
     assert done == {"VWAP_1MIN": "loaded", "VWAP_5MIN": "loaded"}
     assert spark.read.parquet(f"{tmp_path}/warehouse/VWAP_5MIN").count() == 2

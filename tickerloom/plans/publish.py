@@ -26,11 +26,23 @@ def require_quality(checks: DataFrame) -> None:
         raise GateClosed(failed)
 
 
+class LoadIncomplete(RuntimeError):
+    """The target does not hold the rows that were sent; load again."""
+
+
 def load_table(bars: DataFrame, table: str, sink: Sink) -> str:
-    """Replace one warehouse table; an empty source leaves the target as it is."""
-    if bars.isEmpty():
+    """Replace one warehouse table; an empty source leaves the target as it is.
+
+    The target is counted afterwards. A mismatch, as a task repeated after an
+    executor was lost can leave it, is an error; the load is safe to repeat.
+    """
+    sent = bars.count()
+    if sent == 0:
         return "skipped"
-    sink(warehouse_rows(bars), table)
+    sink.load(warehouse_rows(bars), table)
+    found = sink.count(bars.sparkSession, table)
+    if found != sent:
+        raise LoadIncomplete(f"{table}: sent {sent} rows, found {found}")
     return "loaded"
 
 

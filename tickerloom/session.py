@@ -20,6 +20,8 @@ def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # Recording the call site of every expression doubles the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         # Window state outgrows the executor heap with many symbols.
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

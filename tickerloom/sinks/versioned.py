@@ -36,14 +36,20 @@ def schema_problems(stored: StructType, incoming: StructType) -> list[str]:
     return problems
 
 
-def fit_to_table(df: DataFrame, path: str) -> DataFrame:
+def stored_schema(spark: SparkSession, path: str) -> StructType | None:
+    """Columns of the stored table without the batch column; ``None`` if there is none."""
+    try:
+        return read_table(spark, path).drop(BATCH).schema
+    except TableMissing:
+        return None
+
+
+def fit_to_schema(df: DataFrame, stored: StructType | None) -> DataFrame:
     """``df`` in the stored column order, absent columns as NULL.
 
     Raises ``SchemaMismatch`` before anything is written. A new table takes any schema.
     """
-    try:
-        stored = read_table(df.sparkSession, path).drop(BATCH).schema
-    except TableMissing:
+    if stored is None:
         return df
     problems = schema_problems(stored, df.schema)
     if problems:
@@ -55,11 +61,9 @@ def fit_to_table(df: DataFrame, path: str) -> DataFrame:
     ])
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write ``df`` as batch ``batch_id``, replacing that batch if it exists."""
+def _replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
     (
-        fit_to_table(df, path)
-        .withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH)
@@ -67,15 +71,28 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
+def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """Write ``df`` as batch ``batch_id``, replacing that batch if it exists."""
+    _replace_batch(fit_to_schema(df, stored_schema(df.sparkSession, path)), batch_id, path)
+
+
 def stream_batches(
     stream: DataFrame,
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Write a stream as versioned batches."""
+    """Write a stream as versioned batches.
+
+    A running stream cannot change its columns, so they are compared with the table
+    once, at the start. A micro-batch never lists the partitions written before it.
+    """
+    stored = stored_schema(stream.sparkSession, path)
+    fit_to_schema(stream, stored)
     return (
-        stream.writeStream.foreachBatch(lambda df, n: write_batch(df, n, path))
+        stream.writeStream.foreachBatch(
+            lambda df, batch_id: _replace_batch(fit_to_schema(df, stored), batch_id, path)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from dataclasses import dataclass, field
+from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
 from tickerloom.fixed_values import WAREHOUSE_COLUMNS
 
-# (frame, target table) -> None; replaces the table's contents.
-Sink = Callable[[DataFrame, str], None]
-
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -37,33 +35,64 @@ def warehouse_rows(bars: DataFrame, loaded_at: Column | None = None) -> DataFram
     return bars.select(*[shaped(n.lower()) for n in WAREHOUSE_COLUMNS], stamp.alias("_LOADED_AT"))
 
 
-def jdbc_sink(
-    url: str, properties: dict[str, str] | None = None, connections: int = 16
-) -> Sink:
+class Sink(Protocol):
+    """A place for warehouse tables."""
+
+    def load(self, df: DataFrame, table: str) -> None:
+        """Replace the contents of ``table``."""
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        """Rows in ``table`` now."""
+
+
+@dataclass(frozen=True)
+class JdbcSink:
     """Truncate-and-load through JDBC, straight from the executors.
 
     ``connections`` limits parallel sessions on the warehouse. ``truncate`` keeps
-    the target's own column types and grants.
+    the target's own column types and grants. Each partition is one transaction,
+    but a task that is run again after its commit inserts its rows again; compare
+    ``count`` with what was sent.
     """
-    def load(df: DataFrame, table: str) -> None:
+
+    url: str
+    properties: dict[str, str] = field(default_factory=dict)
+    connections: int = 16
+
+    def _options(self) -> dict[str, str]:
+        return {"url": self.url, **self.properties}
+
+    def load(self, df: DataFrame, table: str) -> None:
         (
             df.write.format("jdbc")
-            .option("url", url)
+            .options(**self._options())
             .option("dbtable", table)
             .option("truncate", True)
-            .option("numPartitions", connections)
+            .option("numPartitions", self.connections)
             .option("batchsize", 10_000)
-            .options(**(properties or {}))
             .mode("overwrite")
             .save()
         )
 
-    return load
+    def count(self, spark: SparkSession, table: str) -> int:
+        """Counted by the warehouse."""
+        reader = spark.read.format("jdbc").options(**self._options())
+        asked = reader.option("query", f"SELECT count(*) AS n FROM {table}")
+        return int(asked.load().collect()[0][0])
 
 
-def staged_files_sink(folder: str, fmt: str = "parquet") -> Sink:
+@dataclass(frozen=True)
+class StagedFilesSink:
     """Replace ``folder/table`` with files for the warehouse's own bulk load."""
-    def load(df: DataFrame, table: str) -> None:
-        df.write.format(fmt).mode("overwrite").save(f"{folder.rstrip('/')}/{table}")
 
-    return load
+    folder: str
+    fmt: str = "parquet"
+
+    def _path(self, table: str) -> str:
+        return f"{self.folder.rstrip('/')}/{table}"
+
+    def load(self, df: DataFrame, table: str) -> None:
+        df.write.format(self.fmt).mode("overwrite").save(self._path(table))
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        return spark.read.format(self.fmt).load(self._path(table)).count()
