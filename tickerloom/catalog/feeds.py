@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, TimestampType
 
 from tickerloom.operators.trades import enrich
-from tickerloom.session import use_utc
+from tickerloom.session import prepare
 from tickerloom.sources.tables import read_table
 
 EVENTS = """
@@ -49,12 +49,12 @@ def events_as_trades(events: DataFrame) -> DataFrame:
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
-    return read_table(use_utc(spark), f"{sf}/events.parquet", schema=EVENTS)
+    return read_table(prepare(spark), f"{sf}/events.parquet", schema=EVENTS)
 
 
 def events_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The event table as a file stream; the glob fits one file and a folder alike."""
-    return use_utc(spark).readStream.schema(EVENTS).parquet(f"{sf}/events.parquet*")
+    return prepare(spark).readStream.schema(EVENTS).parquet(f"{sf}/events.parquet*")
 
 
 def trades(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +72,7 @@ def order_lines(spark: SparkSession, sf: str) -> DataFrame:
 
     The part side is not hinted: it grows with the data, so its size decides.
     """
-    use_utc(spark)
+    prepare(spark)
     lines = read_table(spark, f"{sf}/lineitem.parquet", schema=LINEITEM)
     part = read_table(spark, f"{sf}/part.parquet", schema=PART)
     flag = F.col("l_returnflag")

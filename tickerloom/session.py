@@ -1,4 +1,4 @@
-"""Session helpers: settings, the UTC contract, and the shared scratch folder."""
+"""Session settings and the shared scratch folder."""
 
 from __future__ import annotations
 
@@ -8,6 +8,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings that may change while a session runs.
+RUNTIME_CONF = {
+    # Windows, session hours and warehouse text are all defined in UTC.
+    "spark.sql.session.timeZone": "UTC",
+    # Joins of trades with bars: when every partition of the bars turns out smaller
+    # than this at run time, it is hashed and the trades are not sorted.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    for name, value in RUNTIME_CONF.items():
+        spark.conf.set(name, value)
+    return spark
+
+
 def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     """Settings for a long-running cluster session.
 
@@ -16,7 +32,7 @@ def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     ``shuffle_partitions`` sized for the state, not for one micro-batch.
     """
     conf = {
-        "spark.sql.session.timeZone": "UTC",
+        **RUNTIME_CONF,
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -32,12 +48,6 @@ def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     return conf
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Windows, session rules and warehouse text are all defined in UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
-
-
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
