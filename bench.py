@@ -16,7 +16,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from tickerloom.catalog.queries import REGISTERED  # noqa: E402
+from tickerloom.catalog.queries import BUILDERS  # noqa: E402
 
 SF = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -39,7 +39,7 @@ HEADLINE = [
 def measure(spark: SparkSession, name: str) -> float:
     def run() -> float:
         started = time.perf_counter()
-        REGISTERED[name](spark, SF).write.format("noop").mode("overwrite").save()
+        BUILDERS[name](spark, SF).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - started
 
     run()

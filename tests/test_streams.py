@@ -13,6 +13,7 @@ from tickerloom.session import recommended_conf
 from tickerloom.sinks.versioned import as_of, history, stream_batches
 from tickerloom.sinks.warehouse import StagedFilesSink
 from tickerloom.sources.messages import captured_messages, parse_trades, topic_messages
+from tickerloom.sources.tables import read_trade_log
 from tickerloom.streaming.queries import (
     AVAILABLE_NOW,
     await_any,
@@ -104,6 +105,16 @@ def test_bronze_keeps_everything(spark, late_run):
     assert set(log.columns) == {*BRONZE_COLUMNS, "event_date"}
 
 
+def test_the_log_is_read_by_date(spark, late_run):
+    path = f"{late_run[0]}/tables/raw_trades"
+    assert read_trade_log(spark, path).columns == BRONZE_COLUMNS
+    some = read_trade_log(spark, path, NOW, NOW + timedelta(seconds=2))
+    assert some.count() == 8  # four on time, four late, half a second apart
+    text = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in text
+    assert read_trade_log(spark, path, NOW + timedelta(days=1)).count() == 0
+
+
 def test_four_tables_and_their_columns(spark, late_run):
     base, queries = late_run
     assert set(queries) == {"raw_trades", "vwap_1min", "vwap_5min", "anomaly_alerts"}

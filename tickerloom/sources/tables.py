@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 class TableMissing(Exception):
@@ -59,3 +62,30 @@ def require_tables(
     if missing:
         raise TableMissing(", ".join(missing))
     return found
+
+
+def read_trade_log(
+    spark: SparkSession,
+    path: str,
+    start: datetime | None = None,
+    end: datetime | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """The date-partitioned event log, from ``start`` up to but not including ``end``.
+
+    The bounds are UTC. They also select the date partitions, which a filter on
+    ``event_time`` alone would not do. Without bounds, rows without an event time
+    are included.
+    """
+    log = read_table(spark, path, fmt)
+    if start is not None:
+        log = log.filter(
+            (F.col("event_date") >= F.lit(start.date()))
+            & (F.col("event_time") >= F.lit(start.isoformat(" ")).cast("timestamp"))
+        )
+    if end is not None:
+        log = log.filter(
+            (F.col("event_date") <= F.lit(end.date()))
+            & (F.col("event_time") < F.lit(end.isoformat(" ")).cast("timestamp"))
+        )
+    return log.drop("event_date")
