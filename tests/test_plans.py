@@ -52,6 +52,22 @@ def test_a_filter_on_tickers_passes_the_aggregate(spark):
     assert "EqualTo(event_type,view)" in plan(one)
 
 
+def test_each_payload_is_parsed_once(spark, tmp_path):
+    from tickerloom.operators.trades import enrich
+    from tickerloom.operators.vendor import normalize_vendor_batch
+    from tickerloom.sources.messages import parse_trades, rejected_messages
+
+    events = feeds.events(spark, SF)
+    for make, read in (
+        (feeds.trade_messages, lambda m: bars.windowed_vwap(enrich(parse_trades(m)))),
+        (feeds.trade_messages, rejected_messages),
+        (feeds.vendor_messages, lambda m: normalize_vendor_batch(m, feeds.TICKERS)),
+    ):
+        path = str(tmp_path / str(len(list(tmp_path.iterdir()))))
+        make(events).write.parquet(path)
+        assert plan(read(spark.read.parquet(path))).count("from_json") == 1
+
+
 @pytest.mark.parametrize("grid", ["1 day", None])
 def test_outlier_join_is_an_equi_join_on_sliced_keys(spark, no_broadcast, tmp_path, grid):
     trades = feeds.trades(spark, SF)

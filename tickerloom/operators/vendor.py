@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import UNIVERSE, VENDOR_BATCH
+from tickerloom.sources.messages import unpack
 
 
 def normalize_vendor_batch(
@@ -18,24 +19,22 @@ def normalize_vendor_batch(
     volume has no integer quantity and becomes NULL.
     """
     wanted = tickers if tickers is not None else UNIVERSE
-    batch = F.from_json(F.col("value").cast("string"), VENDOR_BATCH)
+    position = ["topic", "partition", "offset"]
     elements = (
-        messages.withColumn("batch", batch)
-        .filter(F.col("batch.type") == "trade")
+        messages.select(
+            *position, F.col("timestamp").alias("kafka_ingest_time"), unpack(VENDOR_BATCH)
+        )
+        .filter(F.col("type") == "trade")
         .select(
-            "topic", "partition", "offset",
-            F.col("timestamp").alias("kafka_ingest_time"),
-            F.posexplode("batch.data").alias("element", "trade"),
+            *position, "kafka_ingest_time", F.posexplode("data").alias("element", "trade")
         )
         .filter(F.col("trade.s").isin(*wanted))
     )
     volume = F.coalesce("trade.v", F.lit(0.0))
     event_time = F.timestamp_millis(F.coalesce("trade.t", F.lit(0)))
-    position = F.concat_ws(
-        "/", F.coalesce("topic", F.lit("")), "partition", "offset", "element"
-    )
+    place = F.concat_ws("/", F.coalesce("topic", F.lit("")), *position[1:], "element")
     return elements.select(
-        F.sha2(position, 256).alias("trade_id"),
+        F.sha2(place, 256).alias("trade_id"),
         F.col("trade.s").alias("ticker"),
         F.round(F.coalesce("trade.p", F.lit(0.0)), 2).alias("price"),
         F.when(volume == F.floor(volume), volume.try_cast("int")).alias("quantity"),

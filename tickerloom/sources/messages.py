@@ -7,7 +7,7 @@ operators serve a live topic, a folder of captured messages and tests.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import MESSAGE_FRAME, TRADE_MESSAGE
@@ -60,36 +60,39 @@ def keyed_text(messages: DataFrame) -> DataFrame:
     )
 
 
+def unpack(schema: str, options: dict[str, str] | None = None) -> Column:
+    """The payload's JSON fields as columns; all NULL if the payload does not fit.
+
+    A generator of one row, because a filter on a column is pushed below a plain
+    projection together with the parse: each payload would be parsed once for the
+    filter and again for the result.
+    """
+    payload = F.from_json(F.col("value").cast("string"), schema, options)
+    return F.inline(F.array(payload))
+
+
 def parse_trades(messages: DataFrame, keep_key: bool = False) -> DataFrame:
     """Payload JSON -> trade columns, plus ``kafka_ingest_time`` and ``event_time``.
 
     A payload that is not a trade object gives a row of NULLs, never an error;
     ``rejected_messages`` returns those payloads.
     """
-    kept = {"kafka_ingest_time": F.col("timestamp")}
+    named = {"kafka_ingest_time": F.col("timestamp")}
     if keep_key:
-        kept["message_key"] = F.col("key").cast("string")
-    payload = F.from_json(F.col("value").cast("string"), TRADE_MESSAGE)
-    return (
-        messages.select(payload.alias("trade"), *[c.alias(n) for n, c in kept.items()])
-        .select("trade.*", *kept)
-        .withColumn("event_time", F.try_to_timestamp("timestamp"))
-    )
+        named["message_key"] = F.col("key").cast("string")
+    parsed = messages.select(unpack(TRADE_MESSAGE), *[c.alias(n) for n, c in named.items()])
+    return parsed.withColumn("event_time", F.try_to_timestamp("timestamp"))
 
 
 def rejected_messages(messages: DataFrame) -> DataFrame:
     """Messages whose payload does not match the trade contract, with the payload."""
-    payload = F.from_json(
-        F.col("value").cast("string"),
-        TRADE_MESSAGE + ", _bad string",
-        {"columnNameOfCorruptRecord": "_bad"},
+    position = ["topic", "partition", "offset"]
+    checked = messages.select(
+        *position,
+        F.col("timestamp").alias("kafka_ingest_time"),
+        F.col("value").cast("string").alias("payload"),
+        unpack(TRADE_MESSAGE + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}),
     )
-    return (
-        messages.withColumn("trade", payload)
-        .filter(F.col("trade").isNull() | F.col("trade._bad").isNotNull()
-                | F.col("trade.trade_id").isNull())
-        .select(
-            "topic", "partition", "offset", "timestamp",
-            F.col("value").cast("string").alias("payload"),
-        )
+    return checked.filter(F.col("_bad").isNotNull() | F.col("trade_id").isNull()).select(
+        *position, "kafka_ingest_time", "payload"
     )
