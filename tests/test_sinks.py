@@ -87,8 +87,12 @@ def test_a_stream_of_other_columns_is_refused_at_the_start(spark, tmp_path):
 def test_missing_tables(spark, tmp_path):
     numbers(spark, 0, 3).write.parquet(str(tmp_path / "here"))
     paths = {"here": str(tmp_path / "here"), "gone": str(tmp_path / "gone")}
+    for schema in (None, "id bigint"):
+        with pytest.raises(TableMissing):
+            read_table(spark, paths["gone"], schema=schema)
+    (tmp_path / "empty").mkdir()
     with pytest.raises(TableMissing):
-        read_table(spark, paths["gone"])
+        read_table(spark, str(tmp_path / "empty"))
     assert read_tables(spark, paths)["gone"] is None
     with pytest.raises(TableMissing, match="gone"):
         require_tables(spark, paths)

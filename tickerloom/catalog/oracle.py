@@ -256,6 +256,13 @@ MESSAGE_COLUMNS = ", ".join([
     r4(f"CASE WHEN {GOOD} THEN price * quantity END") + " AS dollar_volume",
 ])
 
+VENDOR = f"""{with_(TRADES)}, elements AS (
+        SELECT ticker, price AS p, quantity::double AS v, event_time
+        FROM trades WHERE event_id % 10 <> 0
+        UNION ALL
+        SELECT ticker, price * 2, quantity * 2.5::double, event_time
+        FROM trades WHERE event_id % 10 <> 0)"""
+
 KEY_PLACEMENT = f"""{with_(TRADES)}, placed AS (
     SELECT ascii(ticker) % 3 AS partition, ticker, count(*) AS messages FROM trades GROUP BY 1, 2
 )"""
@@ -270,12 +277,7 @@ SQL: dict[str, str] = {
         FROM trades""",
     "rejected_payloads": """SELECT 'stock_trades' AS topic, ascii(event_type) % 3 AS partition,
         event_id AS "offset", 'partition_test' AS payload FROM events WHERE event_id % 97 = 0""",
-    "vendor_normalize": f"""{with_(TRADES)}, elements AS (
-        SELECT ticker, price AS p, quantity::double AS v, event_time
-        FROM trades WHERE event_id % 10 <> 0
-        UNION ALL
-        SELECT ticker, price * 2, quantity * 2.5::double, event_time
-        FROM trades WHERE event_id % 10 <> 0)
+    "vendor_normalize": f"""{VENDOR}
         SELECT ticker, {r4('round(p, 2)')} AS price,
                CASE WHEN v = floor(v) THEN v END AS quantity, 'UNKNOWN' AS side,
                CASE WHEN v >= 100 THEN 'round_lot' ELSE 'odd_lot' END AS trade_type,
@@ -511,6 +513,10 @@ SQL: dict[str, str] = {
     "stream_bounds_closed_windows": f"""{with_(TRADES, bars('1 day'), bounds())}
         SELECT {FULL_BOUND} FROM bounds WHERE {CLOSED}""",
     "stream_bronze": f"{with_(TRADES)} SELECT {MESSAGE_COLUMNS} FROM trades",
+    "stream_vendor_normalize": f"""{VENDOR} SELECT ticker, {r4('round(p, 2)')} AS price,
+        CASE WHEN v >= 100 THEN 'round_lot' ELSE 'odd_lot' END AS trade_type,
+        date_trunc('millisecond', event_time) AS event_time
+        FROM elements WHERE ticker IN ('click', 'purchase', 'signup', 'view')""",
     "stream_dedup": f"""{with_(TRADES)} SELECT trade_id, ticker, {r4('price')} AS price, event_time
         FROM trades""",
     "stream_versions": f"""{with_(TRADES)} SELECT ticker, count(*) AS trade_count

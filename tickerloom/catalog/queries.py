@@ -601,6 +601,16 @@ def stream_bronze(spark, sf):
     return _streamed(log, "bronze").withColumn("quantity", F.col("quantity").cast("double"))
 
 
+@query
+def stream_vendor_normalize(spark, sf):
+    """Vendor batches normalized on the stream."""
+    rows = vendor.normalize_vendor_batch(
+        feeds.vendor_messages(feeds.events_stream(spark, sf)),
+        ["click", "purchase", "signup", "view"],
+    )
+    return _streamed(rows.select("ticker", "price", "trade_type", "event_time"), "vendor")
+
+
 @query
 def stream_dedup(spark, sf):
     live = feeds.twice_delivered(feeds.events_as_trades(feeds.events_stream(spark, sf)))

@@ -9,6 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+NOTHING_STORED = {
+    "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA",  # a folder without files
+    "DELTA_TABLE_NOT_FOUND",
+    "DELTA_PATH_DOES_NOT_EXIST",
+}
+
+
 class TableMissing(Exception):
     """No table is stored at the given path."""
 
@@ -33,9 +41,7 @@ def read_table(
         return reader.load(path)
     except AnalysisException as error:
         condition = error.getCondition() or ""
-        if condition.startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")) or (
-            "PATH_NOT_FOUND" in str(error) or "DELTA_" in condition
-        ):
+        if condition in NOTHING_STORED:
             raise TableMissing(path, condition) from error
         raise
 
