@@ -126,6 +126,13 @@ def test_sector_join_has_no_shuffle(spark):
     assert "Exchange hashpartitioning" not in plan(with_sector(feeds.trades(spark, SF), sectors(spark)))
 
 
+def test_only_small_dimensions_are_hinted(spark, no_broadcast):
+    trades = feeds.trades(spark, SF)
+    dim = trades.select("ticker").distinct()
+    assert "BroadcastHashJoin" in plan(trades.join(skew.broadcast_if_small(dim), "ticker"))
+    assert "SortMergeJoin" in plan(trades.join(skew.broadcast_if_small(dim, 4), "ticker"))
+
+
 def test_skew_categories_count_tickers_once(spark):
     df = skew.ticker_skew(feeds.trades(spark, SF))
     df.collect()

@@ -13,6 +13,19 @@ SLICE_ROWS = 5_000_000
 MAX_HOT_KEYS = 100_000
 
 
+# A dimension above this many rows is joined without a broadcast.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
+
+    The check reads no more than ``max_rows + 1`` rows. A larger frame comes back
+    unchanged, and Spark picks the join by its size.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def spread_hot_keys(
     big: DataFrame,
     small: DataFrame,

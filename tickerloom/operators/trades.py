@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import BRONZE_COLUMNS
 from tickerloom.functions.measures import in_regular_session
+from tickerloom.operators.skew import broadcast_if_small
 
 
 def enrich(trades: DataFrame) -> DataFrame:
@@ -30,5 +31,5 @@ def in_session(trades: DataFrame, zone: str = "America/New_York") -> DataFrame:
 
 
 def with_sector(trades: DataFrame, sectors: DataFrame) -> DataFrame:
-    """Left join to the sector dimension; the hint is safe, it has one row per symbol."""
-    return trades.join(F.broadcast(sectors), "ticker", "left")
+    """Left join to the sector dimension, broadcast after a look at its size."""
+    return trades.join(broadcast_if_small(sectors), "ticker", "left")
