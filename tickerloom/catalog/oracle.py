@@ -263,6 +263,10 @@ VENDOR = f"""{with_(TRADES)}, elements AS (
         SELECT ticker, price * 2, quantity * 2.5::double, event_time
         FROM trades WHERE event_id % 10 <> 0)"""
 
+PERIODS = f"""{with_(TRADES)}, periods AS (
+    SELECT *, (event_time >= TIMESTAMP '2024-01-11')::bigint
+            + (event_time >= TIMESTAMP '2024-01-21')::bigint AS version FROM trades)"""
+
 KEY_PLACEMENT = f"""{with_(TRADES)}, placed AS (
     SELECT ascii(ticker) % 3 AS partition, ticker, count(*) AS messages FROM trades GROUP BY 1, 2
 )"""
@@ -358,9 +362,9 @@ SQL: dict[str, str] = {
         SELECT *, rows_after - rows_before AS new_rows,
                rows_after - distinct_ids AS raw_duplicates,
                rows_after = distinct_ids AS exactly_once_on_write
-        FROM (SELECT (SELECT count(*) FROM trades WHERE user_id % 3 <> 2) AS rows_before,
+        FROM (SELECT (SELECT count(*) FROM trades WHERE event_time < TIMESTAMP '2024-01-21') AS rows_before,
                      count(*) AS rows_after, count(DISTINCT trade_id) AS distinct_ids,
-                     (SELECT count(*) FROM trades WHERE user_id % 3 <> 2 AND trade_id NOT IN
+                     (SELECT count(*) FROM trades WHERE event_time < TIMESTAMP '2024-01-21' AND trade_id NOT IN
                          (SELECT trade_id FROM delivered)) AS lost_ids
               FROM delivered)""",
     # reconciliation
@@ -501,13 +505,13 @@ SQL: dict[str, str] = {
                sell_volume AS "SELL_VOLUME", {r4('buy_pressure::double')} AS "BUY_PRESSURE",
                {r4('avg_spread::double')} AS "AVG_SPREAD", {r4('avg_bid')} AS "AVG_BID",
                {r4('avg_ask')} AS "AVG_ASK" FROM bars""",
-    "version_history": f"""{with_(TRADES)} SELECT user_id % 3 AS version, 'append' AS operation,
-        count(*) AS rows_written FROM trades GROUP BY 1""",
-    "asof_version_counts": f"""{with_(TRADES)} SELECT ticker, count(*) AS trade_count,
-        cast(sum(quantity) AS bigint) AS total_volume FROM trades WHERE user_id % 3 <= 1
+    "version_history": f"""{PERIODS} SELECT version, 'append' AS operation,
+        count(*) AS rows_written FROM periods GROUP BY 1""",
+    "asof_version_counts": f"""{PERIODS} SELECT ticker, count(*) AS trade_count,
+        cast(sum(quantity) AS bigint) AS total_volume FROM periods WHERE version <= 1
         GROUP BY 1""",
-    "version_growth": f"""{with_(TRADES)} SELECT count(*) FILTER (user_id % 3 = 0) AS rows_then,
-        count(*) AS rows_now, count(*) FILTER (user_id % 3 <> 0) AS rows_added FROM trades""",
+    "version_growth": f"""{PERIODS} SELECT count(*) FILTER (version = 0) AS rows_then,
+        count(*) AS rows_now, count(*) FILTER (version > 0) AS rows_added FROM periods""",
     # streams
     "stream_vwap_closed_windows": f"{HOURLY} SELECT {FULL_BAR} FROM bars WHERE {CLOSED}",
     "stream_bounds_closed_windows": f"""{with_(TRADES, bars('1 day'), bounds())}

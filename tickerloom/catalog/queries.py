@@ -37,6 +37,8 @@ REGISTERED: dict[str, Query] = {}
 # Wide enough for the provided prices, whose windows vary a lot.
 BAND_PCT = 50.0
 UNIVERSE = [*feeds.TICKERS, "refund"]
+# Where the month of events is cut into three periods.
+CUTS = ["2024-01-11", "2024-01-21"]
 DEDUP_ORDER = ["event_time", "l_partkey", "l_suppkey", "quantity", "price"]
 
 
@@ -245,11 +247,10 @@ def duplicate_keys(spark, sf):
 
 @query
 def replay_audit(spark, sf):
-    """Before: two thirds of the users. After: everything, some of it twice."""
+    """Before: what had happened by the crash. After: everything, some of it twice."""
     source = feeds.trades(spark, sf)
-    return dedup.replay_audit(
-        source.filter(F.col("user_id") % 3 != 2), feeds.twice_delivered(source)
-    )
+    by_crash = F.col("event_time") < F.lit(CUTS[1]).cast("timestamp")
+    return dedup.replay_audit(source.filter(by_crash), feeds.twice_delivered(source))
 
 
 # --- reconciliation ---
@@ -542,11 +543,13 @@ def warehouse_projection(spark, sf):
 
 
 def _versions(spark: SparkSession, sf: str) -> str:
-    """Trades written as three batches, the second one written again as a replay."""
+    """Trades written as three periods, the second one written again as a replay."""
     path = scratch_path(spark, "versions")
     source = feeds.trades(spark, sf).drop("event_id")
+    first, second = (F.col("event_time") >= F.lit(cut).cast("timestamp") for cut in CUTS)
+    periods = [~first, first & ~second, second]
     for batch in (0, 1, 2, 1):
-        versioned.write_batch(source.filter(F.col("user_id") % 3 == batch), batch, path)
+        versioned.write_batch(source.filter(periods[batch]), batch, path)
     return path
 
 

@@ -26,7 +26,8 @@ def match_windows(
     ``[window_start, window_end)`` intervals: time is cut into cells, an interval
     is listed under each cell it touches, and the join is an equi join on
     (ticker, cell) with the exact interval test on top. A trade has one cell, so
-    a pair is found once. Busy windows are split, see ``spread_hot_keys``.
+    a pair is found once. Cells about as long as an interval are best: shorter ones
+    repeat the bounds, longer ones test more pairs. Busy windows are split, see ``spread_hot_keys``.
     """
     if grid is not None:
         trades = trades.withColumn("_slot", window_start(F.col("event_time"), grid))
