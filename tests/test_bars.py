@@ -101,3 +101,8 @@ def test_window_arithmetic_equals_window_function(spark, duration):
         F.window("t", duration).alias("w"),
     ).filter("s <> w.start OR e <> w.end")
     assert differing.count() == 0
+
+
+def test_durations_need_a_fixed_length(make_trades):
+    with pytest.raises(ValueError, match="fixed length"):
+        windowed_vwap(make_trades([]), "1 month")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,8 @@ def spread_bps(spread: Column, vwap: Column) -> Column:
 
 def width_micros(duration: str) -> Column:
     """Length of a duration such as ``5 minutes``; folded to a constant."""
+    if re.search(r"month|year", duration, re.IGNORECASE):
+        raise ValueError(f"{duration!r} has no fixed length; use days or shorter units")
     return F.unix_micros(F.expr(f"TIMESTAMP '1970-01-01 00:00:00Z' + INTERVAL '{duration}'"))
 
 
