@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -11,19 +13,29 @@ from pyspark.sql import functions as F
 
 from tickerloom.session import materialize, scratch_path
 
-__all__ = ["batches", "clean_text", "columns_for", "documents", "ordinals", "prefix_sums",
+__all__ = ["batches", "clean_text", "documents", "importable", "ordinals", "prefix_sums",
            "read", "stored", "scratch_path"]
 
 # Rows that one Arrow batch leaving a Python task may hold.
 BATCH_ROWS = 2048
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that run beside the driver import this package from where it lies."""
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """``doc_id`` as a long and ``text`` with NULL read as empty; other columns are dropped."""
+    importable(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        clean_text("text"), *more)
 
@@ -37,10 +49,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, label)
 
 
-def columns_for(schema: str) -> list[str]:
-    return [part.split()[0] for part in schema.split(",")]
-
-
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
     """Arrow batches of a lazy stream of row tuples."""
     held: list[tuple] = []
