@@ -18,4 +18,33 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length({_ESCAPED.format("text")}) + length(replace({_ESCAPED.format("role")}, ':', '\\:')) + 14) AS BIGINT)
     AS formatted_chars
 FROM said GROUP BY conv_id""",
+    "op4_ngram_jaccard_join": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS s
+  FROM worded
+), sized AS (
+  SELECT doc_id, s, len(s) AS n, md5(array_to_string(list_sort(s), chr(1))) AS k FROM sets
+), reps AS (
+  SELECT k, min(doc_id) AS r, any_value(s) AS s, any_value(n) AS n FROM sized WHERE n > 0 GROUP BY k
+), grams AS (
+  SELECT r, n, unnest(s) AS g FROM reps
+), pairs AS (
+  SELECT a.r AS a, b.r AS b FROM grams a JOIN grams b ON a.g = b.g AND a.r < b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), edges AS (
+  SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+), reach AS (
+  SELECT r AS node, r AS root FROM reps
+  UNION SELECT e.b, reach.root FROM reach JOIN edges e ON e.a = reach.node
+), roots AS (
+  SELECT node, min(root) AS root FROM reach GROUP BY node
+)
+SELECT sized.doc_id, CAST(sized.n AS BIGINT) AS n_shingles,
+  CASE WHEN sized.n = 0 THEN sized.doc_id ELSE roots.root END AS component_id
+FROM sized LEFT JOIN reps ON reps.k = sized.k AND sized.n > 0 LEFT JOIN roots ON roots.node = reps.r""",
 }

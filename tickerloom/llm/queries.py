@@ -11,6 +11,7 @@ from tickerloom.llm.chat import format_conversations, read_back
 from tickerloom.llm.common import read
 from tickerloom.llm.fingerprints import fingerprints
 from tickerloom.llm.html_extract import extract
+from tickerloom.llm.ngram_join import linked_documents
 from tickerloom.llm.oracle import SQL as LLM_SQL
 from tickerloom.llm.packing import pack
 from tickerloom.llm.pii import pseudonymize
@@ -92,3 +93,9 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     texts = extract(read(spark, sf_dir, "pages"))
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@registered
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose three-word shingles are 0.9 similar."""
+    return linked_documents(read(spark, sf_dir, "documents"))
