@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.llm.chat import format_conversations, read_back
 from tickerloom.llm.common import read
+from tickerloom.llm.decontaminate import leaks
 from tickerloom.llm.fingerprints import fingerprints
 from tickerloom.llm.html_extract import extract
 from tickerloom.llm.ngram_join import linked_documents
@@ -99,3 +100,9 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents whose three-word shingles are 0.9 similar."""
     return linked_documents(read(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
