@@ -32,11 +32,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every component of similar documents: the one with the smallest id.
 
-    Documents without words are linked with nothing and stay.
+    Documents without words are linked with nothing and stay. Rows equal in id and text are
+    copies; rows of one id with different texts each stay where their id names a component.
     """
     kept = (linked_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select("doc_id").distinct())
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
+    kept = stored(kept, "representatives")
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        return docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+
+    # An id in several rows: its equal texts are copies of each other as well.
+    repeated = rows_of(kept.filter("rows > 1")).dropDuplicates(["doc_id", "text"])
+    return rows_of(kept.filter("rows = 1")).unionByName(repeated)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -149,15 +149,16 @@ class Benchmark:
         if not len(hits):
             return []
         starts, lengths, sizes = [], [], []
+        marked = np.zeros(len(words) + 1, np.int64)
+        marked[hits + 1] = 1
+        before = np.cumsum(marked)
         for size in self.lengths.tolist():
             # A document shorter than the item is compared as it is.
             length = min(size, len(words))
             span = max(1, length - SHINGLE_WORDS + 1)
-            reach = np.unique((hits[:, None] - np.arange(span)).ravel())
-            reach = reach[(reach >= 0) & (reach <= len(words) - length)]
             # So many shingles of items a similar window must hold.
-            inside = np.searchsorted(hits, reach + span) - np.searchsorted(hits, reach)
-            own = reach[inside >= similarity * max(1, size - SHINGLE_WORDS + 1)]
+            inside = before[span:len(words) - length + 1 + span] - before[:len(words) - length + 1]
+            own = np.flatnonzero(inside >= similarity * max(1, size - SHINGLE_WORDS + 1))
             starts.append(own)
             lengths.append(np.full(len(own), length))
             sizes.append(np.full(len(own), size))
