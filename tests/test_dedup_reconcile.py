@@ -128,3 +128,18 @@ def test_top_mismatches_and_report(hundred):
     assert listed[0].stream_vwap == 101.0
     assert report["summary"].collect()[0].verdict == "FAILED"
     assert report["raw"].collect()[0].total_rows == 100
+
+
+def test_reconciliation_does_not_depend_on_row_order(spark):
+    """Differing payloads of one id: always the same one is compared."""
+    from pyspark.sql import functions as F
+
+    from tickerloom.operators.reconcile import batch_bars
+
+    rows = [("x", "A", 10.0, 1), ("x", "A", 20.0, 1), ("y", "A", None, None)]
+    seen = set()
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "trade_id string, ticker string, price double, quantity int")
+        df = df.withColumn("event_time", F.lit("2024-01-01 10:00:00").cast("timestamp")).coalesce(1)
+        seen.add(tuple(r.batch_vwap for r in batch_bars(df).collect()))
+    assert seen == {(10.0,)}

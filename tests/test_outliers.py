@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.operators.bars import anomaly_bounds, windowed_vwap
 from tickerloom.operators.outliers import (
+    match_windows,
     outlier_directions,
     outlier_summary,
     outlier_trades,
@@ -88,6 +89,29 @@ def test_repeated_bounds_multiply_trades(busy, slice_rows):
     assert outlier_trades(busy, twice, slice_rows=slice_rows).count() == 2 * once
 
 
+def test_the_rate_counts_a_trade_once(busy):
+    """Bounds stored three times, every trade delivered twice: still a rate."""
+    bounds = anomaly_bounds(windowed_vwap(busy))
+    trades, repeated = busy.unionAll(busy), bounds.unionAll(bounds).unionAll(bounds)
+    found = outlier_trades(trades, repeated)
+    row = outlier_summary(trades, repeated, found).collect()[0]
+    assert row.total_trades == busy.select("trade_id").distinct().count()
+    assert row.total_windows == bounds.count()
+    assert 0 < row.anomalies <= row.total_trades and row.anomaly_rate_pct <= 100
+    raw = outlier_summary(trades, repeated, found, distinct=False).collect()[0]
+    assert raw.anomalies == found.count() == 6 * outlier_trades(busy, bounds).count()
+
+
+def test_cells_longer_than_windows_are_sliced_by_their_sum(busy):
+    """Many windows share a cell; no slice holds much more than ``slice_rows`` trades."""
+    bounds = anomaly_bounds(windowed_vwap(busy, "1 minute"), 0.0)
+    cell = 30 * 86_400
+    placed = match_windows(busy, bounds, None, cell_seconds=cell, slice_rows=100)
+    largest = placed.groupBy("ticker", "_slot", "_slice").agg(
+        F.countDistinct("trade_id", "event_time", "price").alias("n")).agg(F.max("n")).collect()[0][0]
+    assert largest < 250
+
+
 def test_bounds_are_strict(make_trades, spark):
     trades = make_trades([
         ("low", "AAPL", 98.0, 1, "BUY", "2024-01-01 10:00:00"),

@@ -79,8 +79,20 @@ def test_outlier_join_is_an_equi_join_on_sliced_keys(spark, no_broadcast, tmp_pa
     text = plan(outliers.outlier_trades(trades, spark.read.parquet(path), grid, 86_400))
     assert "SortMergeJoin [ticker" in text and "_slot" in text and "_slice" in text
     assert "NestedLoop" not in text and "Cartesian" not in text
-    # The only broadcast is the limited list of hot keys.
-    assert text.count("TakeOrderedAndProject(limit=100000") == text.count("BroadcastExchange")
+    # The list of hot keys is not hinted: with broadcasts off nothing is broadcast.
+    assert "BroadcastExchange" not in text and "TakeOrderedAndProject" not in text
+
+
+def test_filters_on_outliers_reach_the_trades(spark, tmp_path):
+    trades = feeds.trades(spark, SF)
+    path = str(tmp_path / "bounds")
+    bars.anomaly_bounds(bars.windowed_vwap(trades, "1 day")).write.parquet(path)
+    found = outliers.outlier_trades(trades, spark.read.parquet(path), "1 day").filter(
+        (F.col("event_time") >= F.lit("2024-01-20").cast("timestamp")) & (F.col("ticker") == "view"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    scan = next(x for x in plan(found).splitlines() if "FileScan" in x and "event_type" in x)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(ts,2024-01-20" in scan and "EqualTo(event_type,view)" in scan
 
 
 def test_reconcile_reuses_the_partitioning_of_its_aggregates(spark, no_broadcast):
@@ -129,6 +141,16 @@ def test_sector_join_has_no_shuffle(spark):
     assert "Exchange hashpartitioning" not in plan(with_sector(feeds.trades(spark, SF), sectors(spark)))
 
 
+def test_the_size_check_runs_no_job(spark):
+    dim = feeds.trades(spark, SF).select("ticker").distinct()
+    spark.sparkContext.setJobGroup("size-check", "none expected")
+    try:
+        skew.broadcast_if_small(dim)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("size-check")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_only_small_dimensions_are_hinted(spark, no_broadcast):
     trades = feeds.trades(spark, SF)
     dim = trades.select("ticker").distinct()

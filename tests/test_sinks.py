@@ -50,11 +50,32 @@ def test_versions(spark, tmp_path):
     assert tuple(version_growth(spark, path).collect()[0]) == (10, 35, 25)
 
 
-def test_history_reads_no_data_column(spark, tmp_path):
+def test_an_empty_batch_empties_its_partition_and_is_in_the_history(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_batch(numbers(spark, 0, 10), 0, path)
+    write_batch(numbers(spark, 10, 20), 1, path)
+    write_batch(numbers(spark, 0, 0), 1, path)      # replayed without rows
+    write_batch(numbers(spark, 0, 0), 2, path)
+    write_batch(numbers(spark, 50, 53), 2007, path)
+    log = {r.version: r.rows_written for r in history(spark, path).collect()}
+    assert log == {0: 10, 1: 0, 2: 0, 2007: 3}
+    assert as_of(spark, path, 2).count() == 10
+    assert as_of(spark, path).count() == 13
+    assert as_of(spark, path, -1).count() == 0
+    assert len(as_of(spark, path, 2).inputFiles()) == len(as_of(spark, path, 0).inputFiles())
+
+
+def test_a_table_of_empty_batches_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_batch(numbers(spark, 0, 0), 0, path)
+    assert [r.rows_written for r in history(spark, path).collect()] == [0]
+
+
+def test_history_reads_no_data(spark, tmp_path):
     path = str(tmp_path / "t")
     write_batch(numbers(spark, 0, 10), 0, path)
     plan = history(spark, path)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<>" in plan
+    assert "price" not in plan
     pruned = as_of(spark, path, 0)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_id" in pruned
 

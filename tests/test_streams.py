@@ -13,10 +13,12 @@ from tickerloom.session import recommended_conf
 from tickerloom.sinks.versioned import as_of, history, stream_batches
 from tickerloom.sinks.warehouse import StagedFilesSink
 from tickerloom.sources.messages import captured_messages, parse_trades, topic_messages
-from tickerloom.sources.tables import read_trade_log
+from tickerloom.sources.tables import read_tables, read_trade_log
+from tickerloom.functions.measures import utc_date
 from tickerloom.streaming.queries import (
     AVAILABLE_NOW,
     await_any,
+    compact_days,
     console_preview,
     finish,
     rows_dropped_late,
@@ -115,11 +117,43 @@ def test_the_log_is_read_by_date(spark, late_run):
     assert read_trade_log(spark, path, NOW + timedelta(days=1)).count() == 0
 
 
+def test_bounds_of_any_zone_and_logs_cut_in_another_zone(spark, tmp_path):
+    from datetime import timezone
+
+    rows = [(datetime(2024, 1, 1, 16, 30),), (datetime(2024, 1, 2, 3, 0),)]
+    log = spark.createDataFrame(rows, "event_time timestamp")
+    utc, york = str(tmp_path / "utc"), str(tmp_path / "york")
+    log.withColumn("event_date", utc_date(F.col("event_time"))).write.partitionBy("event_date").parquet(utc)
+    log.withColumn("event_date", F.to_date(F.from_utc_timestamp("event_time", "America/New_York"))
+                   ).write.partitionBy("event_date").parquet(york)
+    start = datetime(2024, 1, 2, 1, 0, tzinfo=timezone(timedelta(hours=9)))     # 16:00 UTC the day before
+    assert read_trade_log(spark, utc, start).count() == 2
+    assert read_trade_log(spark, york, datetime(2024, 1, 2), datetime(2024, 1, 3)).count() == 1
+    assert read_trade_log(spark, york, datetime(2024, 1, 1), datetime(2024, 1, 3)).count() == 2
+
+
+def test_compaction_keeps_rows_and_leaves_few_files(spark, late_run, tmp_path):
+    source, target = f"{late_run[0]}/tables/raw_trades", str(tmp_path / "compact")
+    for _ in range(2):      # repeated, it replaces what it wrote
+        compact_days(spark, source, target, NOW.date() + timedelta(days=1), "event_date")
+    small, whole = spark.read.parquet(target), spark.read.parquet(source)
+    assert small.count() == whole.count() == 31
+    assert small.select(*BRONZE_COLUMNS).exceptAll(whole.select(*BRONZE_COLUMNS)).count() == 0
+    assert len(small.inputFiles()) < len(whole.inputFiles()) and len(small.inputFiles()) <= 2
+
+
+def test_the_topic_is_read_three_times(spark, late_run):
+    _, queries = late_run
+    read = {name: sum(p["numInputRows"] for p in q.recentProgress) for name, q in queries.items()}
+    assert read["raw_trades"] == read["vwap_1min"] == read["vwap_5min"] == 31
+    assert read["anomaly_alerts"] == 1      # the one bar that was written
+
+
 def test_four_tables_and_their_columns(spark, late_run):
     base, queries = late_run
     assert set(queries) == {"raw_trades", "vwap_1min", "vwap_5min", "anomaly_alerts"}
-    assert table(spark, base, "vwap_1min").columns == BAR_COLUMNS
-    assert table(spark, base, "anomaly_alerts").columns == BOUND_COLUMNS
+    assert table(spark, base, "vwap_1min").columns == [*BAR_COLUMNS, "window_date"]
+    assert table(spark, base, "anomaly_alerts").columns == [*BOUND_COLUMNS, "window_date"]
     assert table(spark, base, "anomaly_alerts").count() == 1
     assert rows_dropped_late(queries["vwap_1min"]) > 0
     assert rows_dropped_late(queries["vwap_5min"]) == 0
@@ -139,7 +173,8 @@ def test_nothing_is_emitted_without_a_later_event(spark, tmp_path):
     base = str(tmp_path)
     write_messages(spark, f"{base}/messages", 0, half_seconds("ontime", 20, 210.0, 100))
     run_fan_out(spark, f"{base}/messages", base)
-    assert table(spark, base, "vwap_1min").count() == 0
+    # A table by date has no file, and so no schema of its own, before its first row.
+    assert read_tables(spark, {"bars": f"{base}/tables/vwap_1min"}) == {"bars": None}
     assert table(spark, base, "raw_trades").count() == 20
 
 

@@ -228,8 +228,9 @@ VOLATILE = f"""ticker, window_start, {r4('low_price')} AS low_price,
 LATE_PREFIX = "['ontime-', 'late-within-', 'late-beyond-'][event_id % 3 + 1]"
 
 
-def health_row(name: str, source: str, time: str) -> str:
-    return f"""SELECT '{name}' AS table_name, count(*) AS row_count, max({time}) AS latest,
+def health_row(name: str, source: str, time: str, columns: int) -> str:
+    return f"""SELECT '{name}' AS table_name, count(*) AS row_count, {columns} AS column_count,
+       max({time}) AS latest,
        CASE WHEN count(*) = 0 THEN 'Empty' ELSE 'OK' END AS status FROM {source}"""
 
 
@@ -480,10 +481,10 @@ SQL: dict[str, str] = {
         FROM (SELECT partition, count(*) AS n FROM placed GROUP BY 1)""",
     # health, exports, versions, warehouse
     "table_health": f"""{HOURLY}
-        {health_row('raw_trades', 'trades', 'event_time')}
-        UNION ALL {health_row('vwap_1min', 'bars', 'window_start')}
+        {health_row('raw_trades', 'trades', 'event_time', 16)}
+        UNION ALL {health_row('vwap_1min', 'bars', 'window_start', 17)}
         UNION ALL {health_row('anomaly_alerts', '(SELECT * FROM bars WHERE vwap < 0)',
-                              'window_start')}""",
+                              'window_start', 9)}""",
     "health_verdict": f"""{HOURLY} SELECT (SELECT count(*) FROM trades) > 0 AND count(*) > 0
         AS healthy, 0::bigint AS tables_not_ok, (SELECT count(*) FROM trades) AS trades,
         count(*) AS windows, greatest(count(*) // 5, 1) AS approx_windows_per_symbol FROM bars""",
@@ -529,17 +530,107 @@ SQL: dict[str, str] = {
         TRADES, f"good AS (SELECT * FROM trades WHERE {GOOD})",
         bars('1 hour', 'h', 'good'), bars('1 day', 'd', 'good'),
         "edge AS (SELECT max(event_time) - INTERVAL 10 SECOND AS t FROM good)")}
-        SELECT 'raw_trades' AS table_name, count(*) AS row_count,
+        SELECT 'raw_trades' AS table_name, count(*) AS row_count, 12 AS column_count,
                (SELECT max(event_time) FROM good) AS latest, 'OK' AS status FROM trades
-        UNION ALL SELECT 'vwap_1min', count(*), max(window_start), 'OK' FROM h, edge
+        UNION ALL SELECT 'vwap_1min', count(*), 18, max(window_start), 'OK' FROM h, edge
                   WHERE window_end <= t
-        UNION ALL SELECT 'vwap_5min', count(*), max(window_start), 'OK' FROM d, edge
+        UNION ALL SELECT 'vwap_5min', count(*), 18, max(window_start), 'OK' FROM d, edge
                   WHERE window_end <= t
-        UNION ALL SELECT 'anomaly_alerts', count(*), max(window_start), 'OK' FROM h, edge
+        UNION ALL SELECT 'anomaly_alerts', count(*), 10, max(window_start), 'OK' FROM h, edge
                   WHERE window_end <= t""",
     "stream_reconcile_summary": with_(TRADES, bars("1 hour")) + f""", compared AS (
         SELECT CASE WHEN {CLOSED} AND vwap IS NOT NULL AND vwap > 0 THEN 0.0 END AS vwap_diff_pct,
                CASE WHEN {CLOSED} THEN true END AS count_match,
                CASE WHEN {CLOSED} THEN 'both' ELSE 'batch_only' END AS seen_in
         FROM bars)""" + RECONCILE_SUMMARY,
+    # empty batches, late and restarted streams, publishing
+    "version_empty_replay": f"""{PERIODS} SELECT ticker, count(*) AS trade_count
+        FROM periods WHERE version <> 1 GROUP BY 1""",
+    "version_history_empty": f"""{PERIODS} SELECT version, 'append' AS operation,
+        count(*) FILTER (version <> 1) AS rows_written FROM periods GROUP BY 1
+        UNION ALL SELECT 3, 'append', 0""",
+    "reconcile_lines": with_(LINES, bars("1 day", "streamed", "lines")) + f""", once AS (
+        SELECT * FROM lines WHERE event_time IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY trade_id ORDER BY event_time, price NULLS FIRST,
+                                   quantity NULLS FIRST, ticker NULLS FIRST) = 1),
+        batch AS (
+        SELECT time_bucket(INTERVAL '1 day', event_time, {EPOCH}) AS window_start, ticker,
+               sum(price * quantity) / nullif(sum(quantity), 0) AS batch_vwap,
+               count(trade_id) AS batch_trade_count, cast(sum(quantity) AS bigint) AS batch_volume
+        FROM once GROUP BY 1, 2)
+        SELECT window_start, ticker, {r4('batch_vwap')} AS batch_vwap, batch_trade_count,
+               batch_volume, {r4('s.vwap')} AS stream_vwap, s.trade_count AS stream_trade_count,
+               s.total_volume AS stream_volume, {r4('abs(batch_vwap - s.vwap)')} AS vwap_diff,
+               {r4('abs(batch_vwap - s.vwap) / nullif(batch_vwap, 0) * 100')} AS vwap_diff_pct,
+               batch_trade_count = s.trade_count AS count_match, 'both' AS seen_in
+        FROM batch JOIN streamed s USING (window_start, ticker)""",
+    "lateness_audit_passing": f"""{HOURLY}, n AS (SELECT count(*) AS n FROM events),
+        anchor AS (SELECT min(ts) AS t FROM events)
+        SELECT 'ontime- stored' AS check_name, n::varchar AS expected, n AS actual, true AS passed FROM n
+        UNION ALL SELECT 'late- stored', '0', 0, true
+        UNION ALL SELECT 'on-time window emitted', 'at least 1', count(*), count(*) >= 1
+               FROM bars, anchor WHERE ticker = 'error' AND window_start <= t AND t < window_end
+        UNION ALL SELECT 'error vwap within limit', '0', 0, true
+        UNION ALL SELECT 'other tickers within limit', '0', 0, true""",
+    "session_trades_holidays": f"""{with_(TRADES)}, local AS (
+        SELECT trade_id, ticker, event_time, event_time - INTERVAL 5 HOUR AS t FROM trades)
+        SELECT trade_id, ticker, event_time,
+               isodow(t) <= 5 AND t::time BETWEEN TIME '09:30:00' AND TIME '16:00:00'
+               AND t::date NOT IN (DATE '2024-01-01', DATE '2024-01-15') AS in_session
+        FROM local""",
+    "vwap_unknown_volume": f"""{with_(TRADES)}
+        SELECT time_bucket(INTERVAL '1 day', event_time, {EPOCH}) AS window_start, ticker,
+               cast(sum(quantity) AS bigint) AS total_volume,
+               cast(coalesce(sum(quantity) FILTER (side = 'BUY'), 0) AS bigint) AS buy_volume,
+               cast(coalesce(sum(quantity) FILTER (side <> 'BUY'), 0) AS bigint) AS sell_volume,
+               cast(coalesce(sum(quantity) FILTER (side = 'UNKNOWN'), 0) AS bigint) AS unknown_volume
+        FROM trades WHERE event_time IS NOT NULL GROUP BY 1, 2""",
+    "vwap_decimals": f"{DAILY} SELECT window_start, ticker, buy_pressure, avg_spread FROM bars",
+    "hash_placement": f"""{with_(LINES)}, placed AS (
+        SELECT ticker, count(*) AS messages,
+               (('0x' || substr(md5(ticker), 1, 7))::bigint % 3)::integer AS partition
+        FROM lines GROUP BY ticker)
+        SELECT partition, count(ticker) AS key_count, cast(sum(messages) AS bigint) AS messages
+        FROM placed GROUP BY 1""",
+    "sample_membership": "SELECT least(5, count(*)) AS sampled, least(5, count(*)) AS trades_among_them FROM events",
+    "schema_rejections": """SELECT count(*) AS rows_kept, unnest([
+        'price is string, stored as double', 'unknown column side']) AS problem FROM events""",
+    "table_verification": f"""{HOURLY}
+        SELECT 'filled' AS table_name, count(*) AS row_count, 17 AS column_count,
+               max(window_start) AS latest, 'OK' AS status FROM bars
+        UNION ALL SELECT 'empty', 0, 17, NULL, 'Empty'
+        UNION ALL SELECT 'untimed', count(*), 1, NULL, 'No time column' FROM bars
+        UNION ALL SELECT 'missing', NULL, NULL, NULL, 'Missing'
+        UNION ALL SELECT 'broken', NULL, NULL, NULL, 'Error'""",
+    "exported_tables": f"""{DAILY} SELECT 'trades' AS name, 1 AS files, count(*) AS found FROM trades
+        UNION ALL SELECT 'bars', 1, count(*) FROM bars
+        UNION ALL SELECT 'bounds', 1, count(*) FROM bars
+        UNION ALL SELECT 'nowhere', 0, 0""",
+    "publish_outcomes": f"""{HOURLY} SELECT attempt, subject, outcome, (SELECT count(*) FROM bars
+            WHERE vwap BETWEEN 1 AND 2000 AND total_volume > 0) AS rows_in_target
+        FROM (VALUES ('open', 'VWAP_1MIN', 'loaded'), ('open', 'VWAP_5MIN', 'loaded'),
+            ('empty source', 'VWAP_1MIN', 'skipped'), ('empty source', 'VWAP_5MIN', 'loaded'),
+            ('closed', 'all tickers present', 'check 5: missing: refund')) v(attempt, subject, outcome)""",
+    "keyed_messages": """SELECT event_type AS message_key, count(*) AS messages,
+        count(*) FILTER (event_id % 97 = 0) AS not_json FROM events GROUP BY 1""",
+    "stream_late_windows": f"""{with_(TRADES)}, sent AS (
+        SELECT time_bucket(INTERVAL '1 hour', event_time, {EPOCH}) AS window_start, ticker,
+               event_id % 50 = 7 AND event_time < TIMESTAMP '2024-01-11' AS held
+        FROM trades WHERE {GOOD})
+        SELECT window_start, ticker, count(*) FILTER (NOT held) AS trade_count,
+               count(*) FILTER (held) AS dropped_late FROM sent
+        WHERE window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events WHERE {GOOD})
+        GROUP BY 1, 2 HAVING count(*) FILTER (NOT held) > 0""",
+    "stream_restart_audit": f"""SELECT *, rows_after - rows_before AS new_rows, 0::bigint AS raw_duplicates,
+        true AS exactly_once_on_write FROM (
+        SELECT count(*) FILTER (ts < TIMESTAMP '2024-01-21'
+                   AND NOT (ts < TIMESTAMP '2024-01-11' AND event_id % 50 = 7)) AS rows_before,
+               count(*) AS rows_after, count(*) AS distinct_ids, 0::bigint AS lost_ids
+        FROM events WHERE {GOOD})""",
+    "bronze_log_by_day": f"""{with_(TRADES)} SELECT {MESSAGE_COLUMNS} FROM trades WHERE {GOOD}
+        AND event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-12'""",
 }
+SQL["outlier_rate_repeated_bounds"] = SQL["outlier_summary"]
+SQL["publish_loaded"] = (
+    SQL["warehouse_projection"] + " WHERE vwap BETWEEN 1 AND 2000 AND total_volume > 0"
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,12 +22,18 @@ from tickerloom.operators import (
     trades,
     vendor,
 )
+from tickerloom.plans import publish
 from tickerloom.plans.outlier_report import stored_bounds
 from tickerloom.session import materialize, scratch_path
 from tickerloom.sinks import files, versioned, warehouse
 from tickerloom.sources import dimensions
-from tickerloom.sources.messages import parse_trades, rejected_messages
-from tickerloom.sources.tables import read_tables
+from tickerloom.sources.messages import (
+    captured_messages,
+    keyed_text,
+    parse_trades,
+    rejected_messages,
+)
+from tickerloom.sources.tables import read_tables, read_trade_log
 from tickerloom.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,6 +123,15 @@ def session_trades(spark, sf):
     return flagged.select("trade_id", "ticker", "event_time", "in_session")
 
 
+@query
+def session_trades_holidays(spark, sf):
+    """Session flags with two exchange holidays."""
+    closed = spark.createDataFrame([("2024-01-01",), ("2024-01-15",)], "day string").select(
+        F.to_date("day").alias("holiday"))
+    flagged = trades.in_session(feeds.trades(spark, sf), holidays=closed)
+    return flagged.select("trade_id", "ticker", "event_time", "in_session")
+
+
 @query
 def sector_enrichment(spark, sf):
     """Left join to a broadcast dimension; five brands have no sector."""
@@ -171,6 +187,25 @@ def anomaly_bounds_1d(spark, sf):
     return _bounds(spark, sf)
 
 
+@query
+def vwap_unknown_volume(spark, sf):
+    """Daily volumes with the part whose side is unknown."""
+    daily = bars.windowed_vwap(feeds.trades(spark, sf), "1 day", unknown_volume=True)
+    return daily.select(
+        "window_start", "ticker", "total_volume", "buy_volume", "sell_volume", "unknown_volume")
+
+
+def vwap_decimals(spark, sf):
+    """The two decimal measures in their own types."""
+    return _bars(spark, sf, "1 day").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"), "ticker",
+        "buy_pressure", "avg_spread")
+
+
+# Registered as it is: ``comparable`` would turn the decimals into doubles.
+BUILDERS["vwap_decimals"] = REGISTERED["vwap_decimals"] = vwap_decimals
+
+
 # --- outliers ---
 
 
@@ -214,6 +249,16 @@ def top_outliers(spark, sf):
     return outliers.top_outliers(_outliers(spark, sf))
 
 
+@query
+def outlier_rate_repeated_bounds(spark, sf):
+    """Bounds stored three times and trades delivered twice do not raise the rate."""
+    source = feeds.twice_delivered(feeds.trades(spark, sf))
+    bounds = stored_bounds(feeds.trades(spark, sf), "1 day", BAND_PCT)
+    repeated = bounds.unionAll(bounds).unionAll(bounds)
+    found = outliers.outlier_trades(source, repeated, "1 day")
+    return outliers.outlier_summary(source, repeated, found)
+
+
 # --- duplicates ---
 
 
@@ -288,6 +333,15 @@ def reconcile_mismatches(spark, sf):
     return reconcile.reconcile_mismatches(_compared(spark, sf))
 
 
+@query
+def reconcile_lines(spark, sf):
+    """Daily bars of order lines whose ids repeat with other payloads."""
+    lines = trades.enrich(feeds.order_lines(spark, sf)).withColumns({
+        "bid_price": F.lit(None).cast("double"), "ask_price": F.lit(None).cast("double"),
+    })
+    return reconcile.reconcile(lines, bars.windowed_vwap(lines, "1 day"), "1 day")
+
+
 # --- quality ---
 
 
@@ -344,6 +398,18 @@ def lateness_audit(spark, sf):
     )
 
 
+@query
+def lateness_audit_passing(spark, sf):
+    """The audit with the limits that this data meets."""
+    tagged = feeds.trades(spark, sf).withColumns({
+        "trade_id": F.concat(F.lit("ontime-"), "trade_id"), "source": F.lit("late_data_demo"),
+    })
+    stored = feeds.events(spark, sf).count()
+    return quality.lateness_audit(
+        tagged, _bars(spark, sf), "error", limit=1e9, phases={"ontime-": stored, "late-": 0}
+    )
+
+
 # --- market reports ---
 
 
@@ -526,6 +592,16 @@ def sample_rows(spark, sf):
     return health.sample_rows(feeds.trades(spark, sf))
 
 
+@query
+def sample_membership(spark, sf):
+    """How many rows a sample has, and how many of them are trades."""
+    source = feeds.trades(spark, sf)
+    sample = materialize(health.sample_rows(source).select("trade_id"), "sample")
+    found = source.select("trade_id", F.lit(1).alias("found")).distinct()
+    return sample.join(found, "trade_id", "left").agg(
+        F.count("*").alias("sampled"), F.count("found").alias("trades_among_them"))
+
+
 @query
 def csv_export(spark, sf):
     """Daily bars written as CSV and read back."""
@@ -572,6 +648,111 @@ def version_growth(spark, sf):
     return versioned.version_growth(spark, _versions(spark, sf))
 
 
+@query
+def version_empty_replay(spark, sf):
+    """The second period replayed without rows: its partition is emptied."""
+    path = _versions(spark, sf)
+    versioned.write_batch(feeds.trades(spark, sf).drop("event_id").filter("false"), 1, path)
+    return versioned.as_of(spark, path).groupBy("ticker").agg(F.count("*").alias("trade_count"))
+
+
+@query
+def version_history_empty(spark, sf):
+    """Versions that wrote no rows are in the history."""
+    path = _versions(spark, sf)
+    nothing = feeds.trades(spark, sf).drop("event_id").filter("false")
+    for batch in (1, 3):
+        versioned.write_batch(nothing, batch, path)
+    return versioned.history(spark, path).select("version", "operation", "rows_written")
+
+
+@query
+def schema_rejections(spark, sf):
+    """What keeps a frame out of a table, and the rows the table still has afterwards."""
+    path = scratch_path(spark, "schema")
+    source = feeds.trades(spark, sf)
+    versioned.write_batch(source.select("trade_id", "price"), 0, path)
+    unfit = source.select("trade_id", F.col("price").cast("string").alias("price"), "side")
+    problems = versioned.schema_problems(versioned.stored_schema(spark, path), unfit.schema)
+    try:
+        versioned.write_batch(unfit, 1, path)
+        problems.append("written all the same")
+    except versioned.SchemaMismatch:
+        pass
+    return versioned.as_of(spark, path).agg(F.count("*").alias("rows_kept")).select(
+        "rows_kept", F.explode(F.array(*map(F.lit, problems))).alias("problem"))
+
+
+@query
+def table_verification(spark, sf):
+    """A filled, an empty, an untimed, a missing and an unreadable table."""
+    base = scratch_path(spark, "tables")
+    hourly = _bars(spark, sf)
+    hourly.write.parquet(f"{base}/filled")
+    hourly.filter("false").write.parquet(f"{base}/empty")
+    hourly.select("ticker").write.parquet(f"{base}/untimed")
+    hourly.select("ticker").coalesce(1).write.text(f"{base}/broken")
+    names = ("filled", "empty", "untimed", "missing", "broken")
+    found = read_tables(spark, {n: f"{base}/{n}" for n in names}, keep_errors=True)
+    return health.table_health(spark, {n: (found[n], "window_start") for n in names})
+
+
+@query
+def exported_tables(spark, sf):
+    """Three tables and a missing one exported as single CSV files."""
+    daily = _bars(spark, sf, "1 day")
+    outcome = files.export_tables(
+        {"trades": feeds.trades(spark, sf), "bars": daily, "bounds": bars.anomaly_bounds(daily),
+         "nowhere": None}, scratch_path(spark, "export"), single_file=True)
+    counted = None
+    for name, path in outcome.items():
+        if path == "missing":
+            one = spark.range(1).select(
+                F.lit(name).alias("name"), F.lit(0).alias("files"), F.lit(0).cast("bigint").alias("found"))
+        else:
+            back = spark.read.option("header", True).csv(path)
+            one = back.agg(F.count("*").alias("found")).select(
+                F.lit(name).alias("name"), F.lit(len(back.inputFiles())).alias("files"), "found")
+        counted = one if counted is None else counted.unionAll(one)
+    return counted
+
+
+def _publishable(frame: DataFrame) -> DataFrame:
+    return frame.filter("vwap BETWEEN 1 AND 2000 AND total_volume > 0")
+
+
+@query
+def publish_loaded(spark, sf):
+    """Hourly and daily bars pass the gate; the hourly ones read back from the target."""
+    sink = warehouse.StagedFilesSink(scratch_path(spark, "warehouse"))
+    publish.publish(
+        _publishable(_bars(spark, sf)), _publishable(_bars(spark, sf, "1 day")), sink,
+        feeds.TICKERS, window_seconds=3600)
+    return spark.read.parquet(f"{sink.folder}/VWAP_1MIN").drop("_LOADED_AT")
+
+
+@query
+def publish_outcomes(spark, sf):
+    """An open gate, an empty source that is skipped, and a gate closed by a missing ticker."""
+    sink = warehouse.StagedFilesSink(scratch_path(spark, "warehouse"))
+    hourly, daily = _publishable(_bars(spark, sf)), _publishable(_bars(spark, sf, "1 day"))
+    rows = []
+
+    def attempt(case: str, short: DataFrame, universe: list[str]) -> None:
+        try:
+            done = publish.publish(short, daily, sink, universe, window_seconds=3600)
+        except publish.GateClosed as closed:
+            done = {name: f"check {no}: {why}" for no, name, why in closed.failed}
+        rows.extend((case, what, outcome) for what, outcome in done.items())
+
+    attempt("open", hourly, feeds.TICKERS)
+    attempt("empty source", hourly.filter("false"), feeds.TICKERS)
+    attempt("closed", hourly, UNIVERSE)
+    kept = sink.count(spark, "VWAP_1MIN")
+    return spark.createDataFrame(rows, "attempt string, subject string, outcome string").withColumn(
+        "rows_in_target", F.lit(kept).cast("bigint"))
+
+
 # --- streams, run over everything available ---
 
 
@@ -629,7 +810,7 @@ def stream_versions(spark, sf):
     for attempt in ("first", "replay"):
         state = scratch_path(spark, f"versions-{attempt}")
         streams.finish({attempt: versioned.stream_batches(live, path, state)})
-    return versioned.as_of(spark, path, 10**6).groupBy("ticker").agg(
+    return versioned.as_of(spark, path).groupBy("ticker").agg(
         F.count("*").alias("trade_count")
     )
 
@@ -655,3 +836,75 @@ def stream_reconcile_summary(spark, sf):
     closed = _streamed(bars.windowed_vwap(live, "1 hour", "10 seconds"), "bars")
     compared = reconcile.reconcile(feeds.trades(spark, sf), closed, "1 hour", "full_outer")
     return reconcile.reconcile_summary(materialize(compared, "compared"))
+
+
+def _delivered_files(spark: SparkSession, sf: str, folder: str, periods: list[int]) -> None:
+    """Message files, one per period in this order; every 50th event of the first period is
+    held back and comes with the third."""
+    first, second = (F.col("ts") >= F.lit(cut).cast("timestamp") for cut in CUTS)
+    period = first.cast("int") + second.cast("int")
+    held_back = (period == 0) & (F.col("event_id") % 50 == 7)
+    tagged = feeds.events(spark, sf).withColumn("_file", F.when(held_back, 2).otherwise(period))
+    for number in periods:
+        part = tagged.filter(F.col("_file") == number).drop("_file")
+        feeds.trade_messages(part).coalesce(1).write.mode("append").parquet(folder)
+
+
+@query
+def keyed_messages(spark, sf):
+    """Keys and payloads of captured messages, counted by key."""
+    folder = scratch_path(spark, "messages")
+    _delivered_files(spark, sf, folder, [0, 1, 2])
+    shown = keyed_text(captured_messages(spark, folder))
+    return _streamed(shown, "keyed").groupBy("message_key").agg(
+        F.count("*").alias("messages"),
+        F.count_if(F.col("payload") == "partition_test").alias("not_json"))
+
+
+@query
+def stream_late_windows(spark, sf):
+    """Hourly windows of delayed files: what was kept and what the watermark dropped."""
+    folder = scratch_path(spark, "messages")
+    _delivered_files(spark, sf, folder, [0, 1, 2])
+    live = trades.enrich(parse_trades(captured_messages(spark, folder, max_files_per_trigger=1)))
+    kept = _streamed(bars.windowed_vwap(live, "1 hour", "10 seconds"), "late")
+    everything = bars.windowed_vwap(
+        trades.enrich(parse_trades(spark.read.parquet(folder))), "1 hour")
+    return kept.join(
+        everything.select("window_start", "ticker", F.col("trade_count").alias("sent")),
+        ["window_start", "ticker"],
+    ).select("window_start", "ticker", "trade_count",
+             (F.col("sent") - F.col("trade_count")).alias("dropped_late"))
+
+
+@query
+def stream_restart_audit(spark, sf):
+    """Two files, a stop, a third file, a restart from the same checkpoint; then the audit."""
+    folder, path, state = (scratch_path(spark, f"restart-{x}") for x in ("in", "out", "state"))
+
+    def run() -> None:
+        messages = captured_messages(spark, folder, max_files_per_trigger=1)
+        log = trades.bronze(trades.enrich(parse_trades(messages)))
+        streams.finish({"log": streams.write_stream(
+            log, path, state, trigger=streams.AVAILABLE_NOW)})
+
+    _delivered_files(spark, sf, folder, [0, 1])
+    run()
+    before = materialize(spark.read.parquet(path).filter("trade_id IS NOT NULL"), "before")
+    _delivered_files(spark, sf, folder, [2])
+    run()
+    after = spark.read.parquet(path).filter("trade_id IS NOT NULL")
+    return dedup.replay_audit(before, after)
+
+
+@query
+def bronze_log_by_day(spark, sf):
+    """The fan-out's event log, two days of it read back."""
+    base, state = scratch_path(spark, "fan-out"), scratch_path(spark, "fan-out-state")
+    streams.finish(streams.start_fan_out(
+        feeds.trade_messages(feeds.events_stream(spark, sf)), base, state,
+        durations=("1 hour", "1 day"), trigger=streams.AVAILABLE_NOW,
+    ))
+    log = read_trade_log(
+        spark, f"{base}/raw_trades", datetime(2024, 1, 10), datetime(2024, 1, 12))
+    return log.withColumn("quantity", F.col("quantity").cast("double"))

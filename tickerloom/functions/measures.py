@@ -48,6 +48,13 @@ def window_end(start: Column, duration: str) -> Column:
     return F.timestamp_micros(F.unix_micros(start) + width_micros(duration))
 
 
+def utc_date(event_time: Column) -> Column:
+    """The UTC calendar date, whatever zone the session has."""
+    micros = F.unix_micros(event_time)
+    days = (micros - F.pmod(micros, F.lit(DAY_MICROS))) / DAY_MICROS
+    return F.date_from_unix_date(days.cast("int"))
+
+
 def in_regular_session(event_time: Column, zone: str = "America/New_York") -> Column:
     """Monday to Friday, 09:30:00 to 16:00:00 local, both ends included."""
     local = F.from_utc_timestamp(event_time, zone)

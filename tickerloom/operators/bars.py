@@ -34,17 +34,26 @@ def _by_window(trades: DataFrame, duration: str, measures: list[Column]) -> Data
 
 
 def windowed_vwap(
-    trades: DataFrame, duration: str = "1 minute", watermark: str | None = None
+    trades: DataFrame,
+    duration: str = "1 minute",
+    watermark: str | None = None,
+    unknown_volume: bool = False,
 ) -> DataFrame:
     """One bar per (window, ticker) of enriched trades.
 
+    ``unknown_volume`` adds the volume whose side is neither BUY nor SELL, which
+    ``sell_volume`` contains.
+
     Every measure has a map-side partial form, so a ticker holding most of the
     rows reaches the shuffle as one row per map task and window.
     """
     if watermark is not None:
         trades = trades.withWatermark("event_time", watermark)
     volume, bought = F.col("total_volume"), F.col("buy_volume")
+    unknown = F.when(~F.coalesce(F.col("side").isin("BUY", "SELL"), F.lit(False)), F.col("quantity"))
+    extra = [F.coalesce(F.sum(unknown), F.lit(0)).alias("unknown_volume")] if unknown_volume else []
     bars = _by_window(trades, duration, [
+        *extra,
         F.sum("dollar_volume").alias("total_dollar_volume"),
         F.sum("quantity").alias("total_volume"),
         F.sum("buy_volume").alias("buy_volume"),
@@ -61,7 +70,7 @@ def windowed_vwap(
         "buy_pressure": percent(bought, volume).try_cast("decimal(5,2)"),
         "avg_spread": (F.col("avg_ask") - F.col("avg_bid")).try_cast("decimal(10,4)"),
         "window_duration": F.lit(duration),
-    }).select(*BAR_COLUMNS)
+    }).select(*BAR_COLUMNS, *(["unknown_volume"] if unknown_volume else []))
 
 
 def anomaly_bounds(bars: DataFrame, threshold_pct: float = THRESHOLD_PCT) -> DataFrame:

@@ -13,32 +13,41 @@ SUMMARY_COLUMNS = ["vwap", "total_volume", "trade_count", "buy_pressure"]
 
 
 def table_health(
-    spark: SparkSession, tables: dict[str, tuple[DataFrame | None, str]]
+    spark: SparkSession, tables: dict[str, tuple[DataFrame | Exception | None, str]]
 ) -> DataFrame:
-    """One row per table: rows, newest timestamp, status.
+    """One row per table: rows, columns, newest timestamp, status.
 
-    ``tables`` maps a name to (frame, time column); the frame is ``None`` for a
-    missing table. Each frame is scanned once, for its time column only.
+    ``tables`` maps a name to (frame, time column). The frame is ``None`` for a missing
+    table, and an exception for one that could not be read; its status is ``Error``. A table
+    without its time column is ``No time column``: how fresh it is cannot be said. Each
+    frame is scanned once, for its time column only.
     """
     stats = []
     for name, (df, time) in tables.items():
-        if df is None:
+        readable = isinstance(df, DataFrame)
+        width = len(df.columns) if readable else None
+        if not readable:
             one = spark.range(1).select(
                 F.lit(None).cast("bigint").alias("row_count"),
                 F.lit(None).cast("timestamp").alias("latest"),
             )
         else:
-            newest = F.max(time) if time in df.columns else F.lit(None)
+            timed = time in df.columns
+            newest = F.max(time) if timed else F.lit(None)
             one = df.agg(
                 F.count("*").alias("row_count"), newest.cast("timestamp").alias("latest")
             )
-        stats.append(one.select(F.lit(name).alias("table_name"), "row_count", "latest"))
-    status = (
-        F.when(F.col("row_count").isNull(), "Missing")
-        .when(F.col("row_count") == 0, "Empty")
-        .otherwise("OK")
-    )
-    return reduce(DataFrame.unionAll, stats).withColumn("status", status)
+        status = (
+            F.lit("Error") if isinstance(df, Exception)
+            else F.lit("Missing") if df is None
+            else F.when(F.col("row_count") == 0, "Empty").otherwise(
+                "OK" if timed else "No time column")
+        )
+        stats.append(one.select(
+            F.lit(name).alias("table_name"), "row_count",
+            F.lit(width).cast("int").alias("column_count"), "latest", status.alias("status"),
+        ))
+    return reduce(DataFrame.unionAll, stats)
 
 
 def health_verdict(

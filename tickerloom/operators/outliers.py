@@ -9,6 +9,8 @@ from tickerloom.functions.measures import percent, window_start
 from tickerloom.operators.skew import SLICE_ROWS, spread_hot_keys
 
 TRADE_PART = ["trade_id", "ticker", "price", "quantity", "side", "trade_type", "event_time"]
+# Trades of a busy window are dealt to its slices by these.
+SPREAD_ON = ["trade_id", "event_time", "price", "quantity"]
 BOUND_PART = ["window_avg_price", "anomaly_upper", "anomaly_lower", "window_start"]
 
 
@@ -47,8 +49,7 @@ def match_windows(
         )
     bounds = bounds.select("ticker", "_slot", "window_end", "window_trade_count", *BOUND_PART)
     trades, bounds, keys = spread_hot_keys(
-        trades, bounds, ["ticker", "_slot"], "window_trade_count",
-        F.col("trade_id"), slice_rows,
+        trades, bounds, ["ticker", "_slot"], "window_trade_count", SPREAD_ON, slice_rows,
     )
     pairs = trades.join(bounds, keys)
     if grid is None:
@@ -97,12 +98,35 @@ def outlier_directions(outliers: DataFrame) -> DataFrame:
     })
 
 
-def outlier_summary(trades: DataFrame, bounds: DataFrame, outliers: DataFrame) -> DataFrame:
-    """One row of totals; the rate is 0 when there are no trades."""
+def distinct_outliers(outliers: DataFrame) -> DataFrame:
+    """One row: outlier trades by id, however often a trade or its bounds are stored."""
+    per_trade = outliers.groupBy("trade_id").agg(
+        F.bool_or(F.col("price") > F.col("anomaly_upper")).alias("high"),
+        F.bool_or(F.col("price") < F.col("anomaly_lower")).alias("low"),
+    )
+    return per_trade.agg(
+        F.count("*").alias("anomalies"),
+        F.count_if("high").alias("above"),
+        F.count_if("low").alias("below"),
+    )
+
+
+def outlier_summary(
+    trades: DataFrame, bounds: DataFrame, outliers: DataFrame, distinct: bool = True
+) -> DataFrame:
+    """One row of totals; the rate is 0 when there are no trades.
+
+    By default a trade id and a (window, ticker) count once, so the rate cannot exceed
+    100 %. ``distinct=False`` counts stored rows and pairs as they are.
+    """
+    if distinct:
+        trades = trades.select("trade_id").distinct()
+        bounds = bounds.select("window_start", "ticker").distinct()
     counts = [
         trades.agg(F.count("*").alias("total_trades")),
         bounds.agg(F.count("*").alias("total_windows")),
-        outlier_directions(outliers).select("anomalies", "above", "below"),
+        distinct_outliers(outliers) if distinct
+        else outlier_directions(outliers).select("anomalies", "above", "below"),
     ]
     merged = counts[0]
     for part in counts[1:]:

@@ -147,13 +147,16 @@ def lateness_audit(
     is_phase = {p: F.col("trade_id").startswith(p) for p in phases}
     late = trades.filter(F.col("source") == source)
     seen = late.agg(
-        *[F.count_if(is_phase[p]).alias(f"n{i}") for i, p in enumerate(phases)]
+        *[F.count_if(is_phase[p]).alias(f"n{i}") for i, p in enumerate(phases)],
+        F.min(F.when(is_phase[first_phase], F.col("event_time"))).alias("anchor"),
     )
-    anchor = late.filter(is_phase[first_phase]).select(F.min("event_time")).scalar()
+    # Scalar subqueries over one aggregate, which Spark computes together in one scan.
+    found = {name: seen.select(name).scalar() for name in seen.columns}
     mine = F.col("ticker") == ticker
     state = bars.agg(
         F.count_if(
-            mine & (F.col("window_start") <= anchor) & (anchor < F.col("window_end"))
+            mine & (F.col("window_start") <= found["anchor"])
+            & (found["anchor"] < F.col("window_end"))
         ).alias("emitted"),
         F.count_if(mine & (F.col("vwap") > limit)).alias("poisoned"),
         F.count_if((F.col("vwap") > limit) & ~F.col("ticker").isin(*exempt)).alias("others"),
@@ -166,7 +169,7 @@ def lateness_audit(
         )
 
     stored = [
-        row(f"{p} stored", str(n), F.col(f"n{i}"), F.col(f"n{i}") == n)
+        row(f"{p} stored", str(n), found[f"n{i}"], found[f"n{i}"] == n)
         for i, (p, n) in enumerate(phases.items())
     ]
     judged = [
@@ -174,6 +177,4 @@ def lateness_audit(
         row(f"{ticker} vwap within limit", "0", F.col("poisoned"), F.col("poisoned") == 0),
         row("other tickers within limit", "0", F.col("others"), F.col("others") == 0),
     ]
-    return seen.select(F.inline(F.array(*stored))).unionAll(
-        state.select(F.inline(F.array(*judged)))
-    )
+    return state.select(F.inline(F.array(*stored, *judged)))

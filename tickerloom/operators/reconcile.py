@@ -10,12 +10,18 @@ from tickerloom.functions.measures import percent, ratio, window_start
 from tickerloom.operators.dedup import dedup
 
 KEYS = ["window_start", "ticker"]
+# Of the payloads that share an id, the smallest by these is compared.
+PAYLOAD_ORDER = ["event_time", "price", "quantity", "ticker"]
 
 
 def batch_bars(
-    trades: DataFrame, duration: str = "1 minute", order_by: list[str] | None = None
+    trades: DataFrame, duration: str = "1 minute", order_by: list[str] | None = PAYLOAD_ORDER
 ) -> DataFrame:
-    """VWAP, count and volume per window of the deduplicated trades."""
+    """VWAP, count and volume per window of the deduplicated trades.
+
+    The result does not depend on row order; ``order_by=None`` keeps any payload of an
+    id, which is enough, and cheaper, where repeats are exact copies.
+    """
     used = ["trade_id", "ticker", "event_time", "price", "quantity"]
     extra = [c for c in order_by or [] if c not in used]
     start = window_start(F.col("event_time"), duration).alias("window_start")
@@ -34,7 +40,7 @@ def reconcile(
     bars: DataFrame,
     duration: str = "1 minute",
     how: str = "inner",
-    order_by: list[str] | None = None,
+    order_by: list[str] | None = PAYLOAD_ORDER,
 ) -> DataFrame:
     """One row per compared window.
 

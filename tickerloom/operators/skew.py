@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import BALANCED_SKEW, HIGH_VOLUME_FACTOR
 
 # A key is split once it has more rows than this; one slice is then one task's work.
 SLICE_ROWS = 5_000_000
-# Upper bound of the broadcast list of hot keys (a few MB).
-MAX_HOT_KEYS = 100_000
+# A dimension that Spark estimates above this many bytes is joined without a broadcast hint.
+MAX_BROADCAST_BYTES = 10 << 20
 
 
-# A dimension above this many rows is joined without a broadcast.
-MAX_BROADCAST_ROWS = 100_000
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate of the optimized plan; runs no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its estimated size is at most ``max_bytes``.
 
-    The check reads no more than ``max_rows + 1`` rows. A larger frame comes back
-    unchanged, and Spark picks the join by its size.
+    An estimate never falls short by leaving out a filter or an aggregate, it is then the
+    size of what is read. A larger frame comes back unchanged, and Spark picks the join.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def spread_hot_keys(
@@ -31,30 +32,27 @@ def spread_hot_keys(
     small: DataFrame,
     keys: list[str],
     weight: str,
-    spread_on: Column,
+    spread_on: list[str],
     slice_rows: int = SLICE_ROWS,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Prepare an inner equi join whose keys may be very uneven on the big side.
 
-    ``small[weight]`` says how many big-side rows a key has. A key above
-    ``slice_rows`` is cut into slices: its big-side rows spread over them by hash
-    and its small-side rows are repeated once per slice. Both sides take the slice
-    count from the same list, so each pair still meets exactly once. The list is
-    limited before it is broadcast; keys beyond the limit, like all cold keys,
-    have the single slice 0. The hash includes the input partition, so copies of
-    one row spread too; it has no random part, so a retried task repeats it.
+    ``small[weight]`` says how many big-side rows a row of the small side stands for; a
+    key has at most the sum over its rows. A key above ``slice_rows`` is cut into slices:
+    its big-side rows spread over them by a hash of ``spread_on``, and its small-side rows
+    are repeated once per slice. Both sides take the slice count from the same list, so
+    each pair meets exactly once. The list has at most one key per ``slice_rows`` big-side
+    rows and no hint; keys that are not on it have the single slice 0. The hash sees row
+    columns only, so filters pass below it and a retried task repeats it.
     """
     hot = (
-        small.filter(F.col(weight) > slice_rows)
-        .groupBy(*keys)
-        .agg(F.max(weight).alias("_rows"))
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(MAX_HOT_KEYS)
+        small.groupBy(*keys)
+        .agg(F.sum(weight).alias("_rows"))
+        .filter(F.col("_rows") > slice_rows)
         .select(*keys, F.ceil(F.col("_rows") / slice_rows).cast("int").alias("_slices"))
     )
-    hot = F.broadcast(hot)
     slices = F.coalesce("_slices", F.lit(1))
-    placed = F.xxhash64(spread_on, F.spark_partition_id())
+    placed = F.xxhash64(*spread_on)
     big = (
         big.join(hot, keys, "left")
         .withColumn("_slice", F.pmod(placed, slices).cast("int"))
@@ -116,8 +114,12 @@ def salted_count(df: DataFrame, key: str, salt_on: str, n: int = 10) -> DataFram
 
 
 def placed_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
-    """What-if: add the ``partition`` a Spark hash of the key would pick among ``n``."""
-    return df.withColumn("partition", F.pmod(F.hash(key), F.lit(n)))
+    """What-if: add the ``partition`` that a hash of the key's text would pick among ``n``.
+
+    The first seven hexadecimal digits of MD5, a hash that other systems have as well.
+    """
+    digits = F.substring(F.md5(F.col(key).cast("string")), 1, 7)
+    return df.withColumn("partition", F.pmod(F.conv(digits, 16, 10).cast("bigint"), F.lit(n)).cast("int"))
 
 
 def key_placement(df: DataFrame, key: str) -> DataFrame:

@@ -25,9 +25,25 @@ def bronze(trades: DataFrame) -> DataFrame:
     return trades.select(*BRONZE_COLUMNS)
 
 
-def in_session(trades: DataFrame, zone: str = "America/New_York") -> DataFrame:
-    """Add ``in_session``: whether the trade falls in regular exchange hours."""
-    return trades.withColumn("in_session", in_regular_session(F.col("event_time"), zone))
+def in_session(
+    trades: DataFrame, zone: str = "America/New_York", holidays: DataFrame | None = None
+) -> DataFrame:
+    """Add ``in_session``: whether the trade falls in regular exchange hours.
+
+    ``holidays`` is a dimension with a ``holiday`` date in local time; trades of such a
+    day are out of session. Without it every weekday is a trading day.
+    """
+    flagged = trades.withColumn("in_session", in_regular_session(F.col("event_time"), zone))
+    if holidays is None:
+        return flagged
+    local_day = F.to_date(F.from_utc_timestamp("event_time", zone))
+    closed = holidays.select(F.col("holiday").alias("_closed")).distinct()
+    return (
+        flagged.withColumn("_day", local_day)
+        .join(broadcast_if_small(closed), F.col("_day") == F.col("_closed"), "left")
+        .withColumn("in_session", F.col("in_session") & F.col("_closed").isNull())
+        .drop("_day", "_closed")
+    )
 
 
 def with_sector(trades: DataFrame, sectors: DataFrame) -> DataFrame:

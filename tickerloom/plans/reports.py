@@ -36,10 +36,14 @@ def boards(trades: DataFrame, bars: DataFrame, bounds: DataFrame) -> dict[str, D
 
 
 def reconciliation_report(
-    trades: DataFrame, bars: DataFrame, duration: str = "1 minute", how: str = "inner"
+    trades: DataFrame,
+    bars: DataFrame,
+    duration: str = "1 minute",
+    how: str = "inner",
+    order_by: list[str] | None = reconcile.PAYLOAD_ORDER,
 ) -> dict[str, DataFrame]:
     """The comparison is stored, as summary and mismatches both read it."""
-    compared = materialize(reconcile.reconcile(trades, bars, duration, how), "compared")
+    compared = materialize(reconcile.reconcile(trades, bars, duration, how, order_by), "compared")
     return {
         "windows": compared,
         "summary": reconcile.reconcile_summary(compared),
@@ -64,7 +68,7 @@ FRESHNESS = {
 def health_report(spark: SparkSession, base_path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """Health of the four tables under ``base_path``; missing ones are reported."""
     paths = {name: f"{base_path.rstrip('/')}/{name}" for name in FRESHNESS}
-    found = read_tables(spark, paths, fmt)
+    found = read_tables(spark, paths, fmt, keep_errors=True)
     rows = health.table_health(
         spark, {name: (found[name], time) for name, time in FRESHNESS.items()}
     )

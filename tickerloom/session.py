@@ -61,7 +61,25 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="tickerloom-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+# What this process put into the shared folder.
+_made: list[str] = []
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process made; returns how many.
+
+    Call it when no frame that reads them is needed any more.
+    """
+    done = 0
+    while _made:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        done += bool(folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True))
+    return done
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,20 +1,24 @@
 """Tables that keep one partition per batch: safe to replay, readable as of a version.
 
-Batch N is the partition ``batch_id=N``. Writing it again replaces that partition
-only, so a batch repeated after a crash leaves no duplicates. A version is
-everything up to a batch, found by partition pruning.
+Batch N is the partition ``batch_group=N div 1000/batch_id=N``. Writing it again replaces
+that partition only, so a batch repeated after a crash leaves no duplicates; an empty batch
+empties it. A log beside the table has one row per batch, empty ones included: number,
+time, rows. A version is everything up to a batch; the log names the groups to read, so a
+reader lists those, not every batch ever written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tickerloom.sources.tables import TableMissing, read_table
 
-BATCH = "batch_id"
+BATCH, GROUP = "batch_id", "batch_group"
+GROUP_SIZE = 1000
+LOG_SCHEMA = "batch_id bigint, written_at timestamp, rows_written bigint"
 
 
 class SchemaMismatch(ValueError):
@@ -39,7 +43,7 @@ def schema_problems(stored: StructType, incoming: StructType) -> list[str]:
 def stored_schema(spark: SparkSession, path: str) -> StructType | None:
     """Columns of the stored table without the batch column; ``None`` if there is none."""
     try:
-        return read_table(spark, path).drop(BATCH).schema
+        return read_table(spark, path).drop(BATCH, GROUP).schema
     except TableMissing:
         return None
 
@@ -61,14 +65,42 @@ def fit_to_schema(df: DataFrame, stored: StructType | None) -> DataFrame:
     ])
 
 
+def log_path(path: str) -> str:
+    return f"{path.rstrip('/')}_batches"
+
+
+def _partition(root: str, batch_id: int) -> str:
+    return f"{root.rstrip('/')}/{GROUP}={batch_id // GROUP_SIZE}/{BATCH}={batch_id}"
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _replace_batch(df: DataFrame, batch_id: int, path: str) -> None:
+    """Data first, then the log: a batch cut short between the two is written again."""
+    spark = df.sparkSession
+    seen = Observation()
     (
-        df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+        df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .withColumns({
+            GROUP: F.lit(batch_id // GROUP_SIZE).cast("bigint"),
+            BATCH: F.lit(batch_id).cast("bigint"),
+        })
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
+        .partitionBy(GROUP, BATCH)
         .parquet(path)
     )
+    rows = seen.get["rows"]
+    if rows == 0:
+        # A dynamic overwrite without rows leaves every partition as it was.
+        _remove(spark, _partition(path, batch_id))
+    entry = spark.range(1).select(
+        F.current_timestamp().alias("written_at"), F.lit(rows).cast("bigint").alias("rows_written")
+    )
+    entry.coalesce(1).write.mode("overwrite").parquet(_partition(log_path(path), batch_id))
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
@@ -99,25 +131,42 @@ def stream_batches(
     )
 
 
-def history(spark: SparkSession, path: str) -> DataFrame:
-    """One row per version: when it was written and how many rows it has.
+def batch_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch number; no rows for a table that has none."""
+    try:
+        log = read_table(spark, log_path(path))
+    except TableMissing:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    return log.select(F.col(BATCH).cast("bigint").alias(BATCH), "written_at", "rows_written")
 
-    Reads no data column: rows are counted from file footers.
-    """
-    return (
-        read_table(spark, path)
-        .groupBy(F.col(BATCH).alias("version"))
-        .agg(
-            F.max("_metadata.file_modification_time").alias("written_at"),
-            F.count("*").alias("rows_written"),
-        )
-        .withColumn("operation", F.lit("append"))
+
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """One row per version, also of those that wrote nothing. Reads the log only."""
+    return batch_log(spark, path).select(
+        F.col(BATCH).alias("version"), "written_at", "rows_written",
+        F.lit("append").alias("operation"),
     )
 
 
-def as_of(spark: SparkSession, path: str, version: int) -> DataFrame:
-    """The table as it was after batch ``version``."""
-    return read_table(spark, path).filter(F.col(BATCH) <= version).drop(BATCH)
+def as_of(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The table as it was after batch ``version``; as it is now without one.
+
+    Lists the groups of batches up to the version, then prunes to its batches.
+    """
+    log = batch_log(spark, path).filter("rows_written > 0")
+    if version is not None:
+        log = log.filter(F.col(BATCH) <= version)
+    # One number per thousand batches.
+    groups = [r[0] for r in log.select(F.expr(f"{BATCH} div {GROUP_SIZE}")).distinct().collect()]
+    whole = read_table(spark, path) if not groups else (
+        spark.read.option("basePath", path)
+        .parquet(*[f"{path.rstrip('/')}/{GROUP}={g}" for g in sorted(groups)])
+    )
+    if not groups:
+        whole = whole.filter(F.lit(False))
+    if version is not None:
+        whole = whole.filter(F.col(BATCH) <= version)
+    return whole.drop(BATCH, GROUP)
 
 
 def version_growth(spark: SparkSession, path: str, version: int = 0) -> DataFrame:

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
 
 NOTHING_STORED = {
     "PATH_NOT_FOUND",
     "UNABLE_TO_INFER_SCHEMA",  # a folder without files
+    "_LEGACY_ERROR_TEMP_1134",  # the same of a streamed table without rows
     "DELTA_TABLE_NOT_FOUND",
     "DELTA_PATH_DOES_NOT_EXIST",
 }
@@ -47,15 +49,23 @@ def read_table(
 
 
 def read_tables(
-    spark: SparkSession, paths: dict[str, str], fmt: str = "parquet"
-) -> dict[str, DataFrame | None]:
-    """Every table that exists; ``None`` for the missing ones."""
-    found: dict[str, DataFrame | None] = {}
+    spark: SparkSession, paths: dict[str, str], fmt: str = "parquet", keep_errors: bool = False
+) -> dict[str, DataFrame | Exception | None]:
+    """Every table that exists; ``None`` for the missing ones.
+
+    ``keep_errors`` puts the error of a table that exists but cannot be read in its place,
+    for reports; otherwise it is raised.
+    """
+    found: dict[str, DataFrame | Exception | None] = {}
     for name, path in paths.items():
         try:
             found[name] = read_table(spark, path, fmt)
         except TableMissing:
             found[name] = None
+        except Exception as error:
+            if not keep_errors:
+                raise
+            found[name] = error
     return found
 
 
@@ -79,19 +89,28 @@ def read_trade_log(
 ) -> DataFrame:
     """The date-partitioned event log, from ``start`` up to but not including ``end``.
 
-    The bounds are UTC. They also select the date partitions, which a filter on
-    ``event_time`` alone would not do. Without bounds, rows without an event time
-    are included.
+    Bounds without a zone are UTC, others are converted. They also select the date
+    partitions, which a filter on ``event_time`` alone would not do. A day more is listed on
+    either side, so a log whose dates were cut in another zone is read right as well.
+    Without bounds, rows without an event time are included.
     """
     log = read_table(spark, path, fmt)
     if start is not None:
         log = log.filter(
-            (F.col("event_date") >= F.lit(start.date()))
-            & (F.col("event_time") >= F.lit(start.isoformat(" ")).cast("timestamp"))
+            (F.col("event_date") >= F.lit(_utc(start).date() - timedelta(days=1)))
+            & (F.col("event_time") >= _instant(start))
         )
     if end is not None:
         log = log.filter(
-            (F.col("event_date") <= F.lit(end.date()))
-            & (F.col("event_time") < F.lit(end.isoformat(" ")).cast("timestamp"))
+            (F.col("event_date") <= F.lit(_utc(end).date() + timedelta(days=1)))
+            & (F.col("event_time") < _instant(end))
         )
     return log.drop("event_date")
+
+
+def _utc(moment: datetime) -> datetime:
+    return moment.replace(tzinfo=UTC) if moment.tzinfo is None else moment.astimezone(UTC)
+
+
+def _instant(moment: datetime) -> Column:
+    return F.timestamp_micros(F.lit((_utc(moment) - EPOCH) // timedelta(microseconds=1)))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import time
+from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tickerloom.fixed_values import THRESHOLD_PCT, TRIGGER, WATERMARK
+from tickerloom.functions.measures import utc_date
 from tickerloom.operators.bars import anomaly_bounds, windowed_vwap
 from tickerloom.operators.trades import bronze, enrich
 from tickerloom.sources.messages import parse_trades
@@ -65,41 +68,82 @@ def start_fan_out(
     threshold_pct: float = THRESHOLD_PCT,
     trigger: dict | None = None,
     fmt: str = "parquet",
-    bronze_by_date: bool = True,
+    by_date: bool = True,
     preview_rows: int | None = None,
 ) -> dict[str, StreamingQuery]:
     """Start the bronze, short-bar, long-bar and bounds queries.
 
-    Each reads the source on its own and has its own checkpoint, so one can fail
-    and resume without the others. Bronze keeps every row however late, and is
-    partitioned by event date so that audits of a day read that day.
+    The first three read the topic, each on its own; the bounds are a projection of the
+    short bars and are streamed from the table these write, without another parse or window
+    state. Every query has its own checkpoint, so one can fail and resume without the
+    others. Bronze keeps every row however late. Tables are partitioned by UTC date
+    (``event_date``, ``window_date``), so that a question about a day reads that day.
+
+    With a trigger that ends by itself the bounds start when the short bars are done, or
+    they would miss the last ones.
     """
     trades = enrich(parse_trades(messages))
     short, long_ = durations
-    log = bronze(trades)
-    if bronze_by_date:
-        log = log.withColumn("event_date", F.to_date("event_time"))
-    frames = {
-        "raw_trades": log,
-        "vwap_1min": windowed_vwap(trades, short, watermark),
-        "vwap_5min": windowed_vwap(trades, long_, watermark),
-        "anomaly_alerts": anomaly_bounds(windowed_vwap(trades, short, watermark), threshold_pct),
-    }
-    started = {
-        name: write_stream(
-            frame, f"{base_path}/{name}", f"{checkpoint_base}/{name}", fmt=fmt,
-            trigger=trigger,
-            partition_by=["event_date"] if name == "raw_trades" and bronze_by_date else None,
+    short_bars = windowed_vwap(trades, short, watermark)
+
+    def start(name: str, frame: DataFrame, time_column: str, date_column: str) -> StreamingQuery:
+        if by_date:
+            frame = frame.withColumn(date_column, utc_date(F.col(time_column)))
+        return write_stream(
+            frame, f"{base_path}/{name}", f"{checkpoint_base}/{name}", fmt=fmt, trigger=trigger,
+            partition_by=[date_column] if by_date else None,
         )
-        for name, frame in frames.items()
+
+    started = {
+        "raw_trades": start("raw_trades", bronze(trades), "event_time", "event_date"),
+        "vwap_1min": start("vwap_1min", short_bars, "window_start", "window_date"),
+        "vwap_5min": start(
+            "vwap_5min", windowed_vwap(trades, long_, watermark), "window_start", "window_date"),
     }
+    if trigger is not None and ("availableNow" in trigger or "once" in trigger):
+        started["vwap_1min"].awaitTermination()
+    stored = stored_stream(messages.sparkSession, f"{base_path}/vwap_1min", short_bars.schema, fmt)
+    started["anomaly_alerts"] = start(
+        "anomaly_alerts", anomaly_bounds(stored, threshold_pct), "window_start", "window_date")
     if preview_rows is not None:
-        started["preview"] = console_preview(
-            frames["vwap_1min"], preview_rows, "bar_preview", trigger
-        )
+        started["preview"] = console_preview(short_bars, preview_rows, "bar_preview", trigger)
     return started
 
 
+def stored_stream(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """The table that another query is writing, as a stream of its committed files."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    reader = spark.readStream.format(fmt)
+    return (reader if fmt == "delta" else reader.schema(schema)).load(path)
+
+
+def compact_days(
+    spark: SparkSession, source: str, target: str, before: date, date_column: str = "window_date",
+    fmt: str = "parquet", bytes_per_file: str = "128MB",
+) -> None:
+    """Rewrite the days before ``before`` of a streamed table into few files per day.
+
+    A stream appends a file per state partition and micro-batch. Its own folder stays as it
+    is, since a file log lists it; ``target`` gets the same rows, day by day replaced, so the
+    step may be repeated. A day larger than a file is split by Spark.
+    """
+    closed = spark.read.format(fmt).load(source).filter(F.col(date_column) < F.lit(before))
+    sizes = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    previous = spark.conf.get(sizes)
+    spark.conf.set(sizes, bytes_per_file)
+    try:
+        (
+            closed.hint("rebalance", date_column)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(date_column).format(fmt).save(target)
+        )
+    finally:
+        spark.conf.set(sizes, previous)
+
+
 def stop_all(queries: dict[str, StreamingQuery]) -> None:
     for query in queries.values():
         if query.isActive:
