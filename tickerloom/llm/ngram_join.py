@@ -34,6 +34,9 @@ SHARE, SCALE = 90, 100
 SCREEN_BITS = 512
 #: Classes along the side of a cell in which pairs are screened together.
 CELL_SIDE = 256
+#: Rows of one family that are screened in one task, and the pairs remembered meanwhile.
+TASK_ROWS = 200_000
+GIVEN_PAIRS = 2_000_000
 _NO_ID = (1 << 63) - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -186,38 +189,74 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
 
 
 def _rest_pairs(blocks: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of one signature that are in different components and pass the screen."""
+    """Pairs of one signature that are in different components and pass the screen.
+
+    Signatures of one family of texts, which share a component, go to the same few tasks, so
+    that a pair found under many signatures leaves a task once.
+    """
     rooted = (blocks.join(roots, blocks["cls"] == roots["node"], "left")
               .select("sig", "cls", "n", F.coalesce("root", "cls").alias("root")))
     open_groups = (rooted.groupBy("sig")
                    .agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("lo"), F.max("root").alias("hi"))
                    # Of two classes the star has compared the only pair.
                    .filter((F.col("g") > 2) & (F.col("lo") < F.col("hi")))
-                   .select("sig", F.ceil(F.col("g") / CELL_SIDE).cast("int").alias("side")))
-    members = (rooted.join(open_groups, "sig").join(classes.select("cls", "screen"), "cls")
+                   .select("sig", "g", "lo", F.ceil(F.col("g") / CELL_SIDE).cast("int").alias("side")))
+    open_groups = stored(open_groups, "open-groups")
+    shares = open_groups.groupBy(F.col("lo").alias("family")).agg(
+        F.ceil(F.sum(F.col("g") * F.col("side")) / TASK_ROWS).cast("int").alias("shares"))
+    dealt = (open_groups.join(shares, open_groups["lo"] == shares["family"])
+             .select("sig", "side", "family", F.pmod(F.xxhash64("sig"), F.col("shares")).alias("share")))
+    members = (rooted.join(dealt, "sig").join(classes.select("cls", "screen"), "cls")
                .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("side")).cast("int")))
     cells = (members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1)))
-             .select("sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                     "own", "cls", "n", "root", "screen"))
-
-    def screened(cell: pa.Table) -> pa.Table:
-        i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
-        own, cls, n, root = (cell[x].to_numpy() for x in ("own", "cls", "n", "root"))
-        bits = np.frombuffer(b"".join(cell["screen"].to_pylist()), np.uint64).reshape(len(cls), -1)
-        rows, columns = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
-        for at in rows:
-            small, large = np.minimum(n[at], n[columns]), np.maximum(n[at], n[columns])
-            distance = np.bitwise_count(bits[at] ^ bits[columns]).sum(axis=1)
-            keep = ((root[at] != root[columns]) & (SCALE * small >= SHARE * large)
-                    & (distance <= small * (SCALE - SHARE) // SHARE))
-            hit = columns[keep]
-            a.append(np.minimum(cls[at], cls[hit]))
-            b.append(np.maximum(cls[at], cls[hit]))
-        return pa.table({"a": np.concatenate(a) if a else np.zeros(0, np.int64),
-                         "b": np.concatenate(b) if b else np.zeros(0, np.int64)})
-
-    return cells.groupBy("sig", "i", "j").applyInArrow(screened, "a long, b long").distinct()
+             .select("family", "share", "sig", F.least("own", "other").alias("i"),
+                     F.greatest("own", "other").alias("j"), "own", "cls", "n", "root", "screen"))
+
+    def screened(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        family, given = None, set()
+        for cell in _cells(stream):
+            own = (cell["family"][0].as_py(), cell["share"][0].as_py())
+            if own != family or len(given) > GIVEN_PAIRS:
+                family, given = own, set()
+            fresh = [pair for pair in _screened_cell(cell) if pair not in given]
+            given.update(fresh)
+            yield from batches(fresh, _PAIRS)
+
+    return (cells.repartition("family", "share")
+            .sortWithinPartitions("family", "share", "sig", "i", "j")
+            .mapInArrow(screened, "a long, b long").distinct())
+
+
+def _cells(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one cell after the other; a cell has a bounded number of rows."""
+    held: list[pa.RecordBatch] = []
+    key = None
+    for batch in stream:
+        names = np.stack([batch.column(x).to_numpy().astype(np.int64) for x in ("sig", "i", "j")])
+        edges = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+        for first, last in zip([0, *edges], [*edges, batch.num_rows]):
+            own = tuple(names[:, first]) if last > first else key
+            if own != key and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            key = own
+            held.append(batch.slice(first, last - first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _screened_cell(cell: pa.Table) -> Iterator[tuple[int, int]]:
+    i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
+    own, cls, n, root = (cell[x].to_numpy() for x in ("own", "cls", "n", "root"))
+    bits = np.frombuffer(b"".join(cell["screen"].to_pylist()), np.uint64).reshape(len(cls), -1)
+    columns = np.flatnonzero(own == j)
+    for at in np.flatnonzero(own == i):
+        small, large = np.minimum(n[at], n[columns]), np.maximum(n[at], n[columns])
+        distance = np.bitwise_count(bits[at] ^ bits[columns]).sum(axis=1)
+        keep = ((root[at] != root[columns]) & (SCALE * small >= SHARE * large)
+                & (distance <= small * (SCALE - SHARE) // SHARE))
+        for other in cls[columns[keep]].tolist():
+            yield min(int(cls[at]), other), max(int(cls[at]), other)
 
 
 def linked_documents(docs: DataFrame) -> DataFrame:
