@@ -134,23 +134,35 @@ def _sketched(docs: DataFrame) -> DataFrame:
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _star_pairs(blocks: DataFrame) -> DataFrame:
-    """(a, b): every class of a signature with the signature's first class of fitting size."""
+_SHARED = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("pivot", pa.int64())])
+
+
+def _shared_blocks(blocks: DataFrame) -> DataFrame:
+    """(sig, cls, n, pivot): the classes of every signature that several classes have.
+
+    The pivot is the signature's first class of fitting size, itself for that class. Most
+    signatures have one class; they leave no row, and the rest of the work never sees them.
+    """
 
     def tie(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            current, pivot, size = None, 0, 0
+            current, pivot, size, alone = None, 0, 0, False
             for batch in stream:
                 for sig, cls, n in zip(*(column.to_pylist() for column in batch.columns)):
-                    if sig != current or not _sizes_fit(size, n):
-                        current, pivot, size = sig, cls, n
-                    elif cls != pivot:
-                        yield min(cls, pivot), max(cls, pivot)
-
-        yield from batches(rows(), _PAIRS)
+                    if sig != current:
+                        current, pivot, size, alone = sig, cls, n, True
+                        continue
+                    if alone:
+                        yield sig, pivot, size, pivot
+                        alone = False
+                    if not _sizes_fit(size, n):
+                        pivot, size = cls, n
+                    yield sig, cls, n, pivot
+
+        yield from batches(rows(), _SHARED)
 
     return (blocks.repartition("sig").sortWithinPartitions("sig", "n", "cls")
-            .select("sig", "cls", "n").mapInArrow(tie, "a long, b long").distinct())
+            .select("sig", "cls", "n").mapInArrow(tie, "sig long, cls long, n long, pivot long"))
 
 
 def _sizes_fit(small: int, large: int) -> bool:
@@ -188,13 +200,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
             .mapInArrow(verify, "a long, b long"))
 
 
-def _rest_pairs(blocks: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+def _rest_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of one signature that are in different components and pass the screen.
 
     Signatures of one family of texts, which share a component, go to the same few tasks, so
     that a pair found under many signatures leaves a task once.
     """
-    rooted = (blocks.join(roots, blocks["cls"] == roots["node"], "left")
+    rooted = (shared.join(roots, shared["cls"] == roots["node"], "left")
               .select("sig", "cls", "n", F.coalesce("root", "cls").alias("root")))
     open_groups = (rooted.groupBy("sig")
                    .agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("lo"), F.max("root").alias("hi"))
@@ -273,10 +285,12 @@ def linked_documents(docs: DataFrame) -> DataFrame:
                                                F.first("screen").alias("screen"),
                                                F.first("sigs").alias("sigs")), "classes")
     blocks = classes.select("cls", "n", F.explode("sigs").alias("sig"))
-    stars = stored(_star_pairs(blocks), "star-pairs")
+    shared = stored(_shared_blocks(blocks), "shared-blocks")
+    stars = stored(shared.filter("cls != pivot").select(
+        F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "star-pairs")
     linked = stored(_verified(stars, rows, classes), "star-links")
     roots = components(linked, "star-components")
-    rest = stored(_rest_pairs(blocks, roots, classes).join(stars, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = stored(_rest_pairs(shared, roots, classes).join(stars, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
         more = stored(_verified(rest, rows, classes), "rest-links")
         roots = components(linked.unionAll(more), "all-components")
