@@ -123,6 +123,8 @@ def leaves(page: str) -> list[tuple[str, str]]:
                     out.append((" ", text))
                 continue
         out.append((symbol, text))
+        if symbol.startswith("<br"):
+            out.append((" ", " "))
     return out
 
 
