@@ -22,7 +22,7 @@ from tickerloom.llm.common import batches, documents
 
 BITS = 22
 #: Labelled rows used for training at most, by the smallest hash of their id.
-TRAIN_ROWS = 16_384
+TRAIN_ROWS = 32_768
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
 THRESHOLD = 0.7
