@@ -1,0 +1,168 @@
+"""Chat formatting, pseudonyms and toxicity: round trips and held-out accuracy."""
+
+import hashlib
+import json
+import os
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tickerloom.llm.chat import (
+    LAYOUTS,
+    canonical_turns,
+    field_paths,
+    fingerprint,
+    format_conversations,
+    format_turns,
+    parse_formatted,
+    read_back,
+)
+from tickerloom.llm.pii import Feistel, Pseudonymizer, luhn_digit, pseudonymize, restore
+from tickerloom.llm.toxicity import fit, score, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+RECORDS = [
+    {"messages": [{"role": "system", "content": "s"}, {"role": "user", "content": "u"}], "extra": {"a": [1]}},
+    {"messages": [{"role": "user", "content": [{"type": "text", "text": "p1"}, {"type": "text", "text": "p2"}]}]},
+    {"conversations": [{"from": "human", "value": "hi"}, {"from": "gpt", "value": "yo"}]},
+    {"instruction": "do", "input": "", "output": "done"},
+    {"instruction": "do", "input": "this", "output": "done", "system": "be"},
+    {"prompt": "p", "completion": "c"},
+    {"prompt": "p", "response": None},
+    {"question": "q", "answer": "a", "context": "ctx"},
+    {"role": "user", "text": "row"},
+    {"something": "else"},
+    [1, 2],
+]
+TURNS = [
+    [("system", "s"), ("user", "u")], [("user", "p1p2")], [("user", "hi"), ("assistant", "yo")],
+    [("user", "do"), ("assistant", "done")], [("system", "be"), ("user", "do\nthis"), ("assistant", "done")],
+    [("user", "p"), ("assistant", "c")], [("user", "p"), ("assistant", "")],
+    [("user", "ctx\nq"), ("assistant", "a")], [("user", "row")], [], [],
+]
+
+
+def test_layouts_become_turns(spark):
+    rows = [(n, 0, json.dumps(r)) for n, r in enumerate(RECORDS)] + [(99, 0, "no json"), (100, 0, None)]
+    out = canonical_turns(spark.createDataFrame(rows, "conv_id long, position long, record string")).collect()
+    for n, want in enumerate(TURNS):
+        own = sorted((r.turn, r.role, r.text) for r in out if r.conv_id == n and r.turn is not None)
+        assert [(role, text) for _, role, text in own] == want
+    assert {r.conv_id for r in out if r.turn is None} == {9, 10, 99, 100}
+
+
+def test_fingerprints_see_paths_not_values_or_order():
+    a, b = {"x": {"y": [{"z": 1}]}, "w": 2}, {"w": None, "x": {"y": [{"z": "q"}, {"z": []}]}}
+    assert field_paths(a) == {"x", "x.y", "x.y[].z", "w"}
+    assert fingerprint(field_paths(a)) == fingerprint(field_paths(b)) != fingerprint({"x"})
+    assert all(layout.needs for layout in LAYOUTS)
+
+
+def test_texts_with_markers_survive(spark):
+    said = ["\\### Assistant: </turn> ok", "</turn>\n### user: x", "\\", "###", "", "a\n\\\\</turn>\n", "日本"]
+    rows = [(1, n, role, text) for n, text in enumerate(said) for role in ["assistant" if n % 2 else "us:er\\"]]
+    rows += [(2, 0, None, None), (None, 0, "assistant", "x"), (1, 3, "assistant", "###")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    back = {r.conv_id: r for r in read_back(format_conversations(table)).collect()}
+    whole = "".join(r.piece for r in format_conversations(table.filter("conv_id = 1"))
+                    .orderBy("position", "turn", "piece").collect())
+    turns, rest = parse_formatted(whole)
+    assert rest == "" and sorted(t for _, t in turns) == sorted([*said, "###"])
+    own = back[1]
+    assert own.n_turns == 8 and own.formatted_chars == len(whole)
+    learned = "".join(t for r, t in turns if r == "assistant")
+    assert (own.loss_chars, own.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    assert own.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    assert back[2].n_turns == 1 and back[None].loss_chars == 1
+    assert read_back(format_conversations(table.limit(0))).count() == 0
+
+
+def test_loss_spans_mark_assistant_texts(spark):
+    table = spark.createDataFrame([(1, 0, 0, "assistant", "a###b", "x", "y"), (1, 0, 1, "user", "q", "x", "y")],
+                                  "conv_id long, position long, turn long, role string, text string, "
+                                  "layout string, fingerprint string")
+    own, other = format_turns(table).orderBy("turn").collect()
+    assert own.piece[own.loss_start:own.loss_start + own.loss_length] == "a\\###b"
+    assert other.loss_start is None
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(2, 10**9), st.data())
+def test_the_network_permutes_any_size(size, data):
+    f, value = Feistel(b"k"), data.draw(st.integers(0, size - 1))
+    out = f.permute(value, size, "t")
+    assert 0 <= out < size and f.permute(out, size, "t", inverse=True) == value
+
+
+def test_a_small_domain_is_permuted():
+    f = Feistel(b"k")
+    assert sorted(f.permute(n, 100, "t") for n in range(100)) == list(range(100))
+
+
+PRIVATE = ["4785380592391139", "4785 3805 9239 1139", "+1 (743) 555-3824", "743-555-3824", "152.143.123.131",
+           "enbest.54@mail3.example.com", "2021-03-04", "25/12/1990", "12/25/1990", "078-05-1120",
+           "DE89 3704 0044 0532 0130 00", "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]
+CLEAN = ["1234567890123456", "999.1.2.3", "version 1.2.3.4.5", "666-12-1234", "2021-13-45", "plain text", "100,000",
+         "a1b2c3", "12.5%", "id 12345"]
+
+
+@pytest.mark.parametrize("value", PRIVATE)
+def test_values_change_within_their_format_and_can_be_restored(value):
+    text = f"before {value} after, again {value}."
+    changed, counts = Pseudonymizer(b"key").replace(text)
+    assert value not in changed and sum(counts.values()) == 2
+    fresh = changed.removeprefix("before ").split(" after, ")[0]
+    assert changed == f"before {fresh} after, again {fresh}."
+    shape = ["9" if c.isdigit() else "a" if c.isalpha() else c for c in value]
+    if "." not in value or "@" in value:
+        if not any(c in "abcdef" for c in value):
+            assert ["9" if c.isdigit() else "a" if c.isalpha() else c for c in fresh] == shape
+    assert Pseudonymizer(b"key", inverse=True).replace(changed)[0] == text
+    assert Pseudonymizer(b"other").replace(text)[0] != changed
+
+
+@pytest.mark.parametrize("text", CLEAN)
+def test_other_text_is_left_alone(text):
+    assert Pseudonymizer(b"key").replace(text) == (text, {})
+
+
+def test_cards_stay_valid_and_neighbours_are_both_found():
+    changed, counts = Pseudonymizer(b"k").replace("x 4785380592391139 4465758382889437 y")
+    assert counts == {"card": 2}
+    assert all(luhn_digit(n[:-1]) == n[-1] and n[0] == "4" for n in changed.split()[1:3])
+
+
+def test_documents_with_any_columns(spark):
+    rows = [(1, "call +1 (743) 555-3824", "x", 9), (2, None, None, None), (2, "", "y", 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found string, n_chars long")
+    out = pseudonymize(docs.drop("found"), b"k", carry=("n_chars",))
+    assert out.columns == ["doc_id", "text", "found", "n_chars"] and out.count() == 6
+    assert {r.text for r in out.collect() if r.doc_id == 2} == {""}
+    assert {r.text for r in restore(out, b"k").collect()} == {"", "call +1 (743) 555-3824"}
+    assert pseudonymize(docs.limit(0)).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no provided tables here")
+def test_held_out_labels_are_predicted(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
+    rows = (toxicity(docs, labels).join(labels, "doc_id").filter("held_out")
+            .select("score", "predicted", "toxic").toPandas())
+    good, bad = rows[rows.toxic == 1].score, rows[rows.toxic == 0].score
+    auc = (good.to_numpy()[:, None] > bad.to_numpy()[None, :]).mean()
+    assert auc > 0.97 and rows[rows.predicted == 1].toxic.mean() > 0.95
+    assert rows[rows.toxic == 1].predicted.mean() > 0.6
+
+
+def test_scores_of_odd_rows(spark):
+    docs = spark.createDataFrame(
+        [(1, None, 0.5), (2, "", 0.5), (None, "bad bad", 0.5), (3, "word " * 50_000, 0.5), (3, "x", 0.5)],
+        "doc_id long, text string, score double")
+    nothing = spark.createDataFrame([], "doc_id long, toxic int")
+    assert {r.score for r in toxicity(docs, nothing).collect()} == {0.5}
+    labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (9, 1)], "doc_id long, toxic int")
+    out = toxicity(docs, labels).collect()
+    assert len(out) == 5 and all(0 <= r.score <= 1 for r in out)
+    assert toxicity(docs.limit(0), labels).count() == 0
+    assert score(docs, fit(docs, labels)).columns == ["doc_id", "score"]
