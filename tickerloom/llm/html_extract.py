@@ -48,6 +48,8 @@ ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner
                         "respond notice cookie cookies consent popup modal overlay alert newsletter "
                         "subscribe subscription signup login share sharing social toolbar pagination pager "
                         "form search hidden contentinfo complementary".split())
+HOLDERS = frozenset("html body article main".split())
+STATE_WORDS = frozenset("has with no without open closed enabled disabled".split())
 MAIN_WORDS = frozenset("article content main post story entry".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
@@ -70,6 +72,9 @@ def _mark(name: str, attributes: str) -> str:
                 return "-"
             continue
         words.update(_SPLIT.split(_CAMEL.sub("-", value).lower()))
+    if name in HOLDERS or words & STATE_WORDS:
+        # "has-sidebar" or "comments-open" on a holder of the page tell of it, not what it is.
+        words -= ASIDE_WORDS
     if name in ASIDE_TAGS or words & ASIDE_WORDS:
         return "-"
     return "+" if name in MAIN_TAGS or words & MAIN_WORDS else ""
