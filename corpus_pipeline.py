@@ -14,11 +14,14 @@ from pyspark.sql import functions as F
 
 from tickerloom.llm.common import read, stored
 from tickerloom.llm.decontaminate import without_leaks
-from tickerloom.llm.ngram_join import linked_documents
+from tickerloom.llm.ngram_join import Rule, linked_documents
 from tickerloom.llm.packing import pack
 from tickerloom.llm.pii import pseudonymize
 from tickerloom.llm.toxicity import THRESHOLD, fit, score
 
+#: Five-word shingles, similarity of 0.8 or more.
+NEAR_DUPLICATES = Rule(words=5, share=80)
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -35,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words are linked with nothing and stay. Rows equal in id and text are
     copies; rows of one id with different texts each stay where their id names a component.
     """
-    kept = (linked_documents(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = (linked_documents(docs, NEAR_DUPLICATES).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
     kept = stored(kept, "representatives")
 

@@ -2,8 +2,8 @@
 
 Documents with equal shingle sets form one class; everything below is done once per class.
 
-Two sets with similarity of 0.9 or more differ in few shingles: in at most a ninth of the
-smaller one. Each set is hashed into blocks of bits by XOR (a bit is the parity of the
+Two sets of a high similarity differ in few shingles: for 0.9 in at most a ninth of the
+smaller one, for 0.8 in a quarter. Each set is hashed into blocks of bits by XOR (a bit is the parity of the
 shingles that fall on it), one block more than sets of its size band may differ in
 shingles. A differing shingle flips one bit, so the Hamming distance of two sketches bounds
 their difference from below, and at least one block of a similar pair is untouched. Classes
@@ -17,7 +17,9 @@ are screened by their sketches, in square cells of bounded side, and verified.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +30,40 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import batches, documents, stored
 from tickerloom.llm.components import components
 
-WORDS = 3
-#: Similarity as integers: linked when SCALE * intersection >= SHARE * union.
-SHARE, SCALE = 90, 100
+SCALE = 100
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Linked when SCALE * intersection >= share * union, on shingles of so many words."""
+
+    words: int = 3
+    share: int = 90
+
+    def sizes_fit(self, small, large):
+        return SCALE * small >= self.share * large
+
+    def similar(self, a: np.ndarray, b: np.ndarray) -> bool:
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return SCALE * common >= self.share * (len(a) + len(b) - common)
+
+    def most_differing(self, size):
+        """Shingles in which a set of this size may differ from one that is not smaller."""
+        return size * (SCALE - self.share) // self.share
+
+    def size_bands(self, largest: int = 1 << 40) -> list[int]:
+        """Upper ends of bands such that a similar set lies in the same band or in the next one."""
+        ends = [self.share // (SCALE - self.share) - 1]     # smaller sets link with equal ones only
+        while ends[-1] < largest:
+            ends.append(max(ends[-1] + 1, ends[-1] * SCALE // self.share))
+        return ends
+
+
+@functools.lru_cache
+def _bands(rule: Rule) -> np.ndarray:
+    return np.array(rule.size_bands(), np.int64)
+
+
 SCREEN_BITS = 512
 #: Classes along the side of a cell in which pairs are screened together.
 CELL_SIDE = 256
@@ -46,7 +79,7 @@ def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def shingles(text: str, words: int = WORDS) -> np.ndarray:
+def shingles(text: str, words: int) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; all words as one where there are fewer.
 
     Words are parted by ASCII white space and A-Z are lower-cased, nothing else.
@@ -62,30 +95,15 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     return np.unique(total)
 
 
-def most_differing(size: int) -> int:
-    """Shingles in which a set of this size may differ from one that is not smaller."""
-    return size * (SCALE - SHARE) // SHARE
-
-
-def size_bands(largest: int) -> list[int]:
-    """Upper ends of bands such that a similar set lies in the same band or in the next one."""
-    ends = [SHARE // (SCALE - SHARE) - 1]       # smaller sets link with equal ones only
-    while ends[-1] < largest:
-        ends.append(max(ends[-1] + 1, ends[-1] * SCALE // SHARE))
-    return ends
-
-
-_BANDS = np.array(size_bands(1 << 40), np.int64)
-
-
-def signatures(own: np.ndarray) -> np.ndarray:
+def signatures(own: np.ndarray, rule: Rule) -> np.ndarray:
     """One number per block: of the own band, and of the band below as the larger set."""
-    band = int(np.searchsorted(_BANDS, len(own)))
+    bands = _bands(rule)
+    band = int(np.searchsorted(bands, len(own)))
     out = []
     for level in (band, band - 1):
         if level < 1:
             continue
-        blocks = most_differing(int(_BANDS[level])) + 1
+        blocks = rule.most_differing(int(bands[level])) + 1
         mixed = _mixed(own, 11 + level)
         place = ((mixed >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
         parity = np.zeros(blocks, np.uint64)
@@ -104,40 +122,74 @@ def screen(own: np.ndarray) -> bytes:
     return parity.tobytes()
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    return SCALE * common >= SHARE * (len(a) + len(b) - common)
-
-
 _SKETCHED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
-                       ("screen", pa.binary()), ("sigs", pa.list_(pa.int64()))])
+                       ("screen", pa.binary())])
 
 
 def class_of(own: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes())).astype(np.int64))
 
 
-def _sketched(docs: DataFrame) -> DataFrame:
+def _sketched(docs: DataFrame, rule: Rule) -> DataFrame:
     def sketch(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in stream:
                 for doc_id, text in zip(*batch.columns):
-                    own = shingles(text.as_py())
-                    yield (doc_id.as_py(), len(own), class_of(own), screen(own),
-                           signatures(own).view(np.int64))
+                    own = shingles(text.as_py(), rule.words)
+                    yield doc_id.as_py(), len(own), class_of(own), screen(own)
+
+        yield from batches(rows(), _SKETCHED)
+
+    return docs.mapInArrow(sketch, "doc_id long, n long, cls long, screen binary")
 
-        yield from batches(rows(), _SKETCHED, 512)
 
-    return docs.mapInArrow(sketch, "doc_id long, n long, cls long, screen binary, sigs array<long>")
+_BLOCKS = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())])
+#: Classes whose blocks a task remembers to have given.
+GIVEN_CLASSES = 1_000_000
+
+
+def _blocks(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(sig, cls, n): the blocks of every class, once per task that reads copies of it.
+
+    The blocks are made from the texts again rather than kept: they are several times as large
+    as the sketches, and go straight to the shuffle.
+    """
+
+    def block(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given: set[int] = set()
+        for batch in stream:
+            sigs, classes, sizes = [], [], []
+            for text in batch.column(0):
+                own = shingles(text.as_py(), rule.words)
+                cls = class_of(own)
+                if not len(own) or cls in given:
+                    continue
+                if len(given) >= GIVEN_CLASSES:
+                    given.clear()
+                given.add(cls)
+                sigs.append(signatures(own, rule).view(np.int64))
+                classes.append(np.full(len(sigs[-1]), cls, np.int64))
+                sizes.append(np.full(len(sigs[-1]), len(own), np.int32))
+                if sum(map(len, sigs)) > 100_000:
+                    yield _arrays(sigs, classes, sizes)
+                    sigs, classes, sizes = [], [], []
+            if sigs:
+                yield _arrays(sigs, classes, sizes)
+
+    return docs.select("text").mapInArrow(block, "sig long, cls long, n int")
+
+
+def _arrays(*columns: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], schema=_BLOCKS)
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-_SHARED = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int64()), ("pivot", pa.int64())])
+_SHARED = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("pivot", pa.int64())])
 
 
-def _shared_blocks(blocks: DataFrame) -> DataFrame:
+def _shared_blocks(blocks: DataFrame, rule: Rule) -> DataFrame:
     """(sig, cls, n, pivot): the classes of every signature that several classes have.
 
     The pivot is the signature's first class of fitting size, itself for that class. Most
@@ -146,45 +198,44 @@ def _shared_blocks(blocks: DataFrame) -> DataFrame:
 
     def tie(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            current, pivot, size, alone = None, 0, 0, False
+            current, pivot, size, alone, last = None, 0, 0, False, 0
             for batch in stream:
                 for sig, cls, n in zip(*(column.to_pylist() for column in batch.columns)):
                     if sig != current:
-                        current, pivot, size, alone = sig, cls, n, True
+                        current, pivot, size, alone, last = sig, cls, n, True, cls
                         continue
+                    if cls == last:
+                        continue        # another task's copy
+                    last = cls
                     if alone:
                         yield sig, pivot, size, pivot
                         alone = False
-                    if not _sizes_fit(size, n):
+                    if not rule.sizes_fit(size, n):
                         pivot, size = cls, n
                     yield sig, cls, n, pivot
 
         yield from batches(rows(), _SHARED)
 
     return (blocks.repartition("sig").sortWithinPartitions("sig", "n", "cls")
-            .select("sig", "cls", "n").mapInArrow(tie, "sig long, cls long, n long, pivot long"))
-
-
-def _sizes_fit(small: int, large: int) -> bool:
-    return SCALE * small >= SHARE * large
+            .select("sig", "cls", "n").mapInArrow(tie, "sig long, cls long, n int, pivot long"))
 
 
 _SETS = pa.schema([("cls", pa.int64()), ("own", pa.binary())])
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
     def hashed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(((class_of(own), own.tobytes()) for batch in stream
-                            for text in batch.column(0) for own in [shingles(text.as_py())]), _SETS, 256)
+                            for text in batch.column(0) for own in [shingles(text.as_py(), rule.words)]), _SETS, 256)
 
     return docs.select("text").mapInArrow(hashed, "cls long, own binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose sets are similar. Only documents that stand for a candidate are moved."""
     wanted = (pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
               .join(classes.select("cls", "doc_id"), "cls"))
-    sets = (_sets(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"))
+    sets = (_sets(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), rule)
             .join(wanted.select("cls"), "cls", "left_semi"))
     sets = stored(sets.groupBy("cls").agg(F.first("own").alias("own")), "shingle-sets")
     left = sets.select(F.col("cls").alias("a"), F.col("own").alias("own_a"))
@@ -193,14 +244,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     def verify(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from batches(
             ((a.as_py(), b.as_py()) for batch in stream for a, b, x, y in zip(*batch.columns)
-             if similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))),
+             if rule.similar(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64))),
             _PAIRS)
 
     return (pairs.join(left, "a").join(right, "b").select("a", "b", "own_a", "own_b")
             .mapInArrow(verify, "a long, b long"))
 
 
-def _rest_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame) -> DataFrame:
+def _rest_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of one signature that are in different components and pass the screen.
 
     Signatures of one family of texts, which share a component, go to the same few tasks, so
@@ -230,7 +281,7 @@ def _rest_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame) -> Data
             own = (cell["family"][0].as_py(), cell["share"][0].as_py())
             if own != family or len(given) > GIVEN_PAIRS:
                 family, given = own, set()
-            fresh = [pair for pair in _screened_cell(cell) if pair not in given]
+            fresh = [pair for pair in _screened_cell(cell, rule) if pair not in given]
             given.update(fresh)
             yield from batches(fresh, _PAIRS)
 
@@ -257,42 +308,40 @@ def _cells(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _screened_cell(cell: pa.Table) -> Iterator[tuple[int, int]]:
+def _screened_cell(cell: pa.Table, rule: Rule) -> Iterator[tuple[int, int]]:
     i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
-    own, cls, n, root = (cell[x].to_numpy() for x in ("own", "cls", "n", "root"))
+    own, cls, n, root = (cell[x].to_numpy().astype(np.int64) for x in ("own", "cls", "n", "root"))
     bits = np.frombuffer(b"".join(cell["screen"].to_pylist()), np.uint64).reshape(len(cls), -1)
     columns = np.flatnonzero(own == j)
     for at in np.flatnonzero(own == i):
         small, large = np.minimum(n[at], n[columns]), np.maximum(n[at], n[columns])
         distance = np.bitwise_count(bits[at] ^ bits[columns]).sum(axis=1)
-        keep = ((root[at] != root[columns]) & (SCALE * small >= SHARE * large)
-                & (distance <= small * (SCALE - SHARE) // SHARE))
+        keep = ((root[at] != root[columns]) & rule.sizes_fit(small, large)
+                & (distance <= rule.most_differing(small)))
         for other in cls[columns[keep]].tolist():
             yield min(int(cls[at]), other), max(int(cls[at]), other)
 
 
-def linked_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id): components of all documents under similarity 0.9.
+def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """(doc_id, n_shingles, component_id): components of all documents under the rule.
 
     ``component_id`` is the smallest doc_id reachable, the own one included. A document
     without words has no shingles and is linked with nothing. Repeated rows are copies of each
     other. A NULL doc_id takes part and never names a component that has another id.
     """
     rows = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    sketched = stored(_sketched(rows), "sketches")
+    sketched = stored(_sketched(rows, rule), "sketches")
     worded = sketched.filter("n > 0")
     classes = stored(worded.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"),
-                                               F.first("screen").alias("screen"),
-                                               F.first("sigs").alias("sigs")), "classes")
-    blocks = classes.select("cls", "n", F.explode("sigs").alias("sig"))
-    shared = stored(_shared_blocks(blocks), "shared-blocks")
+                                               F.first("screen").alias("screen")), "classes")
+    shared = stored(_shared_blocks(_blocks(rows, rule), rule), "shared-blocks")
     stars = stored(shared.filter("cls != pivot").select(
         F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "star-pairs")
-    linked = stored(_verified(stars, rows, classes), "star-links")
+    linked = stored(_verified(stars, rows, classes, rule), "star-links")
     roots = components(linked, "star-components")
-    rest = stored(_rest_pairs(shared, roots, classes).join(stars, ["a", "b"], "left_anti"), "rest-pairs")
+    rest = stored(_rest_pairs(shared, roots, classes, rule).join(stars, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
-        more = stored(_verified(rest, rows, classes), "rest-links")
+        more = stored(_verified(rest, rows, classes, rule), "rest-links")
         roots = components(linked.unionAll(more), "all-components")
     rooted = (classes.join(roots, classes["cls"] == roots["node"], "left")
               .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")))
