@@ -43,16 +43,16 @@ def edited_copy(own, edits, seed):
 
 # --- n-gram join ---
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     own = (text or "").lower().split() if text and text.isascii() else re.split("[ \t-\r]+", text or "")
     own = [w for w in own if w]
     if not own:
         return frozenset()
-    return frozenset(tuple(own[n:n + 3]) for n in range(len(own) - 2)) if len(own) > 2 else frozenset([tuple(own)])
+    return frozenset(tuple(own[n:n + size]) for n in range(max(1, len(own) - size + 1)))
 
 
-def brute_components(rows):
-    sets = [shingle_set(text) for _, text in rows]
+def brute_components(rows, rule=ngrams.Rule()):
+    sets = [shingle_set(text, rule.words) for _, text in rows]
     root = list(range(len(rows)))
 
     def find(n):
@@ -62,7 +62,7 @@ def brute_components(rows):
 
     for a in range(len(rows)):
         for b in range(a):
-            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b]):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= rule.share * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
     groups = {}
@@ -71,8 +71,8 @@ def brute_components(rows):
     return sorted((rows[n][0], len(sets[n]), min(groups[find(n)])) for n in range(len(rows)))
 
 
-def found(docs):
-    return sorted(tuple(r) for r in ngrams.linked_documents(docs).collect())
+def found(docs, rule=ngrams.Rule()):
+    return sorted(tuple(r) for r in ngrams.linked_documents(docs, rule).collect())
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +94,8 @@ def families():
 def test_components_equal_brute_force(spark, families):
     docs = spark.createDataFrame(families, "doc_id long, text string").withColumn("cls", F.lit("clash"))
     assert found(docs) == brute_components(families)
+    loose = ngrams.Rule(words=5, share=80)
+    assert found(docs, loose) == brute_components(families, loose)
 
 
 def test_all_pairs_of_large_groups_are_screened(spark, families, monkeypatch):
@@ -114,20 +116,22 @@ def test_odd_ids_and_no_rows(spark):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.integers(9, 400), st.integers(0, 60), st.integers(0, 10**6))
-def test_similar_sets_share_a_signature(size, changed, seed):
+@given(st.integers(3, 400), st.integers(0, 60), st.integers(0, 10**6), st.sampled_from([80, 90]))
+def test_similar_sets_share_a_signature(size, changed, seed, share):
+    rule = ngrams.Rule(share=share)
     rng = np.random.default_rng(seed)
     whole = rng.integers(0, 1 << 63, size + changed).astype(np.uint64)
     a, b = np.unique(whole[:size]), np.unique(whole[changed:])
-    if ngrams.similar(a, b):
-        assert len(a) == len(b) and len(set(ngrams.signatures(a).tolist()) & set(ngrams.signatures(b).tolist()))
+    if rule.similar(a, b) and set(a.tolist()) != set(b.tolist()):
+        assert set(ngrams.signatures(a, rule).tolist()) & set(ngrams.signatures(b, rule).tolist())
     x, y = (np.frombuffer(ngrams.screen(s), np.uint64) for s in (a, b))
     assert np.bitwise_count(x ^ y).sum() <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
 def test_size_bands_hold_their_neighbours():
-    ends = ngrams.size_bands(10**6)
-    assert all(nxt >= end * 100 // 90 for end, nxt in zip(ends, ends[1:]))
+    for share in (80, 90):
+        ends = ngrams.Rule(share=share).size_bands(10**6)
+        assert all(nxt >= end * 100 // share for end, nxt in zip(ends, ends[1:]))
 
 
 def test_components_of_paths_stars_and_loops(spark):
@@ -272,6 +276,8 @@ def test_article_text_of_whole_pages():
     ("<main><p>in</p></main><p>out</p>", "in"), ("<div class='post-content'>x</div><div class='related'>y</div>", "x"),
     ("<article>cut of<p>f in the <b", "cut of f in the"), ("<script>only", ""), ("<article></article><p>x</p>", "x"),
     ("<article><p>a</p><div hidden>h</div><p style='display:none'>h</p><p>b</p></article>", "a b"),
+    ("<body class='has-sidebar comments-open'><article class='post share-enabled'><p>a</p></article></body>", "a"),
+    ("<div class='layout with-sidebar'><p>a</p><div class=sidebar>s</div></div>", "a"),
     ("<p>1 < 2 and 3 > 2</p>", "1 < 2 and 3 > 2"), ("<article><table><tr><td>a<td>b<tr><td>c</table></article>", "a b c"),
 ])
 def test_odd_pages(page, want):
