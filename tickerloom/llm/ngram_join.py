@@ -44,6 +44,8 @@ class Rule:
         return SCALE * small >= self.share * large
 
     def similar(self, a: np.ndarray, b: np.ndarray) -> bool:
+        if not self.sizes_fit(min(len(a), len(b)), max(len(a), len(b))):
+            return False
         common = len(np.intersect1d(a, b, assume_unique=True))
         return SCALE * common >= self.share * (len(a) + len(b) - common)
 
@@ -67,9 +69,6 @@ def _bands(rule: Rule) -> np.ndarray:
 SCREEN_BITS = 512
 #: Classes along the side of a cell in which pairs are screened together.
 CELL_SIDE = 256
-#: Rows of one family that are screened in one task, and the pairs remembered meanwhile.
-TASK_ROWS = 200_000
-GIVEN_PAIRS = 2_000_000
 _NO_ID = (1 << 63) - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -114,14 +113,28 @@ def signatures(own: np.ndarray, rule: Rule) -> np.ndarray:
 
 
 def screen(own: np.ndarray) -> bytes:
-    """A parity sketch of fixed width, whose Hamming distance bounds the difference from below."""
-    parity = np.zeros(SCREEN_BITS // 64, np.uint64)
+    """A parity sketch with about a bit per shingle, a power of two of bytes.
+
+    Its Hamming distance bounds the difference from below, also after the longer of two has been
+    folded to the width of the shorter one.
+    """
+    words = max(SCREEN_BITS // 64, 1 << max(0, (len(own) - 1) // 64).bit_length())
+    parity = np.zeros(words, np.uint64)
     mixed = _mixed(own, 101)
-    np.bitwise_xor.at(parity, ((mixed >> np.uint64(6)) % np.uint64(len(parity))).astype(np.int64),
+    np.bitwise_xor.at(parity, ((mixed >> np.uint64(6)) % np.uint64(words)).astype(np.int64),
                       np.uint64(1) << (mixed & np.uint64(63)))
     return parity.tobytes()
 
 
+def folded(sketch: bytes, width: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint64).reshape(-1, width // 8), axis=0)
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    width = min(len(a), len(b))
+    return int(np.bitwise_count(folded(a, width) ^ folded(b, width)).sum())
+
+
 _SKETCHED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
                        ("screen", pa.binary())])
 
@@ -143,22 +156,27 @@ def _sketched(docs: DataFrame, rule: Rule) -> DataFrame:
     return docs.mapInArrow(sketch, "doc_id long, n long, cls long, screen binary")
 
 
-_BLOCKS = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int32())])
-#: Classes whose blocks a task remembers to have given.
+_PACKED = pa.schema([("bucket", pa.int32()), ("pairs", pa.binary())])
+#: Classes whose blocks a task remembers to have given, and pairs that it packs together.
 GIVEN_CLASSES = 1_000_000
+PACKED_PAIRS = 400_000
+#: Bytes of a signature inside its bucket, and of a class.
+_SIG, _CLS = 6, 8
 
 
-def _blocks(docs: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, cls, n): the blocks of every class, once per task that reads copies of it.
+def _blocks(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
+    """(bucket, pairs): the blocks of every class, once per task that reads copies of it.
 
-    The blocks are made from the texts again rather than kept: they are several times as large
-    as the sketches, and go straight to the shuffle.
+    Pairs (signature, class) are packed by the bucket of their signature: as single rows they
+    would take three times as much in the shuffle. Blocks are made from the texts again rather
+    than kept with the sketches, which are far smaller.
     """
 
     def block(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
+        held: list[tuple[np.ndarray, int]] = []
+        size = 0
         for batch in stream:
-            sigs, classes, sizes = [], [], []
             for text in batch.column(0):
                 own = shingles(text.as_py(), rule.words)
                 cls = class_of(own)
@@ -167,57 +185,98 @@ def _blocks(docs: DataFrame, rule: Rule) -> DataFrame:
                 if len(given) >= GIVEN_CLASSES:
                     given.clear()
                 given.add(cls)
-                sigs.append(signatures(own, rule).view(np.int64))
-                classes.append(np.full(len(sigs[-1]), cls, np.int64))
-                sizes.append(np.full(len(sigs[-1]), len(own), np.int32))
-                if sum(map(len, sigs)) > 100_000:
-                    yield _arrays(sigs, classes, sizes)
-                    sigs, classes, sizes = [], [], []
-            if sigs:
-                yield _arrays(sigs, classes, sizes)
+                held.append((signatures(own, rule), cls))
+                size += len(held[-1][0])
+                if size >= PACKED_PAIRS:
+                    yield _packed(held, buckets)
+                    held, size = [], 0
+        if size:
+            yield _packed(held, buckets)
+
+    return docs.select("text").mapInArrow(block, "bucket int, pairs binary")
 
-    return docs.select("text").mapInArrow(block, "sig long, cls long, n int")
 
+def _packed(held: list[tuple[np.ndarray, int]], buckets: int) -> pa.RecordBatch:
+    sigs = np.concatenate([own for own, _ in held])
+    classes = np.repeat(np.array([cls for _, cls in held], np.int64), [len(own) for own, _ in held])
+    bucket = ((sigs >> np.uint64(8 * _SIG)) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    pairs = np.empty((len(sigs), _SIG + _CLS), np.uint8)
+    pairs[:, :_SIG] = sigs[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SIG]
+    pairs[:, _SIG:] = classes[order].astype("<i8").view(np.uint8).reshape(-1, _CLS)
+    names, first = np.unique(bucket[order], return_index=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names), pa.array([part.tobytes() for part in np.split(pairs, first[1:])], pa.binary())],
+        schema=_PACKED)
 
-def _arrays(*columns: list[np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in columns], schema=_BLOCKS)
+
+_UNPACKED = pa.schema([("sig", pa.int64()), ("cls", pa.int64())])
+
+
+def _unpacked(packed: DataFrame) -> DataFrame:
+    def unpack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            for bucket, pairs in zip(*batch.columns):
+                raw = np.frombuffer(pairs.as_py(), np.uint8).reshape(-1, _SIG + _CLS)
+                sigs = np.zeros((len(raw), 8), np.uint8)
+                sigs[:, :_SIG] = raw[:, :_SIG]
+                sigs = sigs.view("<i8").ravel() | (bucket.as_py() << 8 * _SIG)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sigs), pa.array(np.ascontiguousarray(raw[:, _SIG:]).view("<i8").ravel())],
+                    schema=_UNPACKED)
+
+    return packed.mapInArrow(unpack, "sig long, cls long")
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-_SHARED = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("n", pa.int32()), ("pivot", pa.int64())])
+_SHARED = pa.schema([("sig", pa.int64()), ("cls", pa.int64()), ("pivot", pa.int64())])
+#: Buckets that the signatures are dealt to, per shuffle partition.
+BUCKETS_PER_PARTITION = 2
+MAX_BUCKETS = 1 << 14
 
 
-def _shared_blocks(blocks: DataFrame, rule: Rule) -> DataFrame:
-    """(sig, cls, n, pivot): the classes of every signature that several classes have.
+def _shared_blocks(docs: DataFrame, rule: Rule) -> DataFrame:
+    """(sig, cls, pivot): the classes of every signature that several classes have.
 
-    The pivot is the signature's first class of fitting size, itself for that class. Most
-    signatures have one class; they leave no row, and the rest of the work never sees them.
+    The pivot is the signature's first class. Most signatures have one class; they leave no
+    row, and the rest of the work never sees them. A task sorts its buckets, on disk where
+    they are large, and streams through them.
     """
 
     def tie(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple]:
-            current, pivot, size, alone, last = None, 0, 0, False, 0
-            for batch in stream:
-                for sig, cls, n in zip(*(column.to_pylist() for column in batch.columns)):
-                    if sig != current:
-                        current, pivot, size, alone, last = sig, cls, n, True, cls
-                        continue
-                    if cls == last:
-                        continue        # another task's copy
-                    last = cls
-                    if alone:
-                        yield sig, pivot, size, pivot
-                        alone = False
-                    if not rule.sizes_fit(size, n):
-                        pivot, size = cls, n
-                    yield sig, cls, n, pivot
-
-        yield from batches(rows(), _SHARED)
-
-    return (blocks.repartition("sig").sortWithinPartitions("sig", "n", "cls")
-            .select("sig", "cls", "n").mapInArrow(tie, "sig long, cls long, n int, pivot long"))
+        current = pivot = None      # the open signature and its first class
+        alone = True                # whether that class was the only one so far
+        last = None
+        for batch in stream:
+            sig, cls = (column.to_numpy() for column in batch.columns)
+            # Rows are only looked at one by one where a neighbour has the same signature.
+            again = np.flatnonzero(sig[1:] == sig[:-1]) + 1
+            if len(sig) and sig[0] == current:
+                again = np.concatenate([[0], again])
+            out = []
+            for at in again.tolist():
+                own, number = int(sig[at]), int(cls[at])
+                if own != current:
+                    current, pivot, alone, last = own, int(cls[at - 1]), True, int(cls[at - 1])
+                if number == last:
+                    continue        # another task's copy
+                if alone:
+                    out.append((own, pivot, pivot))
+                    alone = False
+                out.append((own, number, pivot))
+                last = number
+            if len(sig) and int(sig[-1]) != current:
+                current = int(sig[-1])
+                pivot = last = int(cls[-1])
+                alone = True
+            yield from batches(out, _SHARED)
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = _blocks(docs, rule, min(MAX_BUCKETS, parts * BUCKETS_PER_PARTITION))
+    return (_unpacked(packed.repartition(parts, "bucket")).sortWithinPartitions("sig", "cls")
+            .mapInArrow(tie, "sig long, cls long, pivot long"))
 
 
 _SETS = pa.schema([("cls", pa.int64()), ("own", pa.binary())])
@@ -251,42 +310,56 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule)
             .mapInArrow(verify, "a long, b long"))
 
 
+def _screened(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs whose sizes and sketches leave open that they are similar."""
+    sketch = classes.select("cls", "n", "screen")
+    a = sketch.select(*[F.col(x).alias(y) for x, y in (("cls", "a"), ("n", "n_a"), ("screen", "s_a"))])
+    b = sketch.select(*[F.col(x).alias(y) for x, y in (("cls", "b"), ("n", "n_b"), ("screen", "s_b"))])
+
+    def screened(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in stream:
+            if not batch.num_rows:
+                continue
+            keep = [_open(*(x.as_py() for x in row), rule) for row in zip(*batch.columns[2:])]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return (pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+            .mapInArrow(screened, "a long, b long"))
+
+
+def _open(n_a: int, n_b: int, a: bytes, b: bytes, rule: Rule) -> bool:
+    small, large = min(n_a, n_b), max(n_a, n_b)
+    return rule.sizes_fit(small, large) and least_difference(a, b) <= rule.most_differing(small)
+
+
 def _rest_pairs(shared: DataFrame, roots: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of one signature that are in different components and pass the screen.
+    """Pairs that may be similar, are in different components and share an open signature.
 
-    Signatures of one family of texts, which share a component, go to the same few tasks, so
-    that a pair found under many signatures leaves a task once.
+    The open signatures with the same least component form a family, whose classes are
+    compared with each other in square cells: every pair of one signature is among them, and
+    a class is in a family once, however many of its signatures are.
     """
     rooted = (shared.join(roots, shared["cls"] == roots["node"], "left")
-              .select("sig", "cls", "n", F.coalesce("root", "cls").alias("root")))
+              .select("sig", "cls", F.coalesce("root", "cls").alias("root")))
     open_groups = (rooted.groupBy("sig")
-                   .agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+                   .agg(F.count(F.lit(1)).alias("g"), F.min("root").alias("family"),
+                        F.max("root").alias("last"))
                    # Of two classes the star has compared the only pair.
-                   .filter((F.col("g") > 2) & (F.col("lo") < F.col("hi")))
-                   .select("sig", "g", "lo", F.ceil(F.col("g") / CELL_SIDE).cast("int").alias("side")))
-    open_groups = stored(open_groups, "open-groups")
-    shares = open_groups.groupBy(F.col("lo").alias("family")).agg(
-        F.ceil(F.sum(F.col("g") * F.col("side")) / TASK_ROWS).cast("int").alias("shares"))
-    dealt = (open_groups.join(shares, open_groups["lo"] == shares["family"])
-             .select("sig", "side", "family", F.pmod(F.xxhash64("sig"), F.col("shares")).alias("share")))
-    members = (rooted.join(dealt, "sig").join(classes.select("cls", "screen"), "cls")
-               .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("side")).cast("int")))
-    cells = (members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1)))
-             .select("family", "share", "sig", F.least("own", "other").alias("i"),
-                     F.greatest("own", "other").alias("j"), "own", "cls", "n", "root", "screen"))
+                   .filter((F.col("g") > 2) & (F.col("family") < F.col("last")))
+                   .select("sig", "family"))
+    members = stored(rooted.join(open_groups, "sig").select("family", "cls", "root").distinct(), "families")
+    sides = members.groupBy("family").agg(
+        F.ceil(F.count(F.lit(1)) / CELL_SIDE).cast("int").alias("side"))
+    placed = (members.join(sides, "family").join(classes.select("cls", "n", "screen"), "cls")
+              .withColumn("own", F.pmod(F.xxhash64("cls"), F.col("side")).cast("int")))
+    cells = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("side") - 1)))
+             .select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+                     "own", "cls", "n", "root", "screen"))
 
     def screened(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family, given = None, set()
-        for cell in _cells(stream):
-            own = (cell["family"][0].as_py(), cell["share"][0].as_py())
-            if own != family or len(given) > GIVEN_PAIRS:
-                family, given = own, set()
-            fresh = [pair for pair in _screened_cell(cell, rule) if pair not in given]
-            given.update(fresh)
-            yield from batches(fresh, _PAIRS)
-
-    return (cells.repartition("family", "share")
-            .sortWithinPartitions("family", "share", "sig", "i", "j")
+        yield from batches((pair for cell in _cells(stream) for pair in _screened_cell(cell, rule)), _PAIRS)
+
+    return (cells.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
             .mapInArrow(screened, "a long, b long").distinct())
 
 
@@ -295,10 +368,12 @@ def _cells(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
     held: list[pa.RecordBatch] = []
     key = None
     for batch in stream:
-        names = np.stack([batch.column(x).to_numpy().astype(np.int64) for x in ("sig", "i", "j")])
-        edges = np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1
+        if not batch.num_rows:
+            continue
+        names = np.stack([batch.column(x).to_numpy().astype(np.int64) for x in ("family", "i", "j")])
+        edges = (np.flatnonzero((names[:, 1:] != names[:, :-1]).any(axis=0)) + 1).tolist()
         for first, last in zip([0, *edges], [*edges, batch.num_rows]):
-            own = tuple(names[:, first]) if last > first else key
+            own = tuple(names[:, first].tolist())
             if own != key and held:
                 yield pa.Table.from_batches(held)
                 held = []
@@ -311,15 +386,21 @@ def _cells(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _screened_cell(cell: pa.Table, rule: Rule) -> Iterator[tuple[int, int]]:
     i, j = cell["i"][0].as_py(), cell["j"][0].as_py()
     own, cls, n, root = (cell[x].to_numpy().astype(np.int64) for x in ("own", "cls", "n", "root"))
-    bits = np.frombuffer(b"".join(cell["screen"].to_pylist()), np.uint64).reshape(len(cls), -1)
+    sketches = cell["screen"].to_pylist()
+    width = min(map(len, sketches))
+    bits = np.stack([folded(x, width) for x in sketches])
     columns = np.flatnonzero(own == j)
     for at in np.flatnonzero(own == i):
         small, large = np.minimum(n[at], n[columns]), np.maximum(n[at], n[columns])
         distance = np.bitwise_count(bits[at] ^ bits[columns]).sum(axis=1)
         keep = ((root[at] != root[columns]) & rule.sizes_fit(small, large)
                 & (distance <= rule.most_differing(small)))
-        for other in cls[columns[keep]].tolist():
-            yield min(int(cls[at]), other), max(int(cls[at]), other)
+        for other in columns[keep].tolist():
+            if i == j and cls[at] >= cls[other]:
+                continue
+            # What passes at the width of the cell is looked at in full.
+            if _open(int(n[at]), int(n[other]), sketches[at], sketches[other], rule):
+                yield min(int(cls[at]), int(cls[other])), max(int(cls[at]), int(cls[other]))
 
 
 def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -334,10 +415,11 @@ def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     worded = sketched.filter("n > 0")
     classes = stored(worded.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"),
                                                F.first("screen").alias("screen")), "classes")
-    shared = stored(_shared_blocks(_blocks(rows, rule), rule), "shared-blocks")
+    shared = stored(_shared_blocks(rows, rule), "shared-blocks")
     stars = stored(shared.filter("cls != pivot").select(
         F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "star-pairs")
-    linked = stored(_verified(stars, rows, classes, rule), "star-links")
+    linked = stored(_verified(stored(_screened(stars, classes, rule), "star-candidates"), rows, classes, rule),
+                    "star-links")
     roots = components(linked, "star-components")
     rest = stored(_rest_pairs(shared, roots, classes, rule).join(stars, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
