@@ -101,7 +101,6 @@ def test_components_equal_brute_force(spark, families):
 def test_all_pairs_of_large_groups_are_screened(spark, families, monkeypatch):
     """Cells smaller than the groups give the same components."""
     monkeypatch.setattr(ngrams, "CELL_SIDE", 3)
-    monkeypatch.setattr(ngrams, "TASK_ROWS", 20)
     docs = spark.createDataFrame(families, "doc_id long, text string")
     assert found(docs) == brute_components(families)
 
@@ -124,8 +123,10 @@ def test_similar_sets_share_a_signature(size, changed, seed, share):
     a, b = np.unique(whole[:size]), np.unique(whole[changed:])
     if rule.similar(a, b) and set(a.tolist()) != set(b.tolist()):
         assert set(ngrams.signatures(a, rule).tolist()) & set(ngrams.signatures(b, rule).tolist())
-    x, y = (np.frombuffer(ngrams.screen(s), np.uint64) for s in (a, b))
-    assert np.bitwise_count(x ^ y).sum() <= len(set(a.tolist()) ^ set(b.tolist()))
+    for other in (b, b[:len(b) // 3], np.concatenate([b, b ^ np.uint64(7), b ^ np.uint64(9)])):
+        bound = ngrams.least_difference(ngrams.screen(a), ngrams.screen(np.unique(other)))
+        assert bound <= len(set(a.tolist()) ^ set(other.tolist()))
+    assert ngrams.least_difference(ngrams.screen(a), ngrams.screen(b)) <= len(set(a.tolist()) ^ set(b.tolist()))
 
 
 def test_size_bands_hold_their_neighbours():
