@@ -415,8 +415,9 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), clean_text("html"))
     regions = wrappers(pages).select("host", "wrapper").mapInArrow(region, "of string, region int")
     hosted = rows.mapInArrow(host, "page_id long, url string, html string, host string")
-    # A plain equi join: Spark splits the partition of a host that holds many pages.
-    return (hosted.join(regions, hosted["host"] == regions["of"])
+    # A sort-merge join, whatever the size: Spark splits the partition of a host that holds
+    # many pages, which it does not do once it has turned the join into a broadcast.
+    return (hosted.join(regions.hint("merge"), hosted["host"] == regions["of"])
             .select("page_id", "url", "html", "region")
             .mapInArrow(read, "page_id long, url string, text string"))
 
