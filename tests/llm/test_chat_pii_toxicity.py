@@ -134,6 +134,14 @@ def test_cards_stay_valid_and_neighbours_are_both_found():
     assert all(luhn_digit(n[:-1]) == n[-1] and n[0] == "4" for n in changed.split()[1:3])
 
 
+@pytest.mark.parametrize("before", ["w1180 ", "in 2021 ", "item 5, ", "5 "])
+@pytest.mark.parametrize("value", ["4785380592391139", "4785 3805 9239 1139", "(743) 555-3824", "10.20.30.40"])
+def test_values_behind_other_numbers_are_found(before, value):
+    changed, counts = Pseudonymizer(b"k").replace(f"{before}{value} end")
+    assert value not in changed and sum(counts.values()) == 1
+    assert changed.startswith(before) and changed.endswith(" end")
+
+
 def test_documents_with_any_columns(spark):
     rows = [(1, "call +1 (743) 555-3824", "x", 9), (2, None, None, None), (2, "", "y", 1)] * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string, found string, n_chars long")

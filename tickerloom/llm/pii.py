@@ -216,7 +216,7 @@ _FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
 )
 _NUMBERS = tuple((kind, re.compile(pattern), change) for kind, pattern, change in _FORMATS)
 # Where a number may begin: not inside a word, a number, a path or an id.
-_STARTS = re.compile(r"(?<![\w.,/+-])(?<!\d[ ])[+(]?\d(?=[\d .()/-]{5})")
+_STARTS = re.compile(r"(?<![\w.,/+-])[+(]?\d(?=[\d .()/-]{5})")
 _ONE_CARD = re.compile(r"\d{13,19}(?!\d)|\d{4}(?:[ -]\d{4}){3}(?!\d)")
 _DIGIT = re.compile(r"[0-9]")
 _BEHIND = re.compile(r"[ ,;]{1,3}(?=[+(\d])")
