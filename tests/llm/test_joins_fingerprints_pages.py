@@ -24,7 +24,16 @@ from tickerloom.llm.decontaminate import (
     without_leaks,
     word_hashes,
 )
-from tickerloom.llm.html_extract import align, extract, fold, main_text, read_shape, wrappers, write_shape
+from tickerloom.llm.html_extract import (
+    align,
+    extract,
+    fold,
+    main_text,
+    read_shape,
+    region_of,
+    wrappers,
+    write_shape,
+)
 
 SF = "/root/testdata/sf0.001"
 
@@ -309,6 +318,21 @@ def test_extraction_and_wrappers(spark):
     assert extract(pages.limit(0)).count() == 0
 
 
+def varied_pages(number):
+    rng, tags = random.Random(3), "div p ul li h1 h2 h3 section span b i table tr td pre em".split()
+    return ["<u>u</u>" + "".join(f"<{t}>{t}</{t}>" for t in rng.choices(tags, k=60)) for _ in range(number)]
+
+
+def test_a_varied_host_keeps_its_article_with_its_slots(spark):
+    pages = varied_pages(40)
+    pages += ["<ul>out</ul><u>side</u><article><p>in</p></article><u>out</u>"] * 2     # merged last
+    rows = [(n, "http://varied.example/", page) for n, page in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string")
+    known = wrappers(table).collect()[0]
+    assert len(read_shape(known.wrapper)) > 400 and known.pages == 42 and region_of(read_shape(known.wrapper)) == 3
+    assert {r.text for r in extract(table).collect() if r.page_id >= 40} == {"in"}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no provided tables here")
 def test_provided_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")

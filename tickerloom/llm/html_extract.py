@@ -17,8 +17,8 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -194,6 +194,74 @@ def _flat(shape: Shape) -> list[tuple[object, bool]]:
     return out
 
 
+def _contexts(items: list) -> list[str]:
+    """The marked regions that each item stands in."""
+    open_tags: list[str] = []
+    out = []
+
+    def enter(item) -> None:
+        if isinstance(item, tuple):
+            for inner in item[1]:
+                enter(inner)
+        elif item[0] == "<" and item[-1] in "+-":
+            open_tags.append(item)
+        elif item[0] == "/":
+            for at in range(len(open_tags) - 1, -1, -1):
+                if open_tags[at][1:-1] == item[1:]:
+                    del open_tags[at:]
+                    break
+
+    for item in items:
+        out.append(" ".join(open_tags))
+        enter(item)
+    return out
+
+
+def matches(left: list, right: list) -> list[tuple[int, int]]:
+    """Positions of a longest common subsequence of two lists of items.
+
+    Items match when they repeat the same thing within the same marked regions, so a region
+    that one side lacks stays in one piece, together with its slots.
+    """
+    keys: dict = {}
+    one, two = (np.array([keys.setdefault((_core(item), around), len(keys))
+                          for item, around in zip(side, _contexts(side))], np.int64)
+                for side in (left, right))
+    first, ends = 0, (len(one), len(two))
+    while first < min(ends) and one[first] == two[first]:
+        first += 1
+    last = 0
+    while last < min(ends) - first and one[-1 - last] == two[-1 - last]:
+        last += 1
+    found = [(n, n) for n in range(first)]
+    found += [(first + a, first + b) for a, b in _common(one[first:len(one) - last], two[first:len(two) - last])]
+    return found + [(ends[0] - n, ends[1] - n) for n in range(last, 0, -1)]
+
+
+def _common(one: np.ndarray, two: np.ndarray) -> list[tuple[int, int]]:
+    if len(two) > len(one):
+        return [(a, b) for b, a in _common(two, one)]
+    # Row n holds the lengths for the first n items of the shorter side. Neighbouring lengths
+    # differ by one at most, so a bit each is kept of every row but the last.
+    row, steps = np.zeros(len(one) + 1, np.int32), []
+    for item in two:
+        longer = row.copy()
+        longer[1:] = np.maximum(row[1:], row[:-1] + (one == item))
+        row = np.maximum.accumulate(longer)
+        steps.append(np.packbits(np.diff(row) > 0))
+    out, at = [], len(one)
+    for n in range(len(two) - 1, -1, -1):
+        now = np.cumsum(np.unpackbits(steps[n], count=len(one)), dtype=np.int32)
+        above = (np.cumsum(np.unpackbits(steps[n - 1], count=len(one)), dtype=np.int32) if n
+                 else np.zeros(len(one), np.int32))
+        if not at or now[at - 1] == above[at - 1]:
+            continue                    # the item is not needed for the longest
+        at = int(np.searchsorted(now[:at], now[at - 1])) + 1
+        out.append((at - 1, n))
+        at -= 1
+    return out[::-1]
+
+
 def align(wrapper: Shape, page: Shape) -> Shape:
     """A wrapper for both: what both have stays, what one lacks becomes optional.
 
@@ -202,15 +270,14 @@ def align(wrapper: Shape, page: Shape) -> Shape:
     if wrapper == page:
         return wrapper
     left, right = _flat(wrapper), _flat(page)
-    keys: dict = {}
-    coded = [[keys.setdefault(_core(item), len(keys)) for item, _ in side] for side in (left, right)]
     out: list[tuple[object, bool]] = []
-    for op, a, b, c, d in SequenceMatcher(None, *coded, autojunk=False).get_opcodes():
-        if op == "equal":
-            out += [(x if isinstance(x, tuple) else y, p or q)
-                    for (x, p), (y, q) in zip(left[a:b], right[c:d])]
-        else:
-            out += [(item, True) for item, _ in left[a:b] + right[c:d]]
+    a = c = 0
+    for b, d in [*matches([x for x, _ in left], [y for y, _ in right]), (len(left), len(right))]:
+        out += [(item, True) for item, _ in left[a:b] + right[c:d]]
+        if b < len(left):
+            (x, p), (y, q) = left[b], right[d]
+            out.append((x if isinstance(x, tuple) else y, p or q))
+        a, c = b + 1, d + 1
     return tuple(("?", (item,)) if optional else item for item, optional in out)
 
 
@@ -325,8 +392,6 @@ def host_of(url: str | None) -> str:
 
 _STREAMS = pa.schema([("host", pa.string()), ("salt", pa.int32()), ("shape", pa.string())])
 _WRAPPERS = pa.schema([("host", pa.string()), ("shape", pa.string()), ("pages", pa.int64())])
-#: A wrapper longer than this is cut back to its outer regions when it is merged further.
-LONGEST_SHAPE = 400
 
 
 def _symbols(page: str) -> list[str]:
@@ -366,11 +431,8 @@ def _merge(shapes: DataFrame, keys: list[str]) -> DataFrame:
                         if current is not None:
                             yield current[0], write_shape(wrapper), count
                         current, wrapper, count = key, shape, 0
-                    elif len(wrapper) <= LONGEST_SHAPE:
-                        wrapper = fold(list(align(wrapper, shape)))
                     else:
-                        # Too varied to align slot by slot: only new regions are still added.
-                        wrapper += tuple(x for x in shape if x not in set(wrapper))
+                        wrapper = fold(list(align(wrapper, shape)))
                     count += pages.as_py()
             if current is not None:
                 yield current[0], write_shape(wrapper), count
