@@ -294,6 +294,26 @@ def test_odd_pages(page, want):
     assert main_text(page, 3) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<div class='overflow-hidden'><article><p>a</p></article></div>", "a"),
+    ("<div id='search-page'><article><p>a</p></article></div><nav>m</nav>", "a"),
+    ("<div id='search'><article><p>a</p></article></div><p>o</p>", "a"),
+    ("<body><form id='aspnetForm'><nav>m</nav><div><p>the text of the page</p></div></form></body>", "the text of the page"),
+    ("<form id='aspnetForm'><article><p>a</p><form>f</form></article></form>", "a"),
+    ("<article><section id='related-work'><p>a</p></section><h2 id='cookies'>b</h2></article>", "a b"),
+    ("<article><div class='article-header'><h1>h</h1></div><p>a</p></article>", "h a"),
+    ("<article><a href='/hidden-gems'>a</a> <i title='the hidden truth'>b</i> <b data-hidden='false'>c</b></article>", "a b c"),
+    ("<article><a href=x/hidden>a</a><p hidden>h</p><p aria-hidden=true>h</p></article>", "a"),
+    ("<article><p>a</p></article><div class='comments'><article>long comment, longer than the text</article></div>", "a"),
+    ("<div class='post'><p>the text of it</p></div><div id='comments'><article>c</article></div>", "the text of it"),
+    ("<div id='content'>x<div id='search'><article>the text of it</article></div></div>", "the text of it"),
+    ("<aside><article>teaser</article></aside><div><p>the whole text of the page</p></div>", "the whole text of the page"),
+    ("<p>text of it</p><div class='cookie-notice'>c</div><div class='site-header'>s</div><div id='main-nav'>n</div>", "text of it"),
+])
+def test_marks_are_whole_attributes_and_tokens(page, want):
+    assert main_text(page, 3) == want
+
+
 def test_shapes_fold_align_and_read_back():
     one = fold(["<p", "#", "/p"] * 5 + ["<br"])
     assert write_shape(one) == "( <p # /p )+ <br"

@@ -41,43 +41,70 @@ CLOSED_BY = {"p": frozenset("address article aside blockquote div dl fieldset fo
              "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
              "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
              "option": frozenset(["option"])}
-# Words in class, id or role that mark a part beside the article.
+# Whole tokens of class, id or role that mark a part beside the article.
 ASIDE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo "
                         "promotion nav navbar navigation menu breadcrumb breadcrumbs header masthead footer "
                         "sidebar aside widget related recommended comment comments reply replies disqus "
                         "respond notice cookie cookies consent popup modal overlay alert newsletter "
                         "subscribe subscription signup login share sharing social toolbar pagination pager "
                         "form search hidden contentinfo complementary".split())
+# The same for names of several words: a first word with a last one, in use for such parts.
+ASIDE_FIRST = frozenset("ad ads advert banner sponsor promo nav main site page global top bottom left right primary "
+                        "secondary breadcrumb sidebar widget related recommended comment comments cookie "
+                        "cookies consent gdpr popup modal newsletter subscribe signup login share sharing "
+                        "social pagination search skip post posts footer header".split())
+ASIDE_LAST = frozenset("ad ads advert banner slot nav navbar navigation menu breadcrumb breadcrumbs footer sidebar "
+                       "widget widgets notice consent popup modal overlay newsletter subscribe signup login "
+                       "share sharing buttons icons links toolbar pagination pager form box comments replies "
+                       "list area bar posts articles banners".split())
+# Of those pairs, the ones whose words alone say nothing: "main-list", "page-area".
+PLAIN_FIRST = frozenset("main site page global top bottom left right primary secondary post posts".split())
+PLAIN_LAST = frozenset("slot buttons icons links box list area bar posts articles".split())
 HOLDERS = frozenset("html body article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 STATE_WORDS = frozenset("has with no without open closed enabled disabled".split())
 MAIN_WORDS = frozenset("article content main post story entry".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
                     r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
-                        re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
+def _is_aside(words: list[str]) -> bool:
+    if len(words) == 1:
+        return words[0] in ASIDE_WORDS
+    first, last = words[0], words[-1]
+    if first in PLAIN_FIRST and last == "header":
+        return first in ("site", "page", "global", "top")
+    return (first in ASIDE_FIRST and last in ASIDE_LAST
+            and not (first in PLAIN_FIRST and last in PLAIN_LAST))
+
+
 def _mark(name: str, attributes: str) -> str:
-    """``-`` for a part beside the article, ``+`` for one that may hold it, else nothing."""
-    words: set[str] = set()
+    """``-`` for a part beside the article, ``+`` for one that may hold it, else nothing.
+
+    ``!`` is a part that is not shown. Headings are not marked by an id, which links to them.
+    """
+    names: list[list[str]] = []
     for found in _ATTRIBUTE.finditer(attributes):
         key, value = found[1].lower(), found[2] or found[3] or found[4] or ""
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return "-"
+        if key == "hidden" or key == "aria-hidden" and value.strip().lower() == "true":
+            return "!"
         if key == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                return "-"
-            continue
-        words.update(_SPLIT.split(_CAMEL.sub("-", value).lower()))
-    if name in HOLDERS or words & STATE_WORDS:
-        # "has-sidebar" or "comments-open" on a holder of the page tell of it, not what it is.
-        words -= ASIDE_WORDS
-    if name in ASIDE_TAGS or words & ASIDE_WORDS:
+            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
+                return "!"
+        elif key in ("class", "role") or key == "id" and name not in HEADINGS:
+            for token in value.split():
+                if words := [x for x in _SPLIT.split(_CAMEL.sub("-", token).lower()) if x]:
+                    names.append(words)
+    aside = [words for words in names if _is_aside(words)]
+    # "has-sidebar" or "comments-open" on a holder of the page tell of it, not what it is.
+    if name in ASIDE_TAGS or aside and name not in HOLDERS and not any(STATE_WORDS & set(x) for x in names):
         return "-"
-    return "+" if name in MAIN_TAGS or words & MAIN_WORDS else ""
+    main = any(MAIN_WORDS.intersection(x) and not ASIDE_WORDS.intersection(x) for x in names)
+    return "+" if name in MAIN_TAGS or main else ""
 
 
 def tokens(page: str) -> Iterator[tuple[str, str]]:
@@ -203,7 +230,7 @@ def _contexts(items: list) -> list[str]:
         if isinstance(item, tuple):
             for inner in item[1]:
                 enter(inner)
-        elif item[0] == "<" and item[-1] in "+-":
+        elif item[0] == "<" and item[-1] in "+-!":
             open_tags.append(item)
         elif item[0] == "/":
             for at in range(len(open_tags) - 1, -1, -1):
@@ -304,13 +331,22 @@ def expression(shape: Shape) -> str:
                    for x in shape)
 
 
-def slots(symbols: Iterator[str] | list[str]) -> list[tuple[int, bool, int, str]]:
-    """(token, inside a part beside the article, depth of main regions, block) of every slot."""
-    open_tags: list[tuple[str, str]] = []
-    out, block = [], 0
+#: Parts that hold the article only if they hold most of the page's text.
+SIDE_TAGS = ASIDE_TAGS - {"form"}
+
+
+def slots(symbols: list[str], sizes: list[int] | None = None) -> list[tuple[int, bool, int, str]]:
+    """(token, inside a part beside the article, depth of main regions, block) of every slot.
+
+    ``sizes`` are the characters of the tokens (otherwise each slot counts as one). A mark
+    beside the article does not hold for an element around the page's only main regions, nor
+    for one with most of the page's text: then its class or id means something else.
+    """
+    open_tags: list[tuple[str, str, int]] = []
+    placed, block = [], 0
     for n, symbol in enumerate(symbols):
         if symbol[0] == "<":
-            mark = symbol[-1] if symbol[-1] in "+-" else ""
+            mark = symbol[-1] if symbol[-1] in "+-!" else ""
             name = symbol[1:].removesuffix(mark) if mark else symbol[1:]
             while open_tags and name in CLOSED_BY.get(open_tags[-1][0], ()):
                 open_tags.pop()
@@ -323,27 +359,64 @@ def slots(symbols: Iterator[str] | list[str]) -> list[tuple[int, bool, int, str]
                         break
                 block += 1
             if name not in VOID:
-                open_tags.append((name, mark))
+                open_tags.append((name, mark, n))
         elif symbol[0] == "/":
             name = symbol[1:]
-            if any(tag == name for tag, _ in open_tags):
+            if any(tag == name for tag, _, _ in open_tags):
                 while open_tags.pop()[0] != name:
                     pass
             if name not in INLINE:
                 block += 1
         else:
-            # Words such as "content" on a part that is beside the article do not bring it back;
-            # a header inside the article belongs to it.
-            inside = [mark for _, mark in open_tags]
-            names = [tag for tag, _ in open_tags]
-            main = max((at for at, tag in enumerate(names) if tag in MAIN_TAGS), default=-1)
-            beside = any(mark == "-" and not (tag == "header" and -1 < main < at)
-                         for at, (tag, mark) in enumerate(open_tags))
-            rank = 3 if "article" in names else 2 if "main" in names else 1 if "+" in inside else 0
-            out.append((n, beside, rank, block))
+            # Only what can decide is kept of the tags around a slot.
+            placed.append((n, tuple(x for x in open_tags if x[1] or x[0] in MAIN_TAGS), block))
+    void = _not_beside(symbols, sizes, placed)
+    out = []
+    for n, around, block in placed:
+        # Words such as "content" on a part that is beside the article do not bring it back;
+        # a header inside the article belongs to it.
+        main = max((at for at, (tag, _, _) in enumerate(around) if tag in MAIN_TAGS), default=-1)
+        beside = any(_is_beside(x, -1 < main < at, void) for at, x in enumerate(around))
+        names = {tag for tag, _, _ in around}
+        rank = 3 if "article" in names else 2 if "main" in names else 1 if any(x[1] == "+" for x in around) else 0
+        out.append((n, beside, rank, block))
     return out
 
 
+def _is_beside(element: tuple[str, str, int], in_main: bool, void: set[int]) -> bool:
+    tag, mark, number = element
+    return mark == "!" or mark == "-" and not (tag == "header" and in_main) and number not in void
+
+
+def _not_beside(symbols: list[str], sizes: list[int] | None, placed: list) -> set[int]:
+    """Elements whose mark beside the article does not hold."""
+    total, held, main_seen, plus_seen = 0, {}, False, False
+    mains: dict[int, tuple] = {}
+    for n, around, _ in placed:
+        if symbols[n] != TEXT or any(mark == "!" for _, mark, _ in around):
+            continue
+        size = 1 if sizes is None else sizes[n]
+        total += size
+        for at, (tag, mark, number) in enumerate(around):
+            if mark == "-" or tag in MAIN_TAGS:
+                held[number] = held.get(number, 0) + size
+            if tag in MAIN_TAGS:
+                mains.setdefault(number, around[:at])
+        marks = [mark for _, mark, _ in around]
+        if "-" not in marks:
+            plus_seen = plus_seen or "+" in marks
+            main_seen = main_seen or any(tag in MAIN_TAGS for tag, _, _ in around)
+    # A main region that is not beside has text: the marks are right.
+    if main_seen or not mains and plus_seen or not any(mark == "-" for _, around, _ in placed for _, mark, _ in around):
+        return set()
+    if not mains:
+        return {number for _, around, _ in placed for tag, mark, number in around
+                if mark == "-" and tag not in SIDE_TAGS and 2 * held.get(number, 0) > total}
+    largest = max(mains, key=lambda number: held[number])
+    return {number for tag, mark, number in mains[largest]
+            if mark == "-" and (tag not in SIDE_TAGS and not plus_seen or 2 * held[number] > total)}
+
+
 def region_of(wrapper: Shape) -> int:
     """The narrowest kind of region in which a wrapper has a slot that belongs to the article."""
     flat: list[str] = []
@@ -366,7 +439,7 @@ def main_text(page: str, region: int) -> str:
     narrowest region it has itself.
     """
     found = leaves(page)
-    placed = [x for x in slots([symbol for symbol, _ in found]) if not x[1]]
+    placed = [x for x in slots([symbol for symbol, _ in found], [len(text) for _, text in found]) if not x[1]]
     most = max((rank for n, _, rank, _ in placed if found[n][0] == TEXT), default=0)
     wanted = min(region, most)
     blocks: list[str] = []
