@@ -3,9 +3,11 @@
 A page becomes a stream of tokens: tags (name and the attributes that mark a region) and
 text slots. Within a page, neighbouring equal runs become one repeated group; the streams
 of a host are then aligned one after another, and a mismatch becomes an optional group.
-What is left is a wrapper: tags, text slots, ``( )?`` and ``( )+``, without unions. Slots
-get their role from the regions around them in the wrapper, so all pages of a host are
-read in the same way.
+What is left is a wrapper: tags, text slots, ``( )?`` and ``( )+``, without unions.
+
+A page with a marked region (article, main, or a class word) is read by that region. On
+other pages a slot of the wrapper outside repeated groups whose text most pages of the host
+share is template, and is left out.
 
 Folding repeats first leaves few different streams per host. They are counted before any
 shuffle and merged in salted groups, so a host with a third of all pages costs a row per
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import batches, clean_text
+from tickerloom.llm.common import batches, clean_text, stored
 
 TEXT = "#"
 #: Partial wrappers of one host before they are merged into one.
@@ -417,45 +419,90 @@ def _not_beside(symbols: list[str], sizes: list[int] | None, placed: list) -> se
             if mark == "-" and (tag not in SIDE_TAGS and not plus_seen or 2 * held[number] > total)}
 
 
-def region_of(wrapper: Shape) -> int:
-    """The narrowest kind of region in which a wrapper has a slot that belongs to the article."""
-    flat: list[str] = []
+def spans(shape: Shape, symbols: list[str]) -> list[int] | None:
+    """Which item of its folded shape every symbol is, -1 inside repeated groups."""
+
+    def end_of(item, at: int) -> int:
+        if not isinstance(item, tuple):
+            return at + 1 if at < len(symbols) and symbols[at] == item else -1
+        end = -1
+        while True:
+            now = at
+            for inner in item[1]:
+                if (now := end_of(inner, now)) < 0:
+                    return end
+            at = end = now
+
+    out: list[int] = []
+    for number, item in enumerate(shape):
+        end = end_of(item, len(out))
+        if end < 0:
+            return None
+        out += [-1 if isinstance(item, tuple) else number] * (end - len(out))
+    return out if len(out) == len(symbols) else None
+
+
+def slots_of(wrapper: Shape, shape: Shape) -> dict[int, int]:
+    """The wrapper's slot of every slot of a folded stream, outside repeated groups."""
+    known = [item for item, _ in _flat(wrapper)]
+    return {b: a for a, b in matches(known, list(shape)) if shape[b] == known[a] == TEXT}
+
+
+class Page:
+    """A page's leaves and its slots by region."""
+
+    def __init__(self, page: str):
+        self.leaves = leaves(page)
+        self.placed = [x for x in slots([symbol for symbol, _ in self.leaves],
+                                        [len(text) for _, text in self.leaves]) if not x[1]]
+        self.region = max((rank for n, _, rank, _ in self.placed if self.leaves[n][0] == TEXT), default=0)
+
+    def single(self) -> tuple[Shape, list[tuple[int, int, int]]]:
+        """The folded stream, and (leaf, item, digest) of the slots outside repeated groups."""
+        at = [n for n, (symbol, _) in enumerate(self.leaves) if symbol != " "]
+        symbols = [self.leaves[n][0] for n in at]
+        shape = fold(symbols)
+        beside = {n for n, _, _, _ in self.placed}
+        return shape, [(n, item, digest(spaced(self.leaves[n][1])))
+                       for n, item in zip(at, spans(shape, symbols) or ())
+                       if item >= 0 and n in beside and self.leaves[n][0] == TEXT]
+
+    def constant(self, wrapper: Shape, templates: set[tuple[int, int]],
+                 aligned: dict[Shape, dict[int, int]]) -> set[int]:
+        """Leaves whose text is their host's template; none where that is most of the page."""
+        shape, single = self.single()
+        if shape not in aligned:
+            aligned[shape] = slots_of(wrapper, shape)
+        found = {n for n, item, text in single if (aligned[shape].get(item), text) in templates}
+        size = {n: len(self.leaves[n][1].strip()) for n, *_ in self.placed}
+        return found if 2 * sum(size[n] for n in found) <= sum(size.values()) else set()
+
+    def text(self, region: int = 3, constant: set[int] = frozenset()) -> str:
+        wanted = min(region, self.region)
+        blocks: list[str] = []
+        last = None
+        for n, _, rank, block in self.placed:
+            if rank < wanted or n in constant:
+                continue
+            if block != last:
+                blocks.append("")
+                last = block
+            blocks[-1] += self.leaves[n][1]
+        return " ".join(text for block in blocks if (text := spaced(block)))
+
 
-    def walk(shape: Shape) -> None:
-        for item in shape:
-            if isinstance(item, tuple):
-                walk(item[1])
-            else:
-                flat.append(item)
+def digest(text: str) -> int:
+    import xxhash
 
-    walk(wrapper)
-    return max((rank for _, beside, rank, _ in slots(flat) if not beside), default=0)
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
 def main_text(page: str, region: int) -> str:
     """The page's slots in that region, blocks in order, white space inside them single.
 
-    A page that lacks the region of its host's wrapper (an optional group) is read by the
-    narrowest region it has itself.
+    A page that lacks the region is read by the narrowest region it has itself.
     """
-    found = leaves(page)
-    placed = [x for x in slots([symbol for symbol, _ in found], [len(text) for _, text in found]) if not x[1]]
-    most = max((rank for n, _, rank, _ in placed if found[n][0] == TEXT), default=0)
-    wanted = min(region, most)
-    blocks: list[str] = []
-    last = None
-    for n, _, rank, block in placed:
-        if rank < wanted:
-            continue
-        if block != last:
-            blocks.append("")
-            last = block
-        blocks[-1] += found[n][1]
-    parts = []
-    for block in blocks:
-        if text := spaced(block):
-            parts.append(text)
-    return " ".join(parts)
+    return Page(page).text(region)
 
 
 def host_of(url: str | None) -> str:
@@ -517,25 +564,77 @@ def _merge(shapes: DataFrame, keys: list[str]) -> DataFrame:
             .mapInArrow(merge, "host string, shape string, pages long"))
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, pages): the expression of every host; a URL without one has host ''."""
-    partial = _merge(page_shapes(pages), ["host", "salt"])
+def _joined(shapes: DataFrame) -> DataFrame:
+    partial = _merge(shapes, ["host", "salt"])
     return (_merge(partial.withColumn("salt", F.lit(0)), ["host"])
             .select("host", F.col("shape").alias("wrapper"), "pages"))
 
 
-def extract(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text): the article of every page, read by the wrapper of its host.
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, wrapper, pages): the expression of every host; a URL without one has host ''."""
+    return _joined(page_shapes(pages))
+
+
+#: A text is its slot's template if it stands there on so many pages, and on most of them.
+TEMPLATE_PAGES = 3
+_SINGLE = pa.schema([("host", pa.string()), ("stream", pa.int64()), ("item", pa.int32()), ("digest", pa.int64())])
+_ALIGNED = pa.schema([("of", pa.string()), ("of_stream", pa.int64()), ("of_item", pa.int32()), ("slot", pa.int32())])
+
+
+def templates(pages: DataFrame, shapes: DataFrame, known: DataFrame) -> DataFrame:
+    """(host, templates): the slots of a host's wrapper with the text that most pages have there.
 
-    The wrapper says which region of the host's pages holds the article. A NULL or empty page
-    has an empty text; pages without host share a wrapper; repeated rows are read one by one.
+    Counted on pages without a marked region, as the others are read by theirs. Streams are
+    aligned once each, not once per page; (slot, text, pages) rows are counted before a shuffle.
     """
-    def region(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            found = [region_of(read_shape(x.as_py())) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int32())],
-                                             names=["of", "region"])
 
+    def single(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in stream:
+                for url, text in zip(*batch.columns):
+                    page = Page(text.as_py())
+                    if page.region:
+                        continue
+                    shape, found = page.single()
+                    number = digest(write_shape(shape))
+                    yield from ((host_of(url.as_py()), number, item, of) for _, item, of in found)
+
+        yield from batches(rows(), _SINGLE)
+
+    def aligned(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in stream:
+                for host, text, wrapper in zip(*batch.columns):
+                    text = text.as_py()
+                    found = slots_of(read_shape(wrapper.as_py()), read_shape(text))
+                    yield from ((host.as_py(), digest(text), item, slot) for item, slot in found.items())
+
+        yield from batches(rows(), _ALIGNED)
+
+    texts = (pages.select(F.col("url").cast("string"), clean_text("html"))
+             .mapInArrow(single, "host string, stream long, item int, digest long")
+             .groupBy("host", "stream", "item", "digest").agg(F.count(F.lit(1)).alias("pages")))
+    places = (shapes.select("host", "shape").join(known.select("host", "wrapper"), "host")
+              .select("host", "shape", "wrapper")
+              .mapInArrow(aligned, "of string, of_stream long, of_item int, slot int"))
+    same = ((texts["host"] == places["of"]) & (texts["stream"] == places["of_stream"])
+            & (texts["item"] == places["of_item"]))
+    return (texts.join(places.hint("merge"), same)
+            .groupBy("host", "slot", "digest").agg(F.sum("pages").alias("pages"))
+            .groupBy("host", "slot").agg(F.sum("pages").alias("all"), F.max("pages").alias("pages"),
+                                         F.max_by("digest", "pages").alias("digest"))
+            .filter((F.col("pages") >= TEMPLATE_PAGES) & (2 * F.col("pages") > F.col("all")))
+            .groupBy("host").agg(F.collect_list(F.struct("slot", "digest")).alias("templates")))
+
+
+def extract(pages: DataFrame) -> DataFrame:
+    """(page_id, url, text): the article of every page.
+
+    Marked regions are read where a page has one. On a page without, the wrapper of its host
+    says which slots are template: their text is left out, unless it is most of the page. A
+    NULL or empty page has an empty text; pages without host share a wrapper; repeated rows
+    are read one by one.
+    """
     def host(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
             hosts = pa.array([host_of(x.as_py()) for x in batch.column(1)], pa.string())
@@ -543,17 +642,31 @@ def extract(pages: DataFrame) -> DataFrame:
                                              names=["page_id", "url", "html", "host"])
 
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches(((page_id.as_py(), url.as_py(), main_text(page.as_py(), region.as_py()))
-                            for batch in stream
-                            for page_id, url, page, region in zip(*batch.columns)), _TEXTS)
+        def rows() -> Iterator[tuple]:
+            # Rows come sorted by host: only one host's alignments are held.
+            current, wrapper, known, aligned = None, (), set(), {}
+            for batch in stream:
+                for page_id, url, text, of, shape, slots_ in zip(*batch.columns):
+                    page, constant = Page(text.as_py()), frozenset()
+                    if not page.region and shape.is_valid:
+                        if of.as_py() != current:
+                            current, wrapper, aligned = of.as_py(), read_shape(shape.as_py()), {}
+                            known = {(x["slot"], x["digest"]) for x in slots_.as_py()}
+                        constant = page.constant(wrapper, known, aligned)
+                    yield page_id.as_py(), url.as_py(), page.text(constant=constant)
+
+        yield from batches(rows(), _TEXTS)
 
     rows = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), clean_text("html"))
-    regions = wrappers(pages).select("host", "wrapper").mapInArrow(region, "of string, region int")
+    shapes = stored(page_shapes(pages), "page-shapes")
+    known = stored(_joined(shapes), "host-wrappers")
+    chosen = (known.join(templates(pages, shapes, known), "host")
+              .select(F.col("host").alias("of"), "wrapper", "templates"))
     hosted = rows.mapInArrow(host, "page_id long, url string, html string, host string")
     # A sort-merge join, whatever the size: Spark splits the partition of a host that holds
     # many pages, which it does not do once it has turned the join into a broadcast.
-    return (hosted.join(regions.hint("merge"), hosted["host"] == regions["of"])
-            .select("page_id", "url", "html", "region")
+    return (hosted.join(chosen.hint("merge"), hosted["host"] == chosen["of"], "left")
+            .select("page_id", "url", "html", "host", "wrapper", "templates")
             .mapInArrow(read, "page_id long, url string, text string"))
 
 
