@@ -142,6 +142,37 @@ def test_values_behind_other_numbers_are_found(before, value):
     assert changed.startswith(before) and changed.endswith(" end")
 
 
+@pytest.mark.parametrize("text, values", [
+    ("Doe,123-45-6789,x", ["123-45-6789"]), ("Doe,4785380592391139", ["4785380592391139"]),
+    ("17,743-555-3824,2021-03-04", ["743-555-3824", "2021-03-04"]), ("tel/743-555-3824", ["743-555-3824"]),
+    ("ip.10.20.30.40,x", ["10.20.30.40"]), ("743-555-3824/743-555-3825", ["743-555-3824", "743-555-3825"]),
+    ("2024-01-05/2024-02-01", ["2024-01-05", "2024-02-01"]), ("05.01.2024-01.02.2024", ["05.01.2024", "01.02.2024"]),
+    ("to BE68 5390 0754 7034 BANK of", ["BE68 5390 0754 7034"]),
+    ("BE68 5390 0754 7034 DE89 3704 0044 0532 0130 00", ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00"]),
+    ("on 5 January 2021,", ["5 January 2021"]), ("Jan. 5, 2021 x", ["Jan. 5, 2021"]), ("MAY 21st 1999", ["MAY 21st 1999"]),
+    ("am 5. März 2021 ab", ["5. März 2021"]), ("le 1er août 1987", ["1er août 1987"]), ("09-Sept-2020", ["09-Sept-2020"]),
+    ("el 5 de enero de 2021", ["5 de enero de 2021"]), ("(3 Mai 1950)", ["3 Mai 1950"]),
+])
+def test_values_at_any_border_are_found_and_restored(text, values):
+    changed, counts = Pseudonymizer(b"k").replace(text)
+    assert sum(counts.values()) == len(values) and not any(value in changed for value in values)
+    assert Pseudonymizer(b"k", inverse=True).replace(changed)[0] == text
+
+
+@pytest.mark.parametrize("text", ["/var/log/4785380592391139", "http://a.example/4785380592391139", "0.4785380592391139",
+                                  "blog/2021/03/04/post", "31 June 2021", "May 2021", "1/12/12/2021", "2021-03-04/5",
+                                  "the 2th May 2021", "x-4785380592391139"])
+def test_paths_and_other_numbers_are_left_alone(text):
+    assert Pseudonymizer(b"k").replace(text) == (text, {})
+
+
+def test_written_dates_are_permuted_one_to_one():
+    for key in range(40):
+        for text in ("21 May 1999", "21 Jan 1999", "2nd March 2001", "04 Juni 1970", "9 marzo 1960"):
+            changed, counts = Pseudonymizer(b"%d" % key).replace(text)
+            assert counts == {"date": 1} and Pseudonymizer(b"%d" % key, inverse=True).replace(changed)[0] == text
+
+
 def test_documents_with_any_columns(spark):
     rows = [(1, "call +1 (743) 555-3824", "x", 9), (2, None, None, None), (2, "", "y", 1)] * 2
     docs = spark.createDataFrame(rows, "doc_id long, text string, found string, n_chars long")

@@ -16,6 +16,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,26 @@ DEMONSTRATION_KEY = b"tickerloom demonstration key"
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _HEX = "0123456789abcdef"
 _FIRST_DAY, _DAYS = date(1900, 1, 1), 73_049          # 1900-01-01 to 2099-12-31
+_IBAN_LENGTHS = dict(zip(*[iter(
+    "AD 24 AE 23 AL 28 AT 20 AZ 28 BA 20 BE 16 BG 22 BH 22 BR 29 BY 28 CH 21 CR 22 CY 28 CZ 24 DE 22 DK 18 DO 28 EE 20 "
+    "EG 29 ES 24 FI 18 FO 18 FR 27 GB 22 GE 22 GI 23 GL 18 GR 27 GT 28 HR 21 HU 28 IE 22 IL 23 IQ 23 IS 26 IT 27 JO 30 "
+    "KW 30 KZ 20 LB 28 LC 32 LI 21 LT 20 LU 20 LV 21 LY 25 MC 27 MD 24 ME 22 MK 19 MR 27 MT 31 MU 30 NL 18 NO 15 PK 24 "
+    "PL 28 PS 29 PT 25 QA 29 RO 24 RS 22 SA 24 SC 31 SE 24 SI 19 SM 27 ST 25 SV 28 TL 23 TN 24 TR 26 UA 29 VA 22 VG 24 "
+    "XK 20".split())] * 2))
+# Written months by language; a name of two lists belongs to the first, in both directions.
+_MONTH_LISTS = {
+    "en": "january february march april may june july august september october november december",
+    "en short": "jan feb mar apr may jun jul aug sep oct nov dec",
+    "en sept": "- - - - - - - - sept - - -",
+    "de": "januar februar märz april mai juni juli august september oktober november dezember",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}
+_MONTHS: dict[str, tuple[str, int]] = {}
+for _style, _names in _MONTH_LISTS.items():
+    for _number, _name in enumerate(_names.split(), 1):
+        if _name != "-":
+            _MONTHS.setdefault(_name, (_style, _number))
 
 
 class Feistel:
@@ -205,9 +226,52 @@ def _date(text: str, permute: Permute) -> str | None:
     return None
 
 
+@cache
+def _written_days(style: str, only: str) -> list[int]:
+    """Days whose month the list names; "0" for days with a leading zero, "er" for first days."""
+    months = {month for own, month in _MONTHS.values() if own == style}
+    days = ((n, _FIRST_DAY + timedelta(days=n)) for n in range(_DAYS))
+    return [n for n, day in days if day.month in months
+            and (not only or day.day < (10 if only == "0" else 2))]
+
+
+def _ordinal(day: int) -> str:
+    return "th" if day in (11, 12, 13) else {1: "st", 2: "nd", 3: "rd"}.get(day % 10, "th")
+
+
+def _written_date(found: re.Match, permute: Permute) -> str | None:
+    """A date with its month as a word: language, case, order and signs stay."""
+    name, day, suffix = found["m"], found["d"], found["o"] or ""
+    style, month = _MONTHS[name.lower()]
+    if suffix and suffix != "er" and suffix.lower() != _ordinal(int(day)):
+        return None
+    only = "er" if suffix == "er" else "0" if day[0] == "0" else ""
+    days = _written_days(style, only)
+    try:
+        at = bisect_left(days, n := (date(int(found["y"]), month, int(day)) - _FIRST_DAY).days)
+    except ValueError:
+        return None
+    if at == len(days) or days[at] != n:
+        return None
+    fresh = _FIRST_DAY + timedelta(days=days[permute(at, len(days), f"date {style} {only}")])
+    named = next(x for x, place in _MONTHS.items() if place == (style, fresh.month))
+    named = named.upper() if name.isupper() else named.capitalize() if name[0].isupper() else named
+    shown = f"{fresh.day:02}" if only == "0" else f"{fresh.day}"
+    if suffix and suffix != "er":
+        suffix = _ordinal(fresh.day).upper() if suffix.isupper() else _ordinal(fresh.day)
+    changed = {"m": named, "d": shown, "o": suffix, "y": f"{fresh.year}"}
+    out, done = [], found.start()
+    for part in sorted((x for x in changed if found[x]), key=found.start):
+        out += [found.string[done:found.start(part)], changed[part]]
+        done = found.end(part)
+    return "".join([*out, found.string[done:found.end()]])
+
+
 # Tried in this order at every place; a place that one format refuses is offered to the next.
 _FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
-    ("date", r"(?:(?:19|20)\d\d([-/.])\d\d\1\d\d|\d{1,2}([-/.])\d{1,2}\2(?:19|20)\d\d)(?![\d./-]*\d)", _date),
+    ("date", r"(?:(?:19|20)\d\d([-/.])\d\d\1\d\d|\d{1,2}([-/.])\d{1,2}\2(?:19|20)\d\d)"
+     # Another date may follow, as the end of a range.
+     r"(?:(?=[/-](?:(?:19|20)\d\d([-/.])\d\d\3\d\d|\d{1,2}([-/.])\d{1,2}\4(?:19|20)\d\d)(?!\d))|(?![\d./-]*\d))", _date),
     ("ip", r"\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _ip),
     ("ssn", r"\d{3}-\d{2}-\d{4}(?![-\d])", _ssn),
     ("card", r"\d(?:[ -]?\d){12,18}(?![-\d])", _card),
@@ -215,17 +279,32 @@ _FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
     ("phone", r"\+[1-9]\d{0,2}(?:[ .()-]{0,2}\d){7,12}(?!\d)", _international),
 )
 _NUMBERS = tuple((kind, re.compile(pattern), change) for kind, pattern, change in _FORMATS)
-# Where a number may begin: not inside a word, a number, a path or an id.
-_STARTS = re.compile(r"(?<![\w.,/+-])[+(]?\d(?=[\d .()/-]{5})")
+# Where a number may begin: not inside a word, a number or an id. A comma parts fields, also
+# behind a digit; a point behind a digit does not. Behind a slash, see _in_path.
+_STARTS = re.compile(r"(?<![\w+-])(?<!\d\.)[+(]?\d(?=[\d .()/-]{5})")
+_LONGEST_PATH = 256
 _ONE_CARD = re.compile(r"\d{13,19}(?!\d)|\d{4}(?:[ -]\d{4}){3}(?!\d)")
 _DIGIT = re.compile(r"[0-9]")
-_BEHIND = re.compile(r"[ ,;]{1,3}(?=[+(\d])")
+_BEHIND = re.compile(r"(?:[ ,;]{1,3}|[/\u2013-])(?=[+(\d])")
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9](?:[\w.+-]{0,62}[A-Za-z0-9])?@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![\w-])",
                     re.ASCII)
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_NAMES = "|".join(sorted(_MONTHS, key=len, reverse=True))
+_YEAR = r"(?P<y>(?:19|20)\d\d)(?!\d|[.,]\d)"
+_WRITTEN_DATES = (
+    re.compile(rf"(?<!\w)(?<!\d[./-])(?P<d>\d{{1,2}})(?P<o>st|nd|rd|th|er)?(?:\.? (?:of |de )?|-)(?P<m>{_NAMES})"
+               rf"(?:[.,]{{0,2}} (?:del? )?|-){_YEAR}", re.IGNORECASE),
+    re.compile(rf"(?<!\w)(?P<m>{_NAMES})\.? (?P<d>\d{{1,2}})(?P<o>st|nd|rd|th)?,? {_YEAR}", re.IGNORECASE),
+)
 _HEX_SECRET = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])")
 
 
+def _in_path(text: str, slash: int) -> bool:
+    """Whether the slash belongs to a path or address, not to "tel/..." or a list."""
+    before = re.split(r"\s", text[max(0, slash - _LONGEST_PATH):slash])[-1]
+    return any(ch in before for ch in "/.\\")
+
+
 class Pseudonymizer:
     """``replace(text)``: the text with pseudonyms, and how many of each kind."""
 
@@ -236,16 +315,33 @@ class Pseudonymizer:
     def replace(self, text: str) -> tuple[str, dict[str, int]]:
         counts: dict[str, int] = {}
         if "@" in text:
-            text = self._sub(_EMAIL, "email", _email, text, counts)
+            text = self._sub(_EMAIL, "email", lambda found, permute: _email(found.group(), permute), text, counts)
         if not _DIGIT.search(text):
             return text, counts
-        text = self._sub(_IBAN, "iban", _iban, text, counts)
-        text = self._sub(_HEX_SECRET, "secret", _secret, text, counts)
+        text = self._ibans(text, counts)
+        text = self._sub(_HEX_SECRET, "secret", lambda found, permute: _secret(found.group(), permute), text, counts)
+        for pattern in _WRITTEN_DATES:
+            text = self._sub(pattern, "date", _written_date, text, counts)
         return self._numbers(text, counts), counts
 
+    def _ibans(self, text: str, counts: dict[str, int]) -> str:
+        """A match may hold what follows the account: its country says how long it is."""
+        out, done, at = [], 0, 0
+        while found := _IBAN.search(text, at):
+            own, at = found.group(), found.start() + 4
+            places = [n for n, ch in enumerate(own) if ch != " "]
+            length = int(_IBAN_LENGTHS.get(own[:2], len(places)))
+            if len(places) > length and not own[places[length - 1] + 1].isalnum():
+                own = own[:places[length - 1] + 1]
+            if (fresh := _iban(own, self._permute)) is not None:
+                counts["iban"] = counts.get("iban", 0) + 1
+                out += [text[done:found.start()], fresh]
+                done = at = found.start() + len(own)
+        return "".join([*out, text[done:]])
+
     def _sub(self, pattern: re.Pattern, kind: str, change, text: str, counts: dict[str, int]) -> str:
         def one(found: re.Match) -> str:
-            fresh = change(found.group(), self._permute)
+            fresh = change(found, self._permute)
             if fresh is None:
                 return found.group()
             counts[kind] = counts.get(kind, 0) + 1
@@ -258,9 +354,10 @@ class Pseudonymizer:
         while found := _STARTS.search(text, at):
             # A value right behind another one starts at once, whatever stands before it.
             start: int | None = found.start()
-            at = found.end()
+            at, first = found.end(), True
             while start is not None:
-                end, fresh = self._number_at(text, start, counts)
+                end, fresh = self._number_at(text, start, counts, first)
+                first = False
                 if fresh is None:
                     break
                 out += [text[done:start], fresh]
@@ -269,9 +366,14 @@ class Pseudonymizer:
                 start = behind and behind.end()
         return "".join([*out, text[done:]])
 
-    def _number_at(self, text: str, start: int, counts: dict[str, int]) -> tuple[int, str | None]:
+    def _number_at(self, text: str, start: int, counts: dict[str, int], first: bool) -> tuple[int, str | None]:
+        slash = first and text[start - 1:start] == "/"
+        if slash and _in_path(text, start - 1):
+            return start, None
         for kind, pattern, change in _NUMBERS:
             match = pattern.match(text, start)
+            if match and slash and kind == "date" and ("/" in match.group() or text[start - 2:start - 1].isdigit()):
+                continue            # part of a longer row of numbers, or of a path
             fresh = match and change(match.group(), self._permute)
             if kind == "card" and match and fresh is None:
                 match, fresh = self._shorter_card(text, match)
