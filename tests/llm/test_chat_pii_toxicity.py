@@ -53,6 +53,31 @@ def test_layouts_become_turns(spark):
     assert {r.conv_id for r in out if r.turn is None} == {9, 10, 99, 100}
 
 
+def test_messages_of_one_record_may_differ(spark):
+    parts = [{"type": "text", "text": "p1"}, "p2"]
+    records = [
+        {"messages": [{"role": "user", "content": parts}, {"role": "assistant", "content": "whole"}]},
+        {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "text": "a"}, {"from": "human", "value": "v"}]},
+        {"role": "user", "text": None, "content": "c"},
+        {"messages": [{"role": "user", "content": parts}, {"role": "assistant", "content": None}, {"role": "user", "content": ""}]},
+        {"messages": [{"role": "user", "content": parts}, {"role": "assistant", "content": None, "calls": [{"name": "f"}]}]},
+        {"messages": [{"role": "user", "content": [*parts, {"type": "image", "url": "u"}]}, {"role": "assistant", "content": "a"}]},
+        {"messages": [{"role": "user", "content": "q"}, "bare"]},
+    ]
+    want = [
+        [("user", "p1p2"), ("assistant", "whole")], [("user", "q"), ("assistant", "a"), ("user", "v")], [("user", "c")],
+        [("user", "p1p2"), ("assistant", ""), ("user", "")], [("user", "p1p2")],
+        [("user", "p1p2"), ("assistant", "a")], [("user", "q")],
+    ]
+    rows = [(n, 0, json.dumps(r)) for n, r in enumerate(records)]
+    out = canonical_turns(spark.createDataFrame(rows, "conv_id long, position long, record string")).collect()
+    for n, turns in enumerate(want):
+        own = sorted((r.turn, r.role, r.text) for r in out if r.conv_id == n and r.turn is not None)
+        assert [(role, text) for _, role, text in own] == turns
+    assert [(r.conv_id, r.role, r.text) for r in out if r.turn is None] == [(n, None, None) for n in (4, 5, 6)]
+    assert all(r.layout for r in out)
+
+
 def test_fingerprints_see_paths_not_values_or_order():
     a, b = {"x": {"y": [{"z": 1}]}, "w": 2}, {"w": None, "x": {"y": [{"z": "q"}, {"z": []}]}}
     assert field_paths(a) == {"x", "x.y", "x.y[].z", "w"}

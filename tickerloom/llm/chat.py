@@ -3,7 +3,8 @@
 A record is JSON of any layout. The hashes of its nested field paths are its fingerprint;
 a layout is a declarative mapping that names the paths it needs and where roles and texts
 are. The fingerprint selects the mapping once per worker; records of the same shape then
-take it from there.
+take it from there. A message in which that mapping finds no text is read by the first other
+mapping of messages that finds one, as the messages of a record may differ.
 
 The template is ``### role: text</turn>`` and a line end per turn. A backslash escapes
 itself and the first sign of any marker inside a text or role.
@@ -87,22 +88,60 @@ def _texts(value: object, path: str) -> list[str]:
     inner = value.get(key) if isinstance(value, dict) else None
     parts = inner if many and isinstance(inner, list) else [inner]
     if rest:
-        return [text for part in parts for text in _texts(part, rest)]
+        return [text for part in parts
+                for text in ([part] if many and isinstance(part, str) else _texts(part, rest))]
     return [part if isinstance(part, str) else json.dumps(part, ensure_ascii=False)
             for part in parts if part is not None]
 
 
-def _apply(layout: Layout, record: dict) -> Iterator[tuple[str, str]]:
+def _has_content(value: object) -> bool:
+    """Whether there is anything to say in a value, besides roles and kinds."""
+    if isinstance(value, dict):
+        return any(_has_content(inner) for key, inner in value.items() if key not in ("role", "from", "type"))
+    if isinstance(value, list):
+        return any(map(_has_content, value))
+    return value is not None and value != ""
+
+
+def _whole(layout: Layout, message: object) -> bool:
+    """Whether every part of a message's text is found by the layout's path."""
+    path, _, rest = layout.text.partition("[].")
+    parts = message.get(path) if rest and isinstance(message, dict) else None
+    return not isinstance(parts, list) or all(
+        isinstance(part, str) or _texts(part, rest) or not _has_content(part) for part in parts)
+
+
+def _message(layout: Layout, others: list[Layout], message: object) -> tuple[tuple[str, str] | None, bool]:
+    """Role and text by the first layout that finds a text, and whether nothing is left over."""
+    own = None
+    for way in (layout, *others):
+        role, said = "".join(_texts(message, way.role)), "".join(_texts(message, way.text))
+        if own is None:
+            own = layout.roles.get(role, role)
+        if said:
+            return (own or way.roles.get(role, role), said), _whole(way, message)
+    if _has_content(message) or not isinstance(message, dict):
+        return None, False
+    return (own, ""), True
+
+
+def _apply(layout: Layout, others: list[Layout], record: dict) -> Iterator[tuple[int | None, str | None, str | None]]:
+    """Numbered turns of a record, and a row of None for each message not mapped in full."""
     if layout.turns:
+        n = 0
         for role, paths in layout.turns:
             texts = [text for path in paths for text in _texts(record, path) if text]
             if texts or all(path in record for path in paths):
-                yield role, "\n".join(texts)
+                yield n, role, "\n".join(texts)
+                n += 1
         return
     messages = record.get(layout.each) if layout.each else [record]
-    for message in messages if isinstance(messages, list) else []:
-        role = "".join(_texts(message, layout.role))
-        yield layout.roles.get(role, role), "".join(_texts(message, layout.text))
+    for n, message in enumerate(messages if isinstance(messages, list) else []):
+        turn, whole = _message(layout, others, message)
+        if turn:
+            yield n, *turn
+        if not whole:
+            yield None, None, None
 
 
 _TURNS = pa.schema([("conv_id", pa.int64()), ("position", pa.int64()), ("turn", pa.int64()),
@@ -117,11 +156,14 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
 
     ``position`` orders the records of one conversation (message rows); ``turn`` numbers the
     turns of one record from 0. A record that is not JSON or fits no layout gives one row
-    whose turn, role and layout are NULL, so nothing disappears unseen. A NULL text is empty.
+    whose turn, role and layout are NULL, so nothing disappears unseen. A message with
+    content that is not mapped in full gives such a row too, beside what is mapped of it; that
+    row names the layout. A NULL text is empty.
     """
 
     def convert(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen: dict[str, Layout | None] = {}
+        spoken = [x for x in layouts if x.role]
 
         def rows() -> Iterator[tuple]:
             for batch in stream:
@@ -137,8 +179,8 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
                         chosen[mark] = next((x for x in layouts if paths.issuperset(x.needs)), None)
                     layout, n = chosen[mark], 0
                     if layout is not None:
-                        for n, (role, said) in enumerate(_apply(layout, record), 1):
-                            yield (*at, n - 1, role, said, layout.name, mark)
+                        for n, turn in enumerate(_apply(layout, spoken, record), 1):
+                            yield (*at, *turn, layout.name, mark)
                     if not n:
                         yield (*at, None, None, None, layout and layout.name, mark)
 
