@@ -244,6 +244,17 @@ def test_fingerprints_equal_brute_force(spark):
         check_prints(rows, {r.doc_id: r for r in prints.fingerprints(docs, partitions).collect()})
 
 
+@pytest.mark.parametrize("length", [40, 120, 290, 500, 3000])
+@pytest.mark.parametrize("first, size", [(0x4E00, 3000), (0x0E01, 46), (0x3041, 80)])
+def test_unspaced_scripts_share_parts(length, first, size):
+    rng = random.Random(length)
+    text, after = ("".join(chr(first + rng.randrange(size)) for _ in range(length)) for _ in range(2))
+    assert likeness(text, prints.edited(text, after)) > 0.15
+    middle = length // 2
+    assert likeness(text, text[:middle] + after[:3] + text[middle:]) > 0.5
+    assert "".join(prints.parts(text)) == text
+
+
 def test_fingerprints_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(prints, "RANGE_BYTES", 2000)
     rows = [(n, f"Text {n}, with {n * n} words.") for n in range(300)]

@@ -16,6 +16,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,22 +30,36 @@ HASHES = 3
 #: Cells of the stored sketch, and of the first try of a comparison.
 CELLS = 24
 # A line is parted behind a mark, or behind a word that ends in one of a few letters; a short
-# text behind every word. Where a part ends depends on the text right before it only.
+# text behind every word. What is still long, as in scripts without spaces, is parted where a
+# hash of the last three characters says so. Where a part ends depends on the text right before
+# it only.
 _LINES = re.compile(r"\n|(?<=[.,;:!?|%*#&$dgmuzê])\s")
 _WORDS = re.compile(r"\s")
 SHORT_CHARS = 300
 LONGEST_PART = 256
+#: Longer parts of a text, or of a short text, are parted by hash, one in so many characters.
+UNBROKEN, UNBROKEN_SHORT = (64, 16), (16, 4)
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
+def _by_hash(part: str, one_in: int) -> list[str]:
+    codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    mixed = (codes[:-2] * _MIX[0] + codes[1:-1]) * _MIX[1] + codes[2:]
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[2]
+    ends = np.flatnonzero((mixed >> np.uint64(40)) % np.uint64(one_in) == 0) + 3
+    return [part[a:b] for a, b in pairwise([0, *ends.tolist(), len(part)]) if a < b]
+
+
 def parts(text: str) -> list[str]:
     """Paragraph parts in order; together they are the whole text, but for blank ones."""
-    cut = _WORDS if len(text) <= SHORT_CHARS else _LINES
-    found = [part for part in cut.split(text) if part]
-    if max(map(len, found), default=0) <= LONGEST_PART:
+    short = len(text) <= SHORT_CHARS
+    found = [part for part in (_WORDS if short else _LINES).split(text) if part]
+    longest, one_in = UNBROKEN_SHORT if short else UNBROKEN
+    if max(map(len, found), default=0) <= longest:
         return found
-    # Unbroken text: slices from where its part begins.
+    found = [own for part in found for own in (_by_hash(part, one_in) if len(part) > longest else (part,))]
+    # A text of one character has no such places: slices from where its part begins.
     return [part[at:at + LONGEST_PART] for part in found for at in range(0, len(part), LONGEST_PART)]
 
 
