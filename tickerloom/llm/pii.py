@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import ipaddress
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from datetime import date, timedelta
@@ -227,12 +228,12 @@ def _date(text: str, permute: Permute) -> str | None:
 
 
 @cache
-def _written_days(style: str, only: str) -> list[int]:
+def _written_days(style: str, only: str) -> array:
     """Days whose month the list names; "0" for days with a leading zero, "er" for first days."""
     months = {month for own, month in _MONTHS.values() if own == style}
     days = ((n, _FIRST_DAY + timedelta(days=n)) for n in range(_DAYS))
-    return [n for n, day in days if day.month in months
-            and (not only or day.day < (10 if only == "0" else 2))]
+    return array("i", (n for n, day in days if day.month in months
+                       and (not only or day.day < (10 if only == "0" else 2))))
 
 
 def _ordinal(day: int) -> str:
