@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tickerloom.llm.chat import format_conversations, read_back
 from tickerloom.llm.common import read
 from tickerloom.llm.decontaminate import leaks
+from tickerloom.llm.fill_middle import fill_in_middle, restored
+from tickerloom.llm.filter_audit import filter_audit
 from tickerloom.llm.fingerprints import fingerprints
 from tickerloom.llm.html_extract import extract
 from tickerloom.llm.ngram_join import linked_documents
@@ -19,6 +21,7 @@ from tickerloom.llm.pii import pseudonymize
 from tickerloom.llm.sharding import shard_documents
 from tickerloom.llm.token_counts import token_counts
 from tickerloom.llm.toxicity import toxicity
+from tickerloom.llm.warc import archive_round_trip
 
 __all__ = ["LLM_QUERIES", "LLM_SQL"]
 
@@ -106,3 +109,26 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document and benchmark item that it holds."""
     return leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@registered
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of the five filters on all documents, per source."""
+    return filter_audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@registered
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents cut and moved, and rebuilt from what came out."""
+    moved = fill_in_middle(read(spark, sf_dir, "documents"))
+    return moved.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@registered
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives and read back by byte ranges."""
+    return archive_round_trip(read(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
