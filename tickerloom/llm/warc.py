@@ -65,20 +65,17 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
 
 
 def member(data: bytes) -> bytes:
-    """``data`` as one gzip member with no other member to be seen in it.
+    """``data`` as one gzip member in which no other one can be seen.
 
-    A payload that is itself an archive can lie uncompressed in its member; such a one is coded
-    again, without stored blocks.
+    Incompressible data, such as a payload that is an archive itself, lies in its member as it
+    is. So a block ends within every magic number of the data.
     """
-    for strategy in (zlib.Z_DEFAULT_STRATEGY, zlib.Z_HUFFMAN_ONLY, zlib.Z_FIXED):
-        packer = zlib.compressobj(6, zlib.DEFLATED, 31, 8, strategy)
-        packed = packer.compress(data) + packer.flush()
-        at = packed.find(MAGIC, 1)
-        while at >= 0 and header_of(packed[at:at + HEADER_BYTES]) is None:
-            at = packed.find(MAGIC, at + 1)
-        if at < 0:
-            break
-    return packed
+    packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+    packed, at = [], 0
+    while (found := data.find(MAGIC, at)) >= 0:
+        packed += [packer.compress(data[at:found + 1]), packer.flush(zlib.Z_SYNC_FLUSH)]
+        at = found + 1
+    return b"".join([*packed, packer.compress(data[at:]), packer.flush()])
 
 
 def page_record(page_id: int | None, url: str | None, payload: bytes, digest: str,
@@ -176,20 +173,8 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
 # --- reading -----------------------------------------------------------------------------
 
 
-def header_of(data: bytes) -> dict[str, str] | None:
-    """Headers of the WARC record that begins in the gzip member at the start of ``data``.
-
-    ``None`` if there is no member, or no WARC header with a length in it.
-    """
-    opened = zlib.decompressobj(31)
-    try:
-        head = opened.decompress(data, HEADER_BYTES)
-    except zlib.error:
-        return None
-    return parsed_header(head)
-
-
 def parsed_header(head: bytes) -> dict[str, str] | None:
+    """Fields of the WARC header that ``head`` begins with; ``None`` without one that has a length."""
     end = head.find(b"\r\n\r\n")
     if not head.startswith(b"WARC/1.") or end < 0:
         return None
