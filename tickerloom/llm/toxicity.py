@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import batches, documents
 
 BITS = 22
-#: Labelled rows used for training at most, by the smallest hash of their id.
+#: Labelled rows used for training at most, by the smallest hash of their id, and distinct
+#: features of these together (four bytes each in the learner), where texts are long.
 TRAIN_ROWS = 32_768
+TRAIN_FEATURES = 64 << 20
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 0.01
 THRESHOLD = 0.7
@@ -86,16 +88,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+_SAMPLE = pa.schema([("at", pa.string()), ("features", pa.binary()), ("toxic", pa.int32())])
 _MODEL = pa.schema([("feature", pa.int64()), ("weight", pa.float64())])
 _BIAS = -1
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dict[int, float]:
+def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS,
+        train_features: int = TRAIN_FEATURES) -> dict[int, float]:
     """Non-zero weights by feature, with the bias under -1.
 
-    The sample holds at most ``train_rows`` labelled rows, whatever the table's size. Only
-    ``text`` is read as input. NULL labels and ids, and held-out ids, are left out; an id with
-    contradicting labels counts as toxic. With nothing to learn from, every score is 0.5.
+    The sample holds at most ``train_rows`` labelled rows, and of these, in the order of a hash
+    of their ids, as many as have ``train_features`` features together, whatever the table's
+    size. Only ``text`` is read as input. NULL labels and ids, and held-out ids, are left out; an
+    id with contradicting labels counts as toxic. With nothing to learn from, every score is 0.5.
     """
     usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()
                            & ~held_out(F.col("doc_id").cast("long")))
@@ -106,24 +111,47 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> dic
     rows = (documents(docs).join(F.broadcast(picked), "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
 
+    def featured(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found() -> Iterator[tuple]:
+            for batch in stream:
+                for doc_id, text, toxic in zip(*batch.columns):
+                    yield (_order(doc_id.as_py()), features(text.as_py()).astype(np.int32).tobytes(),
+                           int(toxic.as_py() > 0))
+
+        return batches(found(), _SAMPLE, 256)
+
     def learn(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = []
+        sample, held = [], 0
         for batch in stream:
-            for doc_id, text, toxic in zip(*batch.columns):
-                sample.append((xxhash.xxh3_64_intdigest(str(doc_id.as_py())),
-                               (features(text.as_py()).astype(np.int32), int(toxic.as_py() > 0))))
+            for at, label in zip(batch.column(1), batch.column(2)):
+                at = np.frombuffer(at.as_buffer(), np.int32)
+                held += len(at)
+                if held > train_features:
+                    break
+                sample.append((at, label.as_py()))
+            if held > train_features:
+                break
+        for _ in stream:            # whatever lies beyond the bound
+            pass
         if not sample:
             return
-        sample.sort(key=lambda row: row[0])
-        weights, bias = train([row for _, row in sample])
+        weights, bias = train(sample)
         kept = np.flatnonzero(weights)
         yield from batches([(_BIAS, bias), *zip(kept.tolist(), weights[kept].tolist())], _MODEL)
 
-    # One task learns, from the bounded sample; its result is bounded by the feature space.
-    learned = rows.coalesce(1).mapInArrow(learn, "feature long, weight double")
+    # Features are found where the texts are. One task learns, from the bounded sample; its
+    # result is bounded by the feature space.
+    learned = (rows.mapInArrow(featured, "at string, features binary, toxic int")
+               .repartition(1).sortWithinPartitions("at")
+               .mapInArrow(learn, "feature long, weight double"))
     return {row["feature"]: row["weight"] for row in learned.collect()}
 
 
+def _order(doc_id: int) -> str:
+    """Where a row stands in the sample, as text that sorts like the hash."""
+    return f"{xxhash.xxh3_64_intdigest(str(doc_id)):016x}{doc_id}"
+
+
 @functools.lru_cache(maxsize=2)
 def _dense(packed: tuple[bytes, bytes]) -> np.ndarray:
     weights = np.zeros(1 << BITS, dtype=np.float32)
@@ -134,13 +162,18 @@ def _dense(packed: tuple[bytes, bytes]) -> np.ndarray:
 _SCORES = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
 
-def score(docs: DataFrame, model: dict[int, float], carry: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id`` and ``score`` of every row; ``carry`` names columns handed through unread."""
+def score(docs: DataFrame, model: dict[int, float], carry: tuple[str, ...] = (),
+          with_text: bool = False) -> DataFrame:
+    """``doc_id`` and ``score`` of every row; ``carry`` names columns handed through unread.
+
+    ``with_text`` gives the text back too, a NULL one as empty.
+    """
     bias = model.get(_BIAS, 0.0)
     pairs = sorted((at, w) for at, w in model.items() if at != _BIAS)
     packed = (np.array([at for at, _ in pairs], np.int64).tobytes(),
               np.array([w for _, w in pairs], np.float64).tobytes())
     sent = docs.sparkSession.sparkContext.broadcast(packed)
+    handed = (*(["text"] if with_text else []), *carry)
 
     def rate(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = _dense(sent.value)
@@ -148,12 +181,12 @@ def score(docs: DataFrame, model: dict[int, float], carry: tuple[str, ...] = ())
             scores = [_sigmoid(evidence(text.as_py(), weights) + bias)
                       for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()), *batch.columns[2:]],
-                names=["doc_id", "score", *carry])
+                [batch.column(0), pa.array(scores, pa.float64()), *batch.columns[1 if with_text else 2:]],
+                names=["doc_id", "score", *handed])
 
     kept = documents(docs, *carry)
     schema = kept.select("doc_id").schema.add("score", "double")
-    for name in carry:
+    for name in handed:
         schema = schema.add(kept.schema[name])
     return kept.mapInArrow(rate, schema)
 
