@@ -28,8 +28,14 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score, learned from the labels of those at hand, is below 0.7."""
     model = fit(docs, read(spark, sf_dir, "labels"))
-    scored = score(docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text"), model, ("row",))
-    return scored.filter(F.col("score") < THRESHOLD).select("row.*")
+    # The text passes through Python once; whether it was NULL goes with the other columns.
+    more = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")]
+    others = F.struct(F.col("text").isNull().alias("absent"), F.col("doc_id").alias("id"),
+                      (F.struct(*more) if more else F.lit(0)).alias("row"))
+    scored = score(docs.select("doc_id", "text", others.alias("others")), model, ("others",), with_text=True)
+    own = {"doc_id": F.col("others.id"), "text": F.when(~F.col("others.absent"), F.col("text"))}
+    return scored.filter(F.col("score") < THRESHOLD).select(
+        *[own.get(name, F.col(f"others.row.{name}")).alias(name) for name in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
