@@ -634,3 +634,13 @@ SQL["outlier_rate_repeated_bounds"] = SQL["outlier_summary"]
 SQL["publish_loaded"] = (
     SQL["warehouse_projection"] + " WHERE vwap BETWEEN 1 AND 2000 AND total_volume > 0"
 )
+SQL["version_history_compacted"] = SQL["version_history"]
+SQL["asof_merged_groups"] = SQL["asof_version_counts"]
+SQL["publish_atomic"] = f"""{with_(TRADES, bars('1 hour'), bars('1 day', 'days'))}, n AS (
+    SELECT (SELECT count(*) FROM bars WHERE vwap BETWEEN 1 AND 2000 AND total_volume > 0) AS a,
+        (SELECT count(*) FROM bars WHERE vwap BETWEEN 1 AND 2000 AND total_volume > 0
+            AND ticker <> 'click') AS b,
+        (SELECT count(*) FROM days WHERE vwap BETWEEN 1 AND 2000 AND total_volume > 0) AS long_rows)
+    SELECT attempt, outcome, CASE WHEN attempt = 'second' THEN b ELSE a END AS short_rows, long_rows
+    FROM n, (VALUES ('first', 'loaded'), ('breaks', 'broken'), ('closed', 'gate closed'),
+        ('second', 'loaded')) v(attempt, outcome)"""

@@ -25,7 +25,7 @@ from tickerloom.operators import (
 from tickerloom.plans import publish
 from tickerloom.plans.outlier_report import stored_bounds
 from tickerloom.session import materialize, scratch_path
-from tickerloom.sinks import files, versioned, warehouse
+from tickerloom.sinks import batchlog, files, versioned, warehouse
 from tickerloom.sources import dimensions
 from tickerloom.sources.messages import (
     captured_messages,
@@ -666,6 +666,31 @@ def version_history_empty(spark, sf):
     return versioned.history(spark, path).select("version", "operation", "rows_written")
 
 
+@query
+def version_history_compacted(spark, sf):
+    """The same history after the log was made into checkpoints twice."""
+    path = _versions(spark, sf)
+    for _ in range(2):
+        batchlog.checkpoint(spark, versioned.log_path(path))
+    log = versioned.history(spark, path)
+    return log.select(F.col("version").cast("bigint"), "operation", "rows_written")
+
+
+@query
+def asof_merged_groups(spark, sf):
+    """A version of a table whose old batches were merged and of which one was replayed since."""
+    path = scratch_path(spark, "versions")
+    source = feeds.trades(spark, sf).drop("event_id")
+    first, second = (F.col("event_time") >= F.lit(cut).cast("timestamp") for cut in CUTS)
+    periods = {0: ~first, 7: first & ~second, versioned.GROUP_SIZE: second}
+    for batch, period in periods.items():
+        versioned.write_batch(source.filter(period), batch, path)
+    versioned.merge_groups(spark, path)
+    versioned.write_batch(source.filter(periods[7]), 7, path)
+    return versioned.as_of(spark, path, versioned.GROUP_SIZE - 1).groupBy("ticker").agg(
+        F.count("*").alias("trade_count"), F.sum("quantity").alias("total_volume"))
+
+
 @query
 def schema_rejections(spark, sf):
     """What keeps a frame out of a table, and the rows the table still has afterwards."""
@@ -753,6 +778,40 @@ def publish_outcomes(spark, sf):
         "rows_in_target", F.lit(kept).cast("bigint"))
 
 
+@query
+def publish_atomic(spark, sf):
+    """Loads into files behind one pointer: both tables, a load that breaks before the pointer
+    is replaced, a closed gate, and a second load."""
+    sink = warehouse.AtomicFilesSink(scratch_path(spark, "warehouse"))
+    hourly, daily = _publishable(_bars(spark, sf)), _publishable(_bars(spark, sf, "1 day"))
+    some = hourly.filter(F.col("ticker") != feeds.TICKERS[0])
+    rows = []
+
+    def attempt(case: str, short: DataFrame, target: warehouse.AtomicFilesSink, universe: list[str]) -> None:
+        try:
+            outcome = publish.publish(short, daily, target, universe, window_seconds=3600)["VWAP_1MIN"]
+        except publish.GateClosed:
+            outcome = "gate closed"
+        except BrokenLoad:
+            outcome = "broken"
+        rows.append((case, outcome, sink.count(spark, "VWAP_1MIN"), sink.count(spark, "VWAP_5MIN")))
+
+    attempt("first", hourly, sink, feeds.TICKERS)
+    attempt("breaks", some, BreakingSink(sink.folder), feeds.TICKERS)
+    attempt("closed", some, sink, UNIVERSE)
+    attempt("second", some, sink, feeds.TICKERS)
+    return spark.createDataFrame(rows, "attempt string, outcome string, short_rows bigint, long_rows bigint")
+
+
+class BrokenLoad(RuntimeError):
+    """Stands for whatever ends a load before its last step."""
+
+
+class BreakingSink(warehouse.AtomicFilesSink):
+    def reveal(self, spark: SparkSession, versions: dict[str, str]) -> None:
+        raise BrokenLoad
+
+
 # --- streams, run over everything available ---
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.fixed_values import (
@@ -37,26 +37,10 @@ def _check_row(no: int, name: str, tables: str, violations: Column, detail: Colu
     )
 
 
-def quality_checks(
-    short_bars: DataFrame,
-    long_bars: DataFrame,
-    universe: list[str] | None = None,
-    window_seconds: int = 60,
-) -> DataFrame:
-    """Seven rows, one per check, from one scan of each table.
-
-    A NULL measure violates only check 1 (vwap) and check 6 (window bounds); other
-    comparisons with NULL are not counted. Completeness is checked on the long
-    bars. The one collected set holds universe symbols only, so it stays small.
-    """
-    tickers = sorted(universe if universe is not None else UNIVERSE)
-    both = short_bars.select(*CHECKED, F.lit("short").alias("bars")).unionAll(
-        long_bars.select(*CHECKED, F.lit("long").alias("bars"))
-    )
-    is_short, is_long = F.col("bars") == "short", F.col("bars") == "long"
+def _metrics(is_short: Column, is_long: Column, window_seconds: int) -> list[Column]:
+    """The conditional counts behind all checks but the fifth."""
     width = F.unix_micros("window_end") - F.unix_micros("window_start")
-    known = F.when(is_long & F.col("ticker").isin(*tickers), F.col("ticker"))
-    counts = both.agg(
+    return [
         F.count_if(is_short & F.col("vwap").isNull()).alias("null_short"),
         F.count_if(is_long & F.col("vwap").isNull()).alias("null_long"),
         F.count_if((F.col("vwap") < VWAP_MIN) | (F.col("vwap") > VWAP_MAX)).alias("range"),
@@ -66,11 +50,11 @@ def quality_checks(
             is_short & ~width.eqNullSafe(F.lit(window_seconds * 1_000_000))
         ).alias("width"),
         F.count_if(F.col("high_price") < F.col("low_price")).alias("high_low"),
-        F.array_sort(
-            F.array_except(F.array(*map(F.lit, tickers)), F.collect_set(known))
-        ).alias("absent"),
-    )
+    ]
+
 
+def _checks_of(counts: DataFrame, tickers: list[str], window_seconds: int) -> DataFrame:
+    """Seven rows from one row of counts and the list ``absent``."""
     def said(column: str, what: str) -> Column:
         return F.concat(F.col(column).cast("string"), F.lit(f" {what}"))
 
@@ -94,6 +78,55 @@ def quality_checks(
     return counts.select(F.inline(F.array(*rows)))
 
 
+def quality_checks(
+    short_bars: DataFrame,
+    long_bars: DataFrame,
+    universe: list[str] | None = None,
+    window_seconds: int = 60,
+) -> DataFrame:
+    """Seven rows, one per check, from one scan of each table.
+
+    A NULL measure violates only check 1 (vwap) and check 6 (window bounds); other
+    comparisons with NULL are not counted. Completeness is checked on the long
+    bars. The one collected set holds universe symbols only, so it stays small.
+    """
+    tickers = sorted(universe if universe is not None else UNIVERSE)
+    both = short_bars.select(*CHECKED, F.lit("short").alias("bars")).unionAll(
+        long_bars.select(*CHECKED, F.lit("long").alias("bars"))
+    )
+    is_short, is_long = F.col("bars") == "short", F.col("bars") == "long"
+    known = F.when(is_long & F.col("ticker").isin(*tickers), F.col("ticker"))
+    counts = both.agg(*_metrics(is_short, is_long, window_seconds), F.array_sort(
+        F.array_except(F.array(*map(F.lit, tickers)), F.collect_set(known))).alias("absent"))
+    return _checks_of(counts, tickers, window_seconds)
+
+
+def write_metrics(short: bool, universe: list[str] | None = None, window_seconds: int = 60) -> list[Column]:
+    """What a write of one bar table has to observe for the checks: counts, and per symbol
+    whether it occurs."""
+    tickers = sorted(universe if universe is not None else UNIVERSE)
+    seen = [] if short else [F.bool_or(F.col("ticker") == name).alias(f"seen_{at}")
+                             for at, name in enumerate(tickers)]
+    return [*_metrics(F.lit(short), F.lit(not short), window_seconds), *seen]
+
+
+def checks_from_metrics(
+    spark: SparkSession,
+    short: dict,
+    long_: dict,
+    universe: list[str] | None = None,
+    window_seconds: int = 60,
+) -> DataFrame:
+    """The rows of ``quality_checks`` from what two writes observed."""
+    tickers = sorted(universe if universe is not None else UNIVERSE)
+    names = ["null_short", "null_long", "range", "pressure", "volume", "width", "high_low"]
+    absent = [name for at, name in enumerate(tickers) if not long_[f"seen_{at}"]]
+    counts = spark.createDataFrame(
+        [(*(short[n] + long_[n] for n in names), absent)],
+        ", ".join(f"`{n}` bigint" for n in names) + ", absent array<string>")
+    return _checks_of(counts, tickers, window_seconds)
+
+
 def gate(checks: DataFrame) -> DataFrame:
     """One row: checks passed, checks run, failed check numbers, and ``ok``."""
     failed = F.array_sort(F.collect_list(F.when(~F.col("passed"), F.col("check_no"))))

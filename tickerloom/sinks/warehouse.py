@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -10,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, TimestampType
 
 from tickerloom.fixed_values import WAREHOUSE_COLUMNS
+from tickerloom.sinks.storage import delete, get_text, put_text
+from tickerloom.sources.tables import TableMissing
 
 TEXT_TIME = "yyyy-MM-dd HH:mm:ss"
 
@@ -96,3 +100,55 @@ class StagedFilesSink:
 
     def count(self, spark: SparkSession, table: str) -> int:
         return spark.read.format(self.fmt).load(self._path(table)).count()
+
+
+@dataclass(frozen=True)
+class AtomicFilesSink:
+    """Tables as versioned folders below ``folder``, all shown by one small pointer file.
+
+    A load writes new folders and then replaces the pointer by one rename. Readers follow the
+    pointer: they see all tables of one load or all of the load before, whatever breaks. The
+    previous version of a table stays until the next load, for readers that opened it.
+    """
+
+    folder: str
+
+    def _pointer(self) -> str:
+        return f"{self.folder.rstrip('/')}/current.json"
+
+    def staging(self, table: str) -> str:
+        """A fresh folder for a new version of ``table``."""
+        return f"{self.folder.rstrip('/')}/versions/{table}/{uuid.uuid4().hex}"
+
+    def _state(self, spark: SparkSession) -> dict[str, dict[str, str]]:
+        text = get_text(spark, self._pointer())
+        return json.loads(text) if text else {"shown": {}, "before": {}}
+
+    def shown(self, spark: SparkSession) -> dict[str, str]:
+        """Path of the version that readers of each table see."""
+        return self._state(spark)["shown"]
+
+    def reveal(self, spark: SparkSession, versions: dict[str, str]) -> None:
+        """Show these versions from now on; other tables stay as they are."""
+        state = self._state(spark)
+        kept = {**state["shown"], **versions}
+        before = {**state["before"], **{t: p for t, p in state["shown"].items() if t in versions}}
+        put_text(spark, self._pointer(), json.dumps({"shown": kept, "before": before}))
+        for table in versions:
+            if table in state["before"]:
+                delete(spark, state["before"][table])
+
+    def read(self, spark: SparkSession, table: str) -> DataFrame:
+        shown = self.shown(spark)
+        if table not in shown:
+            raise TableMissing(f"{table} was never loaded into {self.folder}")
+        return spark.read.parquet(shown[table])
+
+    def load(self, df: DataFrame, table: str) -> None:
+        """Replace one table on its own."""
+        path = self.staging(table)
+        df.write.parquet(path)
+        self.reveal(df.sparkSession, {table: path})
+
+    def count(self, spark: SparkSession, table: str) -> int:
+        return self.read(spark, table).count()
