@@ -644,3 +644,11 @@ SQL["publish_atomic"] = f"""{with_(TRADES, bars('1 hour'), bars('1 day', 'days')
     SELECT attempt, outcome, CASE WHEN attempt = 'second' THEN b ELSE a END AS short_rows, long_rows
     FROM n, (VALUES ('first', 'loaded'), ('breaks', 'broken'), ('closed', 'gate closed'),
         ('second', 'loaded')) v(attempt, outcome)"""
+SQL["reconcile_incremental"] = SQL["reconcile_summary_outer"]
+SQL["late_rows_side_table"] = SQL["stream_late_windows"]
+SQL["rollup_bars_1d"] = SQL["vwap_1d"]
+# A day is emitted once an hour behind it is: when that hour has closed.
+SQL["stream_rollup_bars"] = f"""{with_(
+    TRADES, f"good AS (SELECT * FROM trades WHERE {GOOD})", bars('1 hour', 'h', 'good'), bars('1 day', 'd', 'good'),
+    "edge AS (SELECT max(window_start) AS t FROM h WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 SECOND FROM good))")}
+    SELECT {FULL_BAR} FROM d, edge WHERE window_end <= t"""

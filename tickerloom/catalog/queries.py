@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tickerloom.catalog import feeds
 from tickerloom.catalog.feeds import comparable
+from tickerloom.functions import measures
 from tickerloom.operators import (
     bars,
     dedup,
@@ -22,7 +23,7 @@ from tickerloom.operators import (
     trades,
     vendor,
 )
-from tickerloom.plans import publish
+from tickerloom.plans import incremental, publish
 from tickerloom.plans.outlier_report import stored_bounds
 from tickerloom.session import materialize, scratch_path
 from tickerloom.sinks import batchlog, files, versioned, warehouse
@@ -33,7 +34,8 @@ from tickerloom.sources.messages import (
     parse_trades,
     rejected_messages,
 )
-from tickerloom.sources.tables import read_tables, read_trade_log
+from tickerloom.sources.tables import read_table, read_tables, read_trade_log
+from tickerloom.streaming import late
 from tickerloom.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,6 +344,35 @@ def reconcile_lines(spark, sf):
     return reconcile.reconcile(lines, bars.windowed_vwap(lines, "1 day"), "1 day")
 
 
+def _by_periods(spark: SparkSession, sf: str) -> tuple[str, str, str]:
+    """Trades and hourly bars in batches by period, one of each replayed with other rows, and
+    the comparison brought up to date after every step; the paths."""
+    paths = [scratch_path(spark, f"followed-{name}") for name in ("trades", "bars", "state")]
+    source = feeds.twice_delivered(feeds.trades(spark, sf)).drop("event_id", "user_id")
+    first, second = (F.col("event_time") >= F.lit(cut).cast("timestamp") for cut in CUTS)
+    periods = [~first, first & ~second, second]
+    # At first the second period comes without quoted trades; its replay brings all.
+    partial = source.filter(periods[1] & (F.col("source") != "simulator"))
+
+    def deliver(batch: int, rows: DataFrame) -> None:
+        versioned.write_batch(rows, batch, paths[0])
+        streamed = rows.filter("source = 'simulator'")
+        versioned.write_batch(bars.windowed_vwap(streamed, "1 hour"), batch, paths[1])
+
+    for batch, rows in ((0, source.filter(periods[0])), (1, partial), (2, source.filter(periods[2])),
+                        (1, source.filter(periods[1]))):
+        deliver(batch, rows)
+        incremental.reconcile_changes(spark, *paths, "1 hour")
+    return tuple(paths)
+
+
+@query
+def reconcile_incremental(spark, sf):
+    """The summary of a comparison that followed three batches and a replay."""
+    *_, state = _by_periods(spark, sf)
+    return reconcile.reconcile_summary(incremental.reconciled(spark, state))
+
+
 # --- quality ---
 
 
@@ -936,6 +967,41 @@ def stream_late_windows(spark, sf):
              (F.col("sent") - F.col("trade_count")).alias("dropped_late"))
 
 
+@query
+def late_rows_side_table(spark, sf):
+    """The same windows from the rows themselves: those accepted and those kept aside as late."""
+    folder = scratch_path(spark, "messages")
+    _delivered_files(spark, sf, folder, [0, 1, 2])
+    live = trades.enrich(parse_trades(captured_messages(spark, folder, max_files_per_trigger=1)))
+    path, state = (scratch_path(spark, f"late-{x}") for x in ("rows", "state"))
+    streams.finish({"late": late.split_late(live, path, state, "1 hour")})
+    rows = versioned.as_of(spark, path).filter("trade_id IS NOT NULL").withColumn(
+        "window_start", measures.window_start(F.col("event_time"), "1 hour"))
+    last = rows.agg(F.max("event_time") - F.expr("INTERVAL 10 SECONDS")).scalar()
+    return rows.filter(measures.window_end(F.col("window_start"), "1 hour") <= last).groupBy(
+        "window_start", "ticker").agg(
+        F.count_if(~F.col("late")).alias("trade_count"), F.count_if("late").alias("dropped_late"),
+    ).filter("trade_count > 0")
+
+
+@query
+def stream_rollup_bars(spark, sf):
+    """Daily bars made from stored hourly ones by the fan-out."""
+    base, state = scratch_path(spark, "fan-out"), scratch_path(spark, "fan-out-state")
+    streams.finish(streams.start_fan_out(
+        feeds.trade_messages(feeds.events_stream(spark, sf)), base, state,
+        durations=("1 hour", "1 day"), trigger=streams.AVAILABLE_NOW, roll_up=True,
+    ))
+    return read_table(spark, f"{base}/vwap_5min").drop("window_date")
+
+
+@query
+def rollup_bars_1d(spark, sf):
+    """Daily bars from hourly ones in batch."""
+    return bars.rollup_bars(bars.mergeable_bars(feeds.trades(spark, sf), "1 hour"), "1 day").drop(
+        *bars.PART_COLUMNS)
+
+
 @query
 def stream_restart_audit(spark, sf):
     """Two files, a stop, a third file, a restart from the same checkpoint; then the audit."""

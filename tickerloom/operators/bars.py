@@ -73,6 +73,69 @@ def windowed_vwap(
     }).select(*BAR_COLUMNS, *(["unknown_volume"] if unknown_volume else []))
 
 
+#: Sums and counts that, kept beside a bar, let bars of longer windows be made from it.
+PART_COLUMNS = ["price_sum", "price_count", "bid_sum", "bid_count", "ask_sum", "ask_count"]
+
+
+def _finished(sums: DataFrame, duration: str) -> DataFrame:
+    """Bars, with their parts, from sums, counts and extremes."""
+    volume, bought = F.col("total_volume"), F.col("buy_volume")
+    return sums.withColumns({
+        "avg_price": ratio(F.col("price_sum"), F.col("price_count")),
+        "avg_bid": ratio(F.col("bid_sum"), F.col("bid_count")),
+        "avg_ask": ratio(F.col("ask_sum"), F.col("ask_count")),
+    }).withColumns({
+        "vwap": ratio(F.col("total_dollar_volume"), volume),
+        "sell_volume": volume - bought,
+        "buy_pressure": percent(bought, volume).try_cast("decimal(5,2)"),
+        "avg_spread": (F.col("avg_ask") - F.col("avg_bid")).try_cast("decimal(10,4)"),
+        "window_duration": F.lit(duration),
+    }).select(*BAR_COLUMNS, *PART_COLUMNS)
+
+
+def mergeable_bars(
+    trades: DataFrame, duration: str = "1 minute", watermark: str | None = None
+) -> DataFrame:
+    """The bars of ``windowed_vwap`` with the parts that ``rollup_bars`` needs.
+
+    A mean cannot be merged; its sum and count can.
+    """
+    if watermark is not None:
+        trades = trades.withWatermark("event_time", watermark)
+    means = [measure(name).alias(f"{short}_{kind}")
+             for short, name in (("price", "price"), ("bid", "bid_price"), ("ask", "ask_price"))
+             for kind, measure in (("sum", F.sum), ("count", F.count))]
+    return _finished(_by_window(trades, duration, [
+        F.sum("dollar_volume").alias("total_dollar_volume"),
+        F.sum("quantity").alias("total_volume"),
+        F.sum("buy_volume").alias("buy_volume"),
+        F.count("trade_id").alias("trade_count"),
+        F.min("price").alias("low_price"),
+        F.max("price").alias("high_price"),
+        *means,
+    ]), duration)
+
+
+def rollup_bars(bars: DataFrame, duration: str = "5 minutes") -> DataFrame:
+    """Bars of longer windows from stored ``mergeable_bars``, whose windows must divide theirs.
+
+    No trade is read again. On a stream, bars of a window come before those of later windows,
+    as a closed-window table emits them, so no delay is waited for: a long bar is emitted when
+    the first short bar behind its window is there. Rows that came too late for their short
+    window are in no short bar and so in no long one, though bars made from trades may still
+    have counted them in the longer window.
+    """
+    shorter = bars.withColumnRenamed("window_start", "event_time")
+    if bars.isStreaming:
+        shorter = shorter.withWatermark("event_time", "0 seconds")
+    added = ["total_dollar_volume", "total_volume", "buy_volume", "trade_count", *PART_COLUMNS]
+    return _finished(_by_window(shorter, duration, [
+        *[F.sum(name).alias(name) for name in added],
+        F.min("low_price").alias("low_price"),
+        F.max("high_price").alias("high_price"),
+    ]), duration)
+
+
 def anomaly_bounds(bars: DataFrame, threshold_pct: float = THRESHOLD_PCT) -> DataFrame:
     """Band of ``threshold_pct`` around each bar's plain average price.
 

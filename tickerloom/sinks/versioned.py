@@ -120,9 +120,12 @@ def _replace_batch(df: DataFrame, batch_id: int, path: str, metrics: list[Column
     return found
 
 
-def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
-    """Write ``df`` as batch ``batch_id``, replacing that batch if it exists."""
-    _replace_batch(fit_to_schema(df, stored_schema(df.sparkSession, path)), batch_id, path)
+def write_batch(df: DataFrame, batch_id: int, path: str, metrics: list[Column] | None = None) -> dict:
+    """Write ``df`` as batch ``batch_id``, replacing that batch if it exists.
+
+    Returns the ``rows`` written and the aggregates ``metrics``, collected by the write.
+    """
+    return _replace_batch(fit_to_schema(df, stored_schema(df.sparkSession, path)), batch_id, path, metrics)
 
 
 def stream_batches(

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tickerloom.fixed_values import THRESHOLD_PCT, TRIGGER, WATERMARK
+from tickerloom.fixed_values import BAR_COLUMNS, THRESHOLD_PCT, TRIGGER, WATERMARK
 from tickerloom.functions.measures import utc_date
-from tickerloom.operators.bars import anomaly_bounds, windowed_vwap
+from tickerloom.operators.bars import anomaly_bounds, mergeable_bars, rollup_bars, windowed_vwap
 from tickerloom.operators.trades import bronze, enrich
 from tickerloom.sources.messages import parse_trades
 
@@ -70,6 +70,7 @@ def start_fan_out(
     fmt: str = "parquet",
     by_date: bool = True,
     preview_rows: int | None = None,
+    roll_up: bool = False,
 ) -> dict[str, StreamingQuery]:
     """Start the bronze, short-bar, long-bar and bounds queries.
 
@@ -79,12 +80,18 @@ def start_fan_out(
     others. Bronze keeps every row however late. Tables are partitioned by UTC date
     (``event_date``, ``window_date``), so that a question about a day reads that day.
 
-    With a trigger that ends by itself the bounds start when the short bars are done, or
-    they would miss the last ones.
+    With ``roll_up`` the short bars keep the sums and counts behind their means, and the long
+    bars are made from the stored short ones: the topic is read and parsed twice, not three
+    times, and the second window state holds short bars instead of trades. A long bar is then
+    emitted once a short bar behind it is stored, and a row too late for its short window
+    counts in no long bar (see ``rollup_bars``).
+
+    With a trigger that ends by itself the queries on stored bars start when the short bars are
+    done, or they would miss the last ones.
     """
     trades = enrich(parse_trades(messages))
     short, long_ = durations
-    short_bars = windowed_vwap(trades, short, watermark)
+    short_bars = (mergeable_bars if roll_up else windowed_vwap)(trades, short, watermark)
 
     def start(name: str, frame: DataFrame, time_column: str, date_column: str) -> StreamingQuery:
         if by_date:
@@ -97,12 +104,16 @@ def start_fan_out(
     started = {
         "raw_trades": start("raw_trades", bronze(trades), "event_time", "event_date"),
         "vwap_1min": start("vwap_1min", short_bars, "window_start", "window_date"),
-        "vwap_5min": start(
-            "vwap_5min", windowed_vwap(trades, long_, watermark), "window_start", "window_date"),
     }
+    if not roll_up:
+        started["vwap_5min"] = start(
+            "vwap_5min", windowed_vwap(trades, long_, watermark), "window_start", "window_date")
     if trigger is not None and ("availableNow" in trigger or "once" in trigger):
         started["vwap_1min"].awaitTermination()
     stored = stored_stream(messages.sparkSession, f"{base_path}/vwap_1min", short_bars.schema, fmt)
+    if roll_up:
+        started["vwap_5min"] = start(
+            "vwap_5min", rollup_bars(stored, long_).select(*BAR_COLUMNS), "window_start", "window_date")
     started["anomaly_alerts"] = start(
         "anomaly_alerts", anomaly_bounds(stored, threshold_pct), "window_start", "window_date")
     if preview_rows is not None:
@@ -183,7 +194,8 @@ def finish(queries: dict[str, StreamingQuery]) -> None:
 
 def rows_dropped_late(query: StreamingQuery) -> int:
     """Late rows dropped so far. Rows are counted after partial aggregation, so this
-    says whether anything was dropped, not how many input rows were."""
+    says whether anything was dropped, not how many input rows were; ``late.split_late``
+    keeps the rows themselves."""
     return sum(
         int(op.get("numRowsDroppedByWatermark", 0))
         for progress in query.recentProgress
