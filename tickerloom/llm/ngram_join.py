@@ -4,9 +4,9 @@ Documents with equal shingle sets form one class; everything below is done once
 
 Two sets of a high similarity differ in few shingles: for 0.9 in at most a ninth of the
 smaller one, for 0.8 in a quarter. Each set is hashed into blocks of bits by XOR (a bit is the parity of the
-shingles that fall on it), one block more than sets of its size band may differ in
+shingles that fall on it), a few blocks more than sets of its size band may differ in
 shingles. A differing shingle flips one bit, so the Hamming distance of two sketches bounds
-their difference from below, and at least one block of a similar pair is untouched. Classes
+their difference from below, and some block of a similar pair is untouched. Classes
 that agree in a block are candidates; sizes, sketches and at last the sets decide.
 
 Blocks shared by many classes are not expanded into all pairs. First every class is
@@ -66,6 +66,8 @@ def _bands(rule: Rule) -> np.ndarray:
     return np.array(rule.size_bands(), np.int64)
 
 
+#: One block more for so many shingles in which sets may differ.
+SURPLUS = 4
 SCREEN_BITS = 512
 #: Classes along the side of a cell in which pairs are screened together.
 CELL_SIDE = 256
@@ -95,20 +97,32 @@ def shingles(text: str, words: int) -> np.ndarray:
 
 
 def signatures(own: np.ndarray, rule: Rule) -> np.ndarray:
-    """One number per block: of the own band, and of the band below as the larger set."""
+    """One number per block: of the own band, and of the band below as the larger set.
+
+    The blocks are wide parity sketches, known by the XOR of the hashes of their odd positions.
+    Blocks on which no shingle falls look alike in all sets, so they are left out where that
+    loses nothing: there are more blocks than shingles in which similar sets may differ, and of
+    the untouched ones at least one has shingles if fewer than the surplus are empty. That holds
+    for a pair as soon as it holds for one of them.
+    """
     bands = _bands(rule)
     band = int(np.searchsorted(bands, len(own)))
     out = []
     for level in (band, band - 1):
         if level < 1:
             continue
-        blocks = rule.most_differing(int(bands[level])) + 1
+        differing = rule.most_differing(int(bands[level]))
+        surplus = differing // SURPLUS + 2
+        blocks = differing + surplus
         mixed = _mixed(own, 11 + level)
         place = ((mixed >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
         parity = np.zeros(blocks, np.uint64)
-        np.bitwise_xor.at(parity, place, np.uint64(1) << (mixed & np.uint64(63)))
+        np.bitwise_xor.at(parity, place, _mixed(mixed, 13))
         name = np.arange(blocks, dtype=np.uint64) * _B + np.uint64(level)
-        out.append(_mixed(_mixed(parity, 3) ^ _mixed(name, 5), 7))
+        sigs = _mixed(_mixed(parity, 3) ^ _mixed(name, 5), 7)
+        filled = np.zeros(blocks, bool)
+        filled[place] = True
+        out.append(sigs[filled] if blocks - filled.sum() < surplus else sigs)
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
