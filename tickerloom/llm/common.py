@@ -20,12 +20,33 @@ __all__ = ["batches", "clean_text", "documents", "importable", "ordinals", "pref
 BATCH_ROWS = 2048
 
 
+# Python workers live as long as their executor and share its memory with the JVM. So that one
+# stage does not hold what an earlier one has freed: Arrow takes memory from the C library, which
+# keeps few arenas and gives blocks of a megabyte and more back at once.
+_WORKER_ENVIRONMENT = {
+    "ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+    "MALLOC_MMAP_THRESHOLD_": str(1 << 20), "MALLOC_TRIM_THRESHOLD_": str(1 << 20),
+}
+# Whole texts may be long; a batch of them is bounded by these, unless the session says otherwise.
+_BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+               "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers that run beside the driver import this package from where it lies."""
+    """Let Python workers that run beside the driver import this package from where it lies, and
+    bound the memory they take."""
+    environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+    given = spark.sparkContext.getConf()
+    for name, value in _WORKER_ENVIRONMENT.items():
+        if not given.contains(f"spark.executorEnv.{name}"):
+            environment.setdefault(name, value)
+    for name, value in _BATCH_CONF.items():
+        if not given.contains(name) and spark.conf.get(name) != value:
+            spark.conf.set(name, value)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
