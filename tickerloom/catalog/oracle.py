@@ -652,3 +652,8 @@ SQL["stream_rollup_bars"] = f"""{with_(
     TRADES, f"good AS (SELECT * FROM trades WHERE {GOOD})", bars('1 hour', 'h', 'good'), bars('1 day', 'd', 'good'),
     "edge AS (SELECT max(window_start) AS t FROM h WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 SECOND FROM good))")}
     SELECT {FULL_BAR} FROM d, edge WHERE window_end <= t"""
+SQL["stream_outlier_trades"] = f"""{OUTLIER_BASE} SELECT {FULL_OUTLIER} FROM outliers
+    WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events)"""
+SQL["clustered_ticker_days"] = f"""{with_(TRADES)} SELECT cast(event_time AS date) AS event_date,
+    count(*) AS trade_count, {r4('sum(price * quantity)')} AS dollar_volume FROM trades
+    WHERE ticker = 'click' AND event_time < TIMESTAMP '2024-01-21' GROUP BY 1"""

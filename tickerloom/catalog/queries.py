@@ -868,6 +868,32 @@ def stream_bounds_closed_windows(spark, sf):
     return _streamed(bars.anomaly_bounds(daily, BAND_PCT), "bounds")
 
 
+@query
+def stream_outlier_trades(spark, sf):
+    """Trades of closed windows outside their bounds, both sides as streams."""
+    live = feeds.events_as_trades(feeds.events_stream(spark, sf))
+    kept, state = scratch_path(spark, "bounds"), scratch_path(spark, "bounds-state")
+    band = bars.anomaly_bounds(bars.windowed_vwap(live, "1 day", "10 seconds"), BAND_PCT)
+    streams.finish({"bounds": streams.write_stream(band, kept, state, trigger=streams.AVAILABLE_NOW)})
+    known = streams.stored_stream(spark, kept, band.schema)
+    again = feeds.events_as_trades(feeds.events_stream(spark, sf))
+    return _streamed(outliers.stream_outlier_trades(again, known, "1 day"), "outliers")
+
+
+@query
+def clustered_ticker_days(spark, sf):
+    """One ticker's days from an event log that was compacted in the order of its tickers."""
+    base, small = (scratch_path(spark, f"clustered-{x}") for x in ("log", "days"))
+    log = trades.bronze(feeds.trades(spark, sf).withColumn("kafka_ingest_time", F.col("event_time")))
+    log.withColumn("event_date", measures.utc_date(F.col("event_time"))).write.partitionBy(
+        "event_date").parquet(base)
+    streams.compact_days(spark, base, small, datetime(2024, 1, 21).date(), "event_date",
+                         cluster_by=("ticker", "event_time"))
+    mine = read_table(spark, small).filter(F.col("ticker") == feeds.TICKERS[0])
+    return mine.groupBy("event_date").agg(F.count("*").alias("trade_count"),
+                                          F.sum("dollar_volume").alias("dollar_volume"))
+
+
 @query
 def stream_bronze(spark, sf):
     messages = feeds.trade_messages(feeds.events_stream(spark, sf))

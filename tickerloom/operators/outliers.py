@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickerloom.fixed_values import WATERMARK
 from tickerloom.functions.measures import percent, window_start
 from tickerloom.operators.skew import SLICE_ROWS, spread_hot_keys
 
@@ -68,15 +69,40 @@ def outlier_trades(
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Trades strictly above the upper or below the lower bound of their window."""
+    return _outside(match_windows(trades.select(*TRADE_PART), bounds, grid, cell_seconds, slice_rows))
+
+
+def _outside(pairs: DataFrame) -> DataFrame:
     outside = (F.col("price") > F.col("anomaly_upper")) | (
         F.col("price") < F.col("anomaly_lower")
     )
     deviation = percent(F.col("price") - F.col("window_avg_price"), F.col("window_avg_price"))
-    return (
-        match_windows(trades.select(*TRADE_PART), bounds, grid, cell_seconds, slice_rows)
-        .filter(outside)
-        .select(*TRADE_PART, *BOUND_PART, F.round(deviation, 2).alias("deviation_pct"))
+    return pairs.filter(outside).select(
+        *TRADE_PART, *BOUND_PART, F.round(deviation, 2).alias("deviation_pct"))
+
+
+def stream_outlier_trades(
+    trades: DataFrame, bounds: DataFrame, grid: str = "1 minute", delay: str = WATERMARK
+) -> DataFrame:
+    """``outlier_trades`` on streams: trades joined with the bounds of closed windows.
+
+    ``bounds`` is the stream of a stored bounds table, whose windows of ``grid`` come in order.
+    Both sides have a watermark and the join a time range, so a trade is kept until the bounds
+    of its window have come and no longer; state holds the trades of the windows that are still
+    open, whatever the length of the streams. The window start is a join key beside the ticker,
+    so a busy ticker is looked up window by window. A trade later than ``delay`` is left out;
+    ``outlier_trades`` over the stored tables finds it.
+    """
+    live = trades.select(*TRADE_PART).withWatermark("event_time", delay).withColumn(
+        "_slot", window_start(F.col("event_time"), grid))
+    known = (
+        bounds.select(F.col("ticker").alias("_ticker"), F.col("window_start").alias("_start"), *BOUND_PART)
+        .withWatermark("window_start", "0 seconds")
     )
+    same = (F.col("ticker") == F.col("_ticker")) & (F.col("_slot") == F.col("_start"))
+    inside = (F.col("event_time") >= F.col("window_start")) & (
+        F.col("event_time") < F.col("window_start") + F.expr(f"INTERVAL {grid}"))
+    return _outside(live.join(known, same & inside))
 
 
 def outliers_by_ticker(outliers: DataFrame) -> DataFrame:
