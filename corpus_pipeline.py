@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import read, stored
+from tickerloom.llm.common import read, sparing, stored
 from tickerloom.llm.decontaminate import without_leaks
 from tickerloom.llm.ngram_join import Rule, linked_documents
 from tickerloom.llm.packing import pack
@@ -27,6 +27,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score, learned from the labels of those at hand, is below 0.7."""
+    sparing(spark)      # before the first Python worker starts, for all stages
     model = fit(docs, read(spark, sf_dir, "labels"))
     # The text passes through Python once; whether it was NULL goes with the other columns.
     more = [F.col(name) for name in docs.columns if name not in ("doc_id", "text")]
