@@ -33,7 +33,8 @@ _BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 
 
 def sparing(spark: SparkSession) -> None:
-    """Let Python workers give freed memory back; for work in many stages, as it takes time.
+    """Let Python workers give freed memory back, and bound the batches they get; for work in
+    many stages, as it takes time.
 
     Holds for the session from the first call on; the session's own settings win.
     """
@@ -41,20 +42,18 @@ def sparing(spark: SparkSession) -> None:
     for name, value in _WORKER_ENVIRONMENT.items():
         if not given.contains(f"spark.executorEnv.{name}"):
             spark.sparkContext.environment.setdefault(name, value)
+    for name, value in _BATCH_CONF.items():
+        if not given.contains(name):
+            spark.conf.set(name, value)
 
 
 def importable(spark: SparkSession) -> None:
-    """Let Python workers that run beside the driver import this package from where it lies, and
-    bound the batches they get."""
+    """Let Python workers that run beside the driver import this package from where it lies."""
     environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     known = environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
-    given = spark.sparkContext.getConf()
-    for name, value in _BATCH_CONF.items():
-        if not given.contains(name) and spark.conf.get(name) != value:
-            spark.conf.set(name, value)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
