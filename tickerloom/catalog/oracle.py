@@ -657,3 +657,16 @@ SQL["stream_outlier_trades"] = f"""{OUTLIER_BASE} SELECT {FULL_OUTLIER} FROM out
 SQL["clustered_ticker_days"] = f"""{with_(TRADES)} SELECT cast(event_time AS date) AS event_date,
     count(*) AS trade_count, {r4('sum(price * quantity)')} AS dollar_volume FROM trades
     WHERE ticker = 'click' AND event_time < TIMESTAMP '2024-01-21' GROUP BY 1"""
+CLOSED_DAY = """window_start = (SELECT max(window_start) FROM bars
+        WHERE window_start + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 10 SECOND FROM events))"""
+SQL["stream_latest_board"] = f"""{DAILY} SELECT ticker, window_start, {r4('vwap')} AS vwap, total_volume, trade_count
+    FROM bars WHERE {CLOSED_DAY} ORDER BY total_volume DESC, ticker LIMIT 15"""
+SQL["stream_latest_bounds"] = f"""{with_(TRADES, bars('1 day'), bounds())}
+    SELECT ticker, window_start, window_volume, {r4('window_avg_price')} AS window_avg_price,
+           {r4('anomaly_upper')} AS anomaly_upper, {r4('anomaly_lower')} AS anomaly_lower
+    FROM bounds WHERE {CLOSED_DAY} ORDER BY window_volume DESC, ticker LIMIT 5"""
+SQL["distinct_over_days"] = """SELECT since, until, count(ts) AS trade_count, count(DISTINCT event_type) AS tickers,
+        count(DISTINCT user_id) AS users, true AS within_bound
+    FROM (VALUES (DATE '2024-01-01', DATE '2024-01-31'), (DATE '2024-01-05', DATE '2024-01-11'),
+        (DATE '2024-01-09', DATE '2024-01-09'), (DATE '2023-01-01', DATE '2023-01-02')) v(since, until)
+    LEFT JOIN events ON cast(ts AS date) BETWEEN since AND until GROUP BY 1, 2"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from tickerloom.operators import (
     outliers,
     quality,
     reconcile,
+    sketches,
     skew,
     trades,
     vendor,
@@ -35,7 +36,7 @@ from tickerloom.sources.messages import (
     rejected_messages,
 )
 from tickerloom.sources.tables import read_table, read_tables, read_trade_log
-from tickerloom.streaming import late
+from tickerloom.streaming import boards, late
 from tickerloom.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -880,6 +881,53 @@ def stream_outlier_trades(spark, sf):
     return _streamed(outliers.stream_outlier_trades(again, known, "1 day"), "outliers")
 
 
+@query
+def stream_latest_board(spark, sf):
+    """The board of the newest closed window, kept by the stream itself."""
+    live = feeds.events_as_trades(feeds.events_stream(spark, sf))
+    path, state = scratch_path(spark, "board"), scratch_path(spark, "board-state")
+    streams.finish({"board": boards.keep_board(
+        bars.windowed_vwap(live, "1 day", "10 seconds"), path, state, trigger=streams.AVAILABLE_NOW)})
+    return boards.read_board(spark, path)
+
+
+@query
+def stream_latest_bounds(spark, sf):
+    """The price bands of the newest closed window, kept by the stream itself."""
+    live = feeds.events_as_trades(feeds.events_stream(spark, sf))
+    path, state = scratch_path(spark, "bands"), scratch_path(spark, "bands-state")
+    bounds = bars.anomaly_bounds(bars.windowed_vwap(live, "1 day", "10 seconds"), BAND_PCT)
+    streams.finish({"board": boards.keep_board(
+        bounds, path, state, "window_volume", 5, ("window_avg_price", "anomaly_upper", "anomaly_lower"),
+        trigger=streams.AVAILABLE_NOW)})
+    return boards.read_board(spark, path)
+
+
+@query
+def distinct_over_days(spark, sf):
+    """Ranges of days answered from stored sketches, held against exact counts."""
+    path = scratch_path(spark, "sketches")
+    source = feeds.trades(spark, sf)
+    sketches.store_day_sketches(sketches.day_sketches(source, ("ticker", "user_id")), path)
+    stored = read_table(spark, path)
+    day = measures.utc_date(F.col("event_time"))
+    ranges = [(date(2024, 1, 1), date(2024, 1, 31)), (date(2024, 1, 5), date(2024, 1, 11)),
+              (date(2024, 1, 9), date(2024, 1, 9)), (date(2023, 1, 1), date(2023, 1, 2))]
+    answers = None
+    for since, until in ranges:
+        known = sketches.distinct_over(stored, since, until)
+        exact = source.filter(day.between(F.lit(since), F.lit(until))).agg(
+            F.count_distinct("user_id").alias("users"))
+        # One row each: a range has one answer.
+        off = F.abs(F.col("distinct_user_id") - exact.scalar())
+        row = known.select(
+            F.lit(since).alias("since"), F.lit(until).alias("until"), F.col("rows").alias("trade_count"),
+            F.col("distinct_ticker").alias("tickers"), exact.scalar().alias("users"),
+            (off <= 1 + sketches.error_bound() * exact.scalar()).alias("within_bound"))
+        answers = row if answers is None else answers.unionByName(row)
+    return answers
+
+
 @query
 def clustered_ticker_days(spark, sf):
     """One ticker's days from an event log that was compacted in the order of its tickers."""

@@ -144,7 +144,7 @@ def latest_window(df: DataFrame, time: str = "window_start") -> DataFrame:
     return df.filter(F.col(time) == df.select(F.max(time)).scalar())
 
 
-def _latest_top(df: DataFrame, volume: str, n: int) -> DataFrame:
+def latest_top(df: DataFrame, volume: str, n: int) -> DataFrame:
     """Top ``n`` of the newest window in one scan.
 
     Sorted by window first, the newest window's leaders head the list; the rows of
@@ -162,14 +162,14 @@ def _latest_top(df: DataFrame, volume: str, n: int) -> DataFrame:
 
 def vwap_board(bars: DataFrame, n: int = 15) -> DataFrame:
     """Newest window: the ``n`` tickers with most volume."""
-    return _latest_top(
+    return latest_top(
         bars.select(*TIES, "vwap", "total_volume", "trade_count"), "total_volume", n
     )
 
 
 def bounds_board(bounds: DataFrame, n: int = 5) -> DataFrame:
     """Newest window: price bands of the ``n`` tickers with most volume."""
-    return _latest_top(
+    return latest_top(
         bounds.select(
             *TIES, "window_volume", "window_avg_price", "anomaly_upper", "anomaly_lower"
         ),
