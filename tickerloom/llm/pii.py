@@ -20,14 +20,18 @@ from datetime import date, timedelta
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.llm.common import documents
 
 ROUNDS = 8
-#: For tests and the registered query; a real run passes its own secret.
+#: The session setting with the secret key.
+KEY_SETTING = "spark.tickerloom.pii.key"
+#: Public, so it hides nothing: for tests and provided tables, where no key is set.
 DEMONSTRATION_KEY = b"tickerloom demonstration key"
+#: Characters permuted as one number; a longer secret is cut into even blocks.
+BLOCK = 128
 
 # Character classes and date bounds of the formats.
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -166,34 +170,73 @@ def _iban(text: str, permute: Permute) -> str | None:
 
 def _email(text: str, permute: Permute) -> str | None:
     local, _, host = text.rpartition("@")
+    # Letters of a host say where mail goes; together with the local part they name a person.
+    fresh = _by_class(local, permute, lambda shape: f"mail{shape}@{host.lower()}")
+    return None if fresh is None else f"{fresh}@{host}"
+
+
+def _by_class(own: str, permute: Permute, kind: Callable[[str], str]) -> str | None:
+    """ASCII letters become letters of the same case, digits digits; other characters stay."""
     classes = [_LETTERS if ch in _LETTERS else _LETTERS.upper() if ch in _LETTERS.upper()
-               else "0123456789" if ch in "0123456789" else None for ch in local]
+               else "0123456789" if ch in "0123456789" else None for ch in own]
     size, value = 1, 0
-    for ch, members in zip(local, classes):
+    for ch, members in zip(own, classes):
         if members:
             size, value = size * len(members), value * len(members) + members.index(ch)
     if size < 2:
         return None
-    # Letters of a host say where mail goes; together with the local part they name a person.
     shape = "".join("a" if m == _LETTERS else "A" if m == _LETTERS.upper() else "0" if m else ch
-                    for ch, m in zip(local, classes))
-    value = permute(value, size, f"mail{shape}@{host.lower()}")
+                    for ch, m in zip(own, classes))
+    value = permute(value, size, kind(shape))
     out = []
-    for ch, members in zip(reversed(local), reversed(classes)):
+    for ch, members in zip(reversed(own), reversed(classes)):
         if members:
             value, at = divmod(value, len(members))
             ch = members[at]
         out.append(ch)
-    return "".join(reversed(out)) + "@" + host
+    return "".join(reversed(out))
+
+
+def _blocks(text: str) -> Iterator[str]:
+    """A text of any length in even blocks, so that work stays linear."""
+    count = -(-len(text) // BLOCK)
+    cuts = [len(text) * n // count for n in range(count + 1)]
+    return (text[a:b] for a, b in zip(cuts, cuts[1:]))
 
 
 def _secret(text: str, permute: Permute) -> str | None:
     lowered = text.lower()
-    width = len(text)
-    fresh = f"{permute(int(lowered, 16), 16 ** width, 'hex'):0{width}x}"
+    fresh = "".join(f"{permute(int(block, 16), 16 ** len(block), 'hex'):0{len(block)}x}" for block in _blocks(lowered))
     return fresh.upper() if text != lowered else fresh
 
 
+def _token(found: re.Match, permute: Permute) -> str | None:
+    """An access key: its prefix says whose it is and stays."""
+    prefix, own = found["p"], found["own"]
+    if not any(ch.isdigit() for ch in own):
+        return None             # a hyphenated word
+    return prefix + "".join(_by_class(block, permute, lambda shape: f"key{prefix}{shape}") or block
+                            for block in _blocks(own))
+
+
+def _ip6(found: re.Match, permute: Permute) -> str | None:
+    """The digits of an address in the form it is written, in letters of one case; fewer than
+    four groups name no host."""
+    text = found.group()
+    if text not in (text.lower(), text.upper()):
+        return None
+    try:
+        ipaddress.IPv6Address(text)
+    except ValueError:
+        return None
+    digits = text.replace(":", "")
+    if sum(map(bool, text.split(":"))) < 4:
+        return None
+    shape = re.sub("[^:]", "x", text)
+    fresh = f"{permute(int(digits, 16), 16 ** len(digits), 'ip6' + shape):0{len(digits)}x}"
+    return _refill(text, fresh.upper() if any(ch in "ABCDEF" for ch in digits) else fresh, lambda ch: ch != ":")
+
+
 _WRITTEN = {
     "ymd": re.compile(r"(?P<y>(?:19|20)\d\d)(?P<s>[-/.])(?P<m>\d\d)(?P=s)(?P<d>\d\d)"),
     "dmy": re.compile(r"(?P<d>\d{1,2})(?P<s>[-/.])(?P<m>\d{1,2})(?P=s)(?P<y>(?:19|20)\d\d)"),
@@ -283,7 +326,6 @@ _NUMBERS = tuple((kind, re.compile(pattern), change) for kind, pattern, change i
 # Where a number may begin: not inside a word, a number or an id. A comma parts fields, also
 # behind a digit; a point behind a digit does not. Behind a slash, see _in_path.
 _STARTS = re.compile(r"(?<![\w+-])(?<!\d\.)[+(]?\d(?=[\d .()/-]{5})")
-_LONGEST_PATH = 256
 _ONE_CARD = re.compile(r"\d{13,19}(?!\d)|\d{4}(?:[ -]\d{4}){3}(?!\d)")
 _DIGIT = re.compile(r"[0-9]")
 _BEHIND = re.compile(r"(?:[ ,;]{1,3}|[/\u2013-])(?=[+(\d])")
@@ -297,13 +339,21 @@ _WRITTEN_DATES = (
                rf"(?:[.,]{{0,2}} (?:del? )?|-){_YEAR}", re.IGNORECASE),
     re.compile(rf"(?<!\w)(?P<m>{_NAMES})\.? (?P<d>\d{{1,2}})(?P<o>st|nd|rd|th)?,? {_YEAR}", re.IGNORECASE),
 )
-_HEX_SECRET = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])")
+_HEX_SECRET = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])")
+_TOKEN = re.compile(r"(?<![\w-])(?:(?P<p>(?:AKIA|ASIA)(?=[0-9A-Z]{16}(?![\w-]))"
+                    r"|(?:sk-|ghp_|gho_|xox[bp]-)(?=[\w-]{20}))(?P<own>[\w-]+))", re.ASCII)
+_IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f:]{8,}[0-9A-Fa-f](?!\w)")
 
 
 def _in_path(text: str, slash: int) -> bool:
     """Whether the slash belongs to a path or address, not to "tel/..." or a list."""
-    before = re.split(r"\s", text[max(0, slash - _LONGEST_PATH):slash])[-1]
-    return any(ch in before for ch in "/.\\")
+    # Back to the nearest sign; an earlier slash ends the search, so slashes share the work.
+    for at in range(slash - 1, -1, -1):
+        if text[at] in "/.\\":
+            return True
+        if text[at].isspace():
+            break
+    return False
 
 
 class Pseudonymizer:
@@ -320,6 +370,9 @@ class Pseudonymizer:
         if not _DIGIT.search(text):
             return text, counts
         text = self._ibans(text, counts)
+        text = self._sub(_TOKEN, "secret", _token, text, counts)
+        if "::" in text or text.count(":") >= 7:
+            text = self._sub(_IP6, "ip", _ip6, text, counts)
         text = self._sub(_HEX_SECRET, "secret", lambda found, permute: _secret(found.group(), permute), text, counts)
         for pattern in _WRITTEN_DATES:
             text = self._sub(pattern, "date", _written_date, text, counts)
@@ -391,7 +444,14 @@ class Pseudonymizer:
         return None, None
 
 
-def pseudonymize(docs: DataFrame, key: bytes = DEMONSTRATION_KEY,
+def session_key(spark: SparkSession) -> bytes:
+    """The key of this session (``spark.tickerloom.pii.key``). Where none is set it is the public
+    demonstration key: texts then have pseudonyms that anyone can turn back."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return given.encode() if given else DEMONSTRATION_KEY
+
+
+def pseudonymize(docs: DataFrame, key: bytes,
                  carry: tuple[str, ...] = (), inverse: bool = False) -> DataFrame:
     """(doc_id, text, found, carry...): every text with its personal values replaced.
 

@@ -17,7 +17,7 @@ from tickerloom.llm.html_extract import extract
 from tickerloom.llm.ngram_join import linked_documents
 from tickerloom.llm.oracle import SQL as LLM_SQL
 from tickerloom.llm.packing import pack
-from tickerloom.llm.pii import pseudonymize
+from tickerloom.llm.pii import pseudonymize, session_key
 from tickerloom.llm.sharding import shard_documents
 from tickerloom.llm.token_counts import token_counts
 from tickerloom.llm.toxicity import toxicity
@@ -85,7 +85,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal values replaced by pseudonyms."""
-    replaced = pseudonymize(read(spark, sf_dir, "documents"))
+    replaced = pseudonymize(read(spark, sf_dir, "documents"), session_key(spark))
     kinds = ("email", "phone", "card", "ip", "ssn", "iban", "date", "secret")
     return replaced.select(
         "doc_id", "text", *[F.coalesce(F.col("found")[kind], F.lit(0)).alias(f"n_{kind}")
