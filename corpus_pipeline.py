@@ -16,7 +16,7 @@ from tickerloom.llm.common import read, sparing, stored
 from tickerloom.llm.decontaminate import without_leaks
 from tickerloom.llm.ngram_join import Rule, linked_documents
 from tickerloom.llm.packing import pack
-from tickerloom.llm.pii import pseudonymize
+from tickerloom.llm.pii import pseudonymize, session_key
 from tickerloom.llm.toxicity import THRESHOLD, fit, score
 
 #: Five-word shingles, similarity of 0.8 or more.
@@ -65,7 +65,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms for personal values; ``n_chars`` follows the text."""
     others = [name for name in docs.columns if name not in ("doc_id", "text")]
-    replaced = pseudonymize(docs, carry=tuple(others))
+    replaced = pseudonymize(docs, session_key(spark), carry=tuple(others))
     if "n_chars" in docs.columns:
         replaced = replaced.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return replaced.select(*docs.columns)
