@@ -5,6 +5,7 @@ import html
 import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -26,8 +27,10 @@ from tickerloom.llm.decontaminate import (
 )
 from tickerloom.llm.html_extract import (
     align,
+    by_stream,
     extract,
     fold,
+    host_of,
     main_text,
     read_shape,
     spans,
@@ -398,3 +401,66 @@ def test_provided_pages(spark):
     for row in pages.collect():
         inside = re.search(r"<article>(.*?)</article>", row.html, re.DOTALL)[1]
         assert texts[row.page_id] == " ".join(html.unescape(re.sub(r"<[^>]+>", " ", inside)).split())
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no provided tables here")
+def test_wrappers_find_the_article_without_its_marks(spark):
+    """All article tags and class words renamed: hosts with several pages give the same texts."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows, hosts = pages.collect(), {}
+    for row in rows:
+        hosts[host_of(row.url)] = hosts.get(host_of(row.url), 0) + 1
+    plain = [(r.page_id, r.url, re.sub(r"(</?)article\b", r"\1x-part", r.html).replace('class="ad"', 'class="q7"')) for r in rows]
+    texts = {r.page_id: r.text for r in extract(spark.createDataFrame(plain, "page_id long, url string, html string")).collect()}
+    several = [r for r in rows if hosts[host_of(r.url)] > 1]
+    same = 0
+    for row in several:
+        inside = re.search(r"<article>(.*?)</article>", row.html, re.DOTALL)[1]
+        same += texts[row.page_id] == " ".join(html.unescape(re.sub(r"<[^>]+>", " ", inside)).split())
+    print(f"{same} of {len(several)}")
+    assert same >= 0.98 * len(several)
+
+
+@pytest.mark.parametrize("mark", [
+    "class=user-comments", "class=comments-section", "class=commentlist", "class=comment-thread", "class=comment-body",
+    "class=article-comments", "class=fb-comments", "id=disqus_thread", "class=ad-container", "class=google-ads",
+    "class=adsbygoogle", "class=related-stories", "class=warning-notice", "class=sidebar-right", "class=dropdown-menu",
+    "class=user-nav"])
+@pytest.mark.parametrize("times", [1, 200])
+def test_parts_beside_are_dropped_whatever_their_size(mark, times):
+    part = f"<div {mark}><p>{'other ' * times}</p></div>"
+    assert main_text(f"<article><p>the text</p>{part}<p>goes on</p></article>", 3) == "the text goes on"
+    assert main_text(f"<p>the text</p>{part}", 3) == "the text"
+
+
+@pytest.mark.parametrize("page", [
+    "<article><pre><span class=comment># note</span> code</pre></article>", "<article class='post comments-open'>note code</article>",
+    "<article><div class=commentary># note code</div></article>", "<div class=no-sidebar># note code</div>"])
+def test_words_that_only_look_like_marks(page):
+    assert main_text(page, 3).endswith("note code")
+
+
+def test_a_page_of_many_open_tags_takes_linear_time():
+    for page in ("<div class=x1>" * 32_000 + "t", "".join(f"<div class='ad{n}'>a" for n in range(32_000)),
+                 "<b>" * 16_000 + "<br>x" * 16_000, "<article>x" * 32_000):
+        start = time.process_time()
+        main_text(page, 3)
+        assert time.process_time() - start < 5
+
+
+def test_near_copies_and_copies_keep_their_text(spark):
+    text = [" ".join(words(20, n)) for n in range(6)]
+    page = "<div>Daily</div><h1>{}</h1><div>" + "".join(f"<p>{x}</p>" for x in text) + "<p>{}</p></div><div>All rights</div>"
+    rows = [(n, "http://near.example/", page.format(text[0][:30], f"tail {n}")) for n in range(5)]
+    texts = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in range(5):
+        assert " ".join(text) in texts[n] and f"tail {n}" in texts[n]
+
+
+def test_a_stream_with_most_pages_is_joined_in_parts(spark):
+    rows = spark.range(3000).select(
+        F.lit("h").alias("host"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("stream"),
+        F.xxhash64("id").alias("content"), F.col("id").alias("page_id"))
+    streams = rows.groupBy("host", "stream").agg(F.count("*").alias("pages")).withColumn("kind", F.col("stream") + 1)
+    out = by_stream(rows, streams, 3000)
+    assert out.count() == 3000 and out.filter("kind = stream + 1").count() == 3000
