@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tickerloom.llm.common import ordinals, prefix_sums
 from tickerloom.llm.packing import pack, pattern_slots, shortest_pack_first
-from tickerloom.llm.sharding import external_shuffle, shard_documents, write_shards
+from tickerloom.llm.sharding import external_shuffle, scatter, shard_documents, write_shards
 from tickerloom.llm.token_counts import quantile, token_counts, truncated_total
 from tickerloom.llm.tokens import Encoder, public_files
 
@@ -135,6 +135,35 @@ def test_buckets_keep_the_law_with_nulls_repeats_and_clashing_columns(spark):
     assert found.drop_duplicates(["shard", "slot"]).shape[0] == 45
 
 
+def test_equal_records_are_spread_over_buckets(spark):
+    same = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("a repeated row").alias("text"))
+    nothing = spark.range(9_000).select(F.lit(None).cast("long").alias("doc_id"),
+                                        F.lit(None).cast("string").alias("text"))
+    rest = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    records = same.unionAll(nothing).unionAll(rest)
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(8)
+    held = scatter(records, size, 50, bucket_bytes=10_000).groupBy("bucket").count().toPandas()["count"]
+    assert held.sum() == 29_500 and len(held) == 50 and held.max() < 2 * held.mean()
+    placed = external_shuffle(records, size, 7, bucket_bytes=10_000)
+    found = placed.select("record.*", "shard", "slot").toPandas()
+    assert found.doc_id.isna().sum() == 9_000 and (found.text == "a repeated row").sum() == 20_000
+    assert sorted(found[found.text == "x"].doc_id) == list(range(500))
+    assert found.drop_duplicates(["shard", "slot"]).shape[0] == 29_500
+    assert set(found.groupby("shard").slot.max() + 1) == {4214, 4215}
+    again = external_shuffle(records.repartition(5), size, 7, bucket_bytes=10_000).select("record.*", "shard", "slot")
+    order = ["shard", "slot"]
+    assert found.sort_values(order, ignore_index=True).equals(again.toPandas().sort_values(order, ignore_index=True))
+
+
+def test_equal_pieces_are_numbered_by_their_count(spark):
+    rows = (spark.range(10_000).select(F.lit(5).alias("k"), F.lit(None).cast("long").alias("id"), F.lit("a").alias("v"))
+            .unionAll(spark.range(300).select((F.col("id") % 2 + 5).cast("int"), F.col("id"), F.lit("b"))))
+    numbered = ordinals(rows, "k", ["id", "v"], "n", 10_300).toPandas()
+    for key, count in ((5, 10_150), (6, 150)):
+        assert sorted(numbered[numbered.k == key].n) == list(range(count))
+    assert numbered.id.isna().sum() == 10_000
+
+
 def test_ordinals_and_prefix_sums(spark):
     rows = spark.range(500).select((F.col("id") % 3).alias("k"), F.col("id"))
     numbered = ordinals(rows, "k", ["id"], "n", 500).toPandas()

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tickerloom.session import materialize, scratch_path
 
-__all__ = ["batches", "clean_text", "documents", "importable", "ordinals", "prefix_sums",
+__all__ = ["batches", "clean_text", "documents", "each_copy", "importable", "ordinals", "prefix_sums",
            "read", "stored", "scratch_path"]
 
 # Rows that one Arrow batch leaving a Python task may hold.
 BATCH_ROWS = 2048
+# Copies of a row that one step writes out.
+COPIES_AT_ONCE = 4096
 
 
 # Python workers live as long as their executor and share its memory with the JVM. So that one
@@ -116,22 +118,36 @@ def prefix_sums(counts: DataFrame, key: str, value: str, into: str, *, within: t
             .drop("_block", "_start"))
 
 
+def each_copy(counted: DataFrame, copies: str, into: str) -> DataFrame:
+    """A row per copy, numbered from 0; a row of many copies is written out by many tasks."""
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"({copies} - 1) div {COPIES_AT_ONCE}")))
+    names = [name for name in counted.columns if name != copies]
+    first = F.col("_block") * COPIES_AT_ONCE
+    return (counted.select(*counted.columns, block.alias("_block")).repartition(*names, "_block")
+            .select(*names, F.explode(F.sequence(
+                first, F.least(F.col(copies), first + COPIES_AT_ONCE) - 1)).alias(into)))
+
+
 def ordinals(rows: DataFrame, key: str, order: list[str], into: str, total: int) -> DataFrame:
     """Number the rows of each ``key`` from 0, in a fixed order, without gathering a key.
 
     Every key is split over about sqrt(total) buckets by a hash of ``order``. A task numbers
     one bucket of one key; the counts of the buckets before it are added. A key with all rows
-    costs sqrt(total) rows a task in either step. Rows equal in ``order`` share a bucket.
+    costs sqrt(total) rows a task in either step. Rows equal in ``order`` share a bucket; rows
+    equal in all columns are one row with a number of copies until they have their numbers.
     """
     buckets = max(1, math.isqrt(max(0, total)))
-    spread = rows.withColumn(
-        "_bucket", F.pmod(F.xxhash64(*order, F.lit(17)), F.lit(buckets)).cast("int"))
-    counts = spread.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    spread = (rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn(
+        "_bucket", F.pmod(F.xxhash64(*order, F.lit(17)), F.lit(buckets)).cast("int")))
+    counts = spread.groupBy(key, "_bucket").agg(F.sum("_copies").alias("_rows"))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(key, "_bucket",
                            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(key, "_bucket").orderBy(*order)
-    return (spread.withColumn("_at", F.row_number().over(inside))
-            .join(starts, [key, "_bucket"])
-            .withColumn(into, (F.col("_before") + F.col("_at") - 1).cast("long"))
-            .drop("_bucket", "_at", "_before"))
+    rest = [name for name in rows.columns if name not in (key, *order)]
+    inside = (Window.partitionBy(key, "_bucket").orderBy(*order, *rest)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    numbered = (spread.withColumn("_inside", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
+                .join(starts, [key, "_bucket"])
+                .withColumn(into, (F.col("_before") + F.col("_inside")).cast("long")))
+    written = each_copy(numbered.select(*rows.columns, into, "_copies"), "_copies", "_nth")
+    return written.select(*rows.columns, (F.col(into) + F.col("_nth")).alias(into))

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.llm.common import documents, prefix_sums
+from tickerloom.llm.common import documents, each_copy, prefix_sums, stored
 
 #: Text bytes a bucket holds on average; one bucket at a time is in a Python task's memory.
 BUCKET_BYTES = 8 << 20
@@ -23,17 +23,33 @@ SHARDS = 24
 SEED = 20_240_601
 
 
-def scatter(records: DataFrame, buckets: int, seed: int = SEED) -> DataFrame:
+def scatter(records: DataFrame, record_bytes, buckets: int, seed: int = SEED,
+            bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Pass one: (record, bucket, order), uniform over the buckets.
 
-    Records that share a key, a source or a text still differ somewhere and are spread;
-    only records equal in all columns meet in one bucket.
+    Records that share a key, a source or a text still differ somewhere and are spread by
+    their hash. Records equal in all columns are spread by the number of the copy where
+    together they would fill an eighth of a bucket; there are at most eight such records a bucket.
     """
     record = F.struct(*[records[c] for c in records.columns])
-    return (records.select(record.alias("record"))
-            .select("record",
-                    F.pmod(F.xxhash64(F.lit(seed), "record"), F.lit(buckets)).alias("bucket"),
-                    F.xxhash64("record", F.lit(seed)).alias("order")))
+    named = records.select(record.alias("record"), F.xxhash64(record).alias("name"),
+                           record_bytes.cast("long").alias("bytes"))
+    # Records that only share the hash of a large group are counted one by one below.
+    large = stored(named.groupBy("name").agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
+                   .filter((F.col("n") > 1) & (F.col("bytes") * 8 > bucket_bytes)).select("name"),
+                   "repeated-records")
+
+    def placed(rows: DataFrame, *copy: str) -> DataFrame:
+        return rows.select(
+            "record", F.pmod(F.xxhash64(F.lit(seed), "record", *copy), F.lit(buckets)).alias("bucket"),
+            F.xxhash64("record", *copy, F.lit(seed)).alias("order"))
+
+    if large.isEmpty():
+        return placed(named)
+    repeated = (named.join(large, "name", "left_semi").groupBy("record")
+                .agg(F.count(F.lit(1)).alias("copies")))
+    return (placed(named.join(large, "name", "left_anti"))
+            .unionAll(placed(each_copy(repeated, "copies", "copy"), "copy")))
 
 
 def external_shuffle(records: DataFrame, record_bytes, shards: int = SHARDS, seed: int = SEED,
@@ -45,7 +61,7 @@ def external_shuffle(records: DataFrame, record_bytes, shards: int = SHARDS, see
     """
     total = records.agg(F.coalesce(F.sum(record_bytes), F.lit(0))).first()[0]
     buckets = max(1, -(-int(total) // bucket_bytes))
-    scattered = scatter(records, buckets, seed)
+    scattered = scatter(records, record_bytes, buckets, seed, bucket_bytes)
     counts = scattered.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     starts = prefix_sums(counts, "bucket", "n", "start").select(F.col("bucket").alias("of"), "start")
     schema = scattered.select("record").schema
