@@ -117,6 +117,21 @@ def test_all_pairs_of_large_groups_are_screened(spark, families, monkeypatch):
     assert found(docs) == brute_components(families)
 
 
+@pytest.mark.parametrize("bits", [1, 5])
+def test_sets_that_share_half_of_their_hash_are_told_apart(spark, families, bits):
+    docs = spark.createDataFrame(families, "doc_id long, text string")
+    rows = ngrams.linked_documents(docs, names=ngrams.Names(bits=bits)).collect()
+    assert sorted(tuple(r) for r in rows) == brute_components(families)
+
+
+def test_ids_at_the_ends_of_their_range(spark):
+    least, most = -(1 << 63), (1 << 63) - 1
+    rows = [(most, "a b c d"), (least, "e f g h"), (None, "i j k l"), (None, "e f g h"), (most, "m n o p"), (7, "M n o p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in ngrams.linked_documents(docs).collect()}
+    assert got == {(most, 2, most), (least, 2, least), (None, 2, None), (None, 2, least), (most, 2, 7), (7, 2, 7)}
+
+
 def test_odd_ids_and_no_rows(spark):
     text = " ".join(words(50))
     docs = spark.createDataFrame([(None, text), (5, text), (5, text), (None, "alone here now"), (4, None)],

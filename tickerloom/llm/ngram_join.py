@@ -71,7 +71,6 @@ SURPLUS = 4
 SCREEN_BITS = 512
 #: Classes along the side of a cell in which pairs are screened together.
 CELL_SIDE = 256
-_NO_ID = (1 << 63) - 1
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -150,24 +149,59 @@ def least_difference(a: bytes, b: bytes) -> int:
 
 
 _SKETCHED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()),
-                       ("screen", pa.binary())])
+                       ("check", pa.int64()), ("screen", pa.binary())])
 
 
-def class_of(own: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh3_64_intdigest(own.tobytes())).astype(np.int64))
+@dataclass(frozen=True)
+class Names:
+    """Numbers of equal shingle sets, from a hash of 128 bits.
+
+    A set is known by one half (its lowest ``bits``). Among 10^10 sets a few pairs share it; those
+    numbers are ``shared``, and their sets are known by the other half.
+    """
+
+    shared: frozenset[int] = frozenset()
+    bits: int = 64
+
+    def halves(self, own: np.ndarray) -> tuple[int, int]:
+        both = np.frombuffer(xxhash.xxh3_128_digest(own.tobytes()), ">i8").tolist()
+        return both[1] >> (64 - self.bits), both[0]
 
+    def of(self, own: np.ndarray) -> int:
+        first, other = self.halves(own)
+        return other if first in self.shared else first
 
-def _sketched(docs: DataFrame, rule: Rule) -> DataFrame:
+
+def _sketched(docs: DataFrame, rule: Rule, names: Names) -> DataFrame:
     def sketch(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in stream:
                 for doc_id, text in zip(*batch.columns):
                     own = shingles(text.as_py(), rule.words)
-                    yield doc_id.as_py(), len(own), class_of(own), screen(own)
+                    yield doc_id.as_py(), len(own), *names.halves(own), screen(own)
 
         yield from batches(rows(), _SKETCHED)
 
-    return docs.mapInArrow(sketch, "doc_id long, n long, cls long, screen binary")
+    return docs.mapInArrow(sketch, "doc_id long, n long, cls long, check long, screen binary")
+
+
+def _classes(sketched: DataFrame, label: str) -> DataFrame:
+    """The distinct sets; where ``check`` and ``last`` differ, several have one number."""
+    return stored(sketched.filter("n > 0").groupBy("cls").agg(
+        F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.first("screen").alias("screen"),
+        F.min("check").alias("check"), F.max("check").alias("last")), label)
+
+
+def _told_apart(sketched: DataFrame, names: Names) -> tuple[DataFrame, DataFrame, Names]:
+    """(sketches, classes, names) in which every set has a number of its own."""
+    classes = _classes(sketched, "classes")
+    # About n * n / 2^65 numbers: three for 10^10 sets.
+    shared = sorted(row["cls"] for row in classes.filter("check <> last").select("cls").collect())
+    if not shared:
+        return sketched, classes, names
+    own = F.when(F.col("cls").isin(shared), F.col("check")).otherwise(F.col("cls"))
+    apart = sketched.withColumn("cls", own)
+    return apart, _classes(apart, "classes-apart"), Names(frozenset(shared), names.bits)
 
 
 _PACKED = pa.schema([("bucket", pa.int32()), ("pairs", pa.binary())])
@@ -178,7 +212,7 @@ PACKED_PAIRS = 400_000
 _SIG, _CLS = 6, 8
 
 
-def _blocks(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
+def _blocks(docs: DataFrame, rule: Rule, names: Names, buckets: int) -> DataFrame:
     """(bucket, pairs): the blocks of every class, once per task that reads copies of it.
 
     Pairs (signature, class) are packed by the bucket of their signature: as single rows they
@@ -193,7 +227,7 @@ def _blocks(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
         for batch in stream:
             for text in batch.column(0):
                 own = shingles(text.as_py(), rule.words)
-                cls = class_of(own)
+                cls = names.of(own)
                 if not len(own) or cls in given:
                     continue
                 if len(given) >= GIVEN_CLASSES:
@@ -251,7 +285,7 @@ BUCKETS_PER_PARTITION = 2
 MAX_BUCKETS = 1 << 14
 
 
-def _shared_blocks(docs: DataFrame, rule: Rule) -> DataFrame:
+def _shared_blocks(docs: DataFrame, rule: Rule, names: Names = Names()) -> DataFrame:
     """(sig, cls, pivot): the classes of every signature that several classes have.
 
     The pivot is the signature's first class. Most signatures have one class; they leave no
@@ -288,7 +322,7 @@ def _shared_blocks(docs: DataFrame, rule: Rule) -> DataFrame:
             yield from batches(out, _SHARED)
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = _blocks(docs, rule, min(MAX_BUCKETS, parts * BUCKETS_PER_PARTITION))
+    packed = _blocks(docs, rule, names, min(MAX_BUCKETS, parts * BUCKETS_PER_PARTITION))
     return (_unpacked(packed.repartition(parts, "bucket")).sortWithinPartitions("sig", "cls")
             .mapInArrow(tie, "sig long, cls long, pivot long"))
 
@@ -296,19 +330,20 @@ def _shared_blocks(docs: DataFrame, rule: Rule) -> DataFrame:
 _SETS = pa.schema([("cls", pa.int64()), ("own", pa.binary())])
 
 
-def _sets(docs: DataFrame, rule: Rule) -> DataFrame:
+def _sets(docs: DataFrame, rule: Rule, names: Names) -> DataFrame:
     def hashed(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from batches(((class_of(own), own.tobytes()) for batch in stream
+        yield from batches(((names.of(own), own.tobytes()) for batch in stream
                             for text in batch.column(0) for own in [shingles(text.as_py(), rule.words)]), _SETS, 256)
 
     return docs.select("text").mapInArrow(hashed, "cls long, own binary")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, rule: Rule, names: Names) -> DataFrame:
     """The pairs whose sets are similar. Only documents that stand for a candidate are moved."""
     wanted = (pairs.select(F.col("a").alias("cls")).unionAll(pairs.select("b")).distinct()
               .join(classes.select("cls", "doc_id"), "cls"))
-    sets = (_sets(docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"), rule)
+    ids = wanted.select(F.col("doc_id").alias("wanted")).distinct()
+    sets = (_sets(docs.join(ids, docs["doc_id"].eqNullSafe(ids["wanted"]), "left_semi"), rule, names)
             .join(wanted.select("cls"), "cls", "left_semi"))
     sets = stored(sets.groupBy("cls").agg(F.first("own").alias("own")), "shingle-sets")
     left = sets.select(F.col("cls").alias("a"), F.col("own").alias("own_a"))
@@ -417,35 +452,30 @@ def _screened_cell(cell: pa.Table, rule: Rule) -> Iterator[tuple[int, int]]:
                 yield min(int(cls[at]), int(cls[other])), max(int(cls[at]), int(cls[other]))
 
 
-def linked_documents(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+def linked_documents(docs: DataFrame, rule: Rule = Rule(), names: Names = Names()) -> DataFrame:
     """(doc_id, n_shingles, component_id): components of all documents under the rule.
 
     ``component_id`` is the smallest doc_id reachable, the own one included. A document
     without words has no shingles and is linked with nothing. Repeated rows are copies of each
     other. A NULL doc_id takes part and never names a component that has another id.
     """
-    rows = documents(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(_NO_ID)))
-    sketched = stored(_sketched(rows, rule), "sketches")
-    worded = sketched.filter("n > 0")
-    classes = stored(worded.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"),
-                                               F.first("screen").alias("screen")), "classes")
-    shared = stored(_shared_blocks(rows, rule), "shared-blocks")
+    rows = documents(docs)
+    sketched, classes, names = _told_apart(stored(_sketched(rows, rule, names), "sketches"), names)
+    shared = stored(_shared_blocks(rows, rule, names), "shared-blocks")
     stars = stored(shared.filter("cls != pivot").select(
         F.least("cls", "pivot").alias("a"), F.greatest("cls", "pivot").alias("b")).distinct(), "star-pairs")
-    linked = stored(_verified(stored(_screened(stars, classes, rule), "star-candidates"), rows, classes, rule),
-                    "star-links")
+    candidates = stored(_screened(stars, classes, rule), "star-candidates")
+    linked = stored(_verified(candidates, rows, classes, rule, names), "star-links")
     roots = components(linked, "star-components")
     rest = stored(_rest_pairs(shared, roots, classes, rule).join(stars, ["a", "b"], "left_anti"), "rest-pairs")
     if not rest.isEmpty():
-        more = stored(_verified(rest, rows, classes, rule), "rest-links")
+        more = stored(_verified(rest, rows, classes, rule, names), "rest-links")
         roots = components(linked.unionAll(more), "all-components")
     rooted = (classes.join(roots, classes["cls"] == roots["node"], "left")
               .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     named = rooted.join(smallest, "root").select("cls", "component_id")
-    real = F.when(F.col("doc_id") != _NO_ID, F.col("doc_id"))
-    return (worded.select("doc_id", "n", "cls").join(named, "cls")
+    return (sketched.filter("n > 0").select("doc_id", "n", "cls").join(named, "cls")
             .select("doc_id", "n", "component_id")
             .unionAll(sketched.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
-            .select(real.alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.col("component_id") != _NO_ID, F.col("component_id")).alias("component_id")))
+            .select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
