@@ -204,16 +204,14 @@ def _told_apart(sketched: DataFrame, names: Names) -> tuple[DataFrame, DataFrame
     return apart, _classes(apart, "classes-apart"), Names(frozenset(shared), names.bits)
 
 
-_PACKED = pa.schema([("bucket", pa.int32()), ("pairs", pa.binary())])
+_PACKED = pa.schema([("bucket", pa.int32()), ("sigs", pa.list_(pa.int64())), ("classes", pa.list_(pa.int64()))])
 #: Classes whose blocks a task remembers to have given, and pairs that it packs together.
 GIVEN_CLASSES = 1_000_000
 PACKED_PAIRS = 400_000
-#: Bytes of a signature inside its bucket, and of a class.
-_SIG, _CLS = 6, 8
 
 
 def _blocks(docs: DataFrame, rule: Rule, names: Names, buckets: int) -> DataFrame:
-    """(bucket, pairs): the blocks of every class, once per task that reads copies of it.
+    """(bucket, sigs, classes): the blocks of every class, once per task that reads copies of it.
 
     Pairs (signature, class) are packed by the bucket of their signature: as single rows they
     would take three times as much in the shuffle. Blocks are made from the texts again rather
@@ -241,39 +239,25 @@ def _blocks(docs: DataFrame, rule: Rule, names: Names, buckets: int) -> DataFram
         if size:
             yield _packed(held, buckets)
 
-    return docs.select("text").mapInArrow(block, "bucket int, pairs binary")
+    return docs.select("text").mapInArrow(block, "bucket int, sigs array<long>, classes array<long>")
 
 
 def _packed(held: list[tuple[np.ndarray, int]], buckets: int) -> pa.RecordBatch:
     sigs = np.concatenate([own for own, _ in held])
     classes = np.repeat(np.array([cls for _, cls in held], np.int64), [len(own) for own, _ in held])
-    bucket = ((sigs >> np.uint64(8 * _SIG)) % np.uint64(buckets)).astype(np.int32)
+    bucket = ((sigs >> np.uint64(48)) % np.uint64(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
-    pairs = np.empty((len(sigs), _SIG + _CLS), np.uint8)
-    pairs[:, :_SIG] = sigs[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_SIG]
-    pairs[:, _SIG:] = classes[order].astype("<i8").view(np.uint8).reshape(-1, _CLS)
     names, first = np.unique(bucket[order], return_index=True)
+    ends = pa.array(np.append(first, len(sigs)).astype(np.int32))
     return pa.RecordBatch.from_arrays(
-        [pa.array(names), pa.array([part.tobytes() for part in np.split(pairs, first[1:])], pa.binary())],
-        schema=_PACKED)
-
-
-_UNPACKED = pa.schema([("sig", pa.int64()), ("cls", pa.int64())])
+        [pa.array(names), pa.ListArray.from_arrays(ends, pa.array(sigs[order].astype(np.int64))),
+         pa.ListArray.from_arrays(ends, pa.array(classes[order]))], schema=_PACKED)
 
 
 def _unpacked(packed: DataFrame) -> DataFrame:
-    def unpack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            for bucket, pairs in zip(*batch.columns):
-                raw = np.frombuffer(pairs.as_py(), np.uint8).reshape(-1, _SIG + _CLS)
-                sigs = np.zeros((len(raw), 8), np.uint8)
-                sigs[:, :_SIG] = raw[:, :_SIG]
-                sigs = sigs.view("<i8").ravel() | (bucket.as_py() << 8 * _SIG)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sigs), pa.array(np.ascontiguousarray(raw[:, _SIG:]).view("<i8").ravel())],
-                    schema=_UNPACKED)
-
-    return packed.mapInArrow(unpack, "sig long, cls long")
+    """(sig, cls), without another Python worker beside the one that reads them."""
+    return (packed.select(F.posexplode("sigs").alias("at", "sig"), "classes")
+            .select("sig", F.get("classes", F.col("at")).alias("cls")))
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
