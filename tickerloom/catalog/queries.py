@@ -1014,6 +1014,14 @@ def _delivered_files(spark: SparkSession, sf: str, folder: str, periods: list[in
         feeds.trade_messages(part).coalesce(1).write.mode("append").parquet(folder)
 
 
+def _one_by_one(spark: SparkSession, sf: str, folder: str, run: Callable[[], None]) -> None:
+    """The three periods delivered in turn, each worked off before the next one comes: it is
+    one micro-batch, and the watermark it leaves holds for the next one's rows."""
+    for number in range(len(CUTS) + 1):
+        _delivered_files(spark, sf, folder, [number])
+        run()
+
+
 @query
 def keyed_messages(spark, sf):
     """Keys and payloads of captured messages, counted by key."""
@@ -1027,13 +1035,22 @@ def keyed_messages(spark, sf):
 
 @query
 def stream_late_windows(spark, sf):
-    """Hourly windows of delayed files: what was kept and what the watermark dropped."""
-    folder = scratch_path(spark, "messages")
-    _delivered_files(spark, sf, folder, [0, 1, 2])
-    live = trades.enrich(parse_trades(captured_messages(spark, folder, max_files_per_trigger=1)))
-    kept = _streamed(bars.windowed_vwap(live, "1 hour", "10 seconds"), "late")
+    """Hourly windows of delayed files: what was kept and what the watermark dropped.
+
+    The engine drops rows by the watermark that the micro-batch before began with. A run ends
+    with an empty micro-batch under its own watermark, so the next period meets that one.
+    """
+    folder, path, state = (scratch_path(spark, f"late-{x}") for x in ("messages", "out", "state"))
+
+    def run() -> None:
+        live = trades.enrich(parse_trades(captured_messages(spark, folder)))
+        streams.finish({"late": streams.write_stream(
+            bars.windowed_vwap(live, "1 hour", "10 seconds"), path, state, trigger=streams.AVAILABLE_NOW)})
+
+    _one_by_one(spark, sf, folder, run)
     everything = bars.windowed_vwap(
         trades.enrich(parse_trades(spark.read.parquet(folder))), "1 hour")
+    kept = spark.read.schema(everything.schema).parquet(path)
     return kept.join(
         everything.select("window_start", "ticker", F.col("trade_count").alias("sent")),
         ["window_start", "ticker"],
