@@ -7,6 +7,7 @@ import pytest
 
 from __spark_entry__ import oracle_sql, queries
 from tickerloom.catalog import feeds
+from tickerloom.catalog import queries as catalog
 
 
 @pytest.fixture(scope="module")
@@ -37,3 +38,19 @@ def equals_sql(spark, folder, name):
 
 def test_rows_held_back_from_an_hour_open_at_the_end_of_its_period_are_dropped(spark, table):
     equals_sql(spark, table, "stream_late_windows")
+
+
+def test_a_period_of_a_table_in_one_file_is_written_by_several_tasks(spark, table, tmp_path):
+    folder, key = str(tmp_path / "messages"), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        catalog._delivered_files(spark, table, folder, [1])
+    finally:
+        spark.conf.unset(key)
+    by_file = spark.read.parquet(folder).groupBy("_metadata.file_path").count().collect()
+    assert len(by_file) > 1
+    assert sum(row["count"] for row in by_file) == 480
+
+
+def test_late_rows_are_those_of_the_periods_before(spark, table):
+    equals_sql(spark, table, "late_rows_side_table")

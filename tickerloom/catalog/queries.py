@@ -1003,20 +1003,23 @@ def stream_reconcile_summary(spark, sf):
 
 
 def _delivered_files(spark: SparkSession, sf: str, folder: str, periods: list[int]) -> None:
-    """Message files, one per period in this order; every 50th event of the first period is
-    held back and comes with the third."""
+    """Message files of these periods, written in this order; every 50th event of the first
+    period is held back and comes with the third.
+
+    The messages of a period are dealt over tasks, however few files or row groups the table has.
+    """
     first, second = (F.col("ts") >= F.lit(cut).cast("timestamp") for cut in CUTS)
     period = first.cast("int") + second.cast("int")
     held_back = (period == 0) & (F.col("event_id") % 50 == 7)
     tagged = feeds.events(spark, sf).withColumn("_file", F.when(held_back, 2).otherwise(period))
     for number in periods:
         part = tagged.filter(F.col("_file") == number).drop("_file")
-        feeds.trade_messages(part).coalesce(1).write.mode("append").parquet(folder)
+        feeds.trade_messages(part.repartition("event_id")).write.mode("append").parquet(folder)
 
 
 def _one_by_one(spark: SparkSession, sf: str, folder: str, run: Callable[[], None]) -> None:
-    """The three periods delivered in turn, each worked off before the next one comes: it is
-    one micro-batch, and the watermark it leaves holds for the next one's rows."""
+    """The three periods delivered in turn, each worked off before the next one comes: its files
+    are one micro-batch, and the watermark it leaves holds for the next one's rows."""
     for number in range(len(CUTS) + 1):
         _delivered_files(spark, sf, folder, [number])
         run()
@@ -1061,11 +1064,13 @@ def stream_late_windows(spark, sf):
 @query
 def late_rows_side_table(spark, sf):
     """The same windows from the rows themselves: those accepted and those kept aside as late."""
-    folder = scratch_path(spark, "messages")
-    _delivered_files(spark, sf, folder, [0, 1, 2])
-    live = trades.enrich(parse_trades(captured_messages(spark, folder, max_files_per_trigger=1)))
-    path, state = (scratch_path(spark, f"late-{x}") for x in ("rows", "state"))
-    streams.finish({"late": late.split_late(live, path, state, "1 hour")})
+    folder, path, state = (scratch_path(spark, f"late-{x}") for x in ("messages", "rows", "state"))
+
+    def run() -> None:
+        live = trades.enrich(parse_trades(captured_messages(spark, folder)))
+        streams.finish({"late": late.split_late(live, path, state, "1 hour")})
+
+    _one_by_one(spark, sf, folder, run)
     rows = versioned.as_of(spark, path).filter("trade_id IS NOT NULL").withColumn(
         "window_start", measures.window_start(F.col("event_time"), "1 hour"))
     last = rows.agg(F.max("event_time") - F.expr("INTERVAL 10 SECONDS")).scalar()
