@@ -54,3 +54,21 @@ def test_a_period_of_a_table_in_one_file_is_written_by_several_tasks(spark, tabl
 
 def test_late_rows_are_those_of_the_periods_before(spark, table):
     equals_sql(spark, table, "late_rows_side_table")
+
+
+def test_restart_audit_reads_every_period_in_one_micro_batch(spark, table, monkeypatch):
+    """However many files the period has."""
+    batches, finish = [], catalog.streams.finish
+
+    def counted(started):
+        finish(started)
+        batches.extend(p["batchId"] for p in started["log"].recentProgress if p["numInputRows"])
+
+    monkeypatch.setattr(catalog.streams, "finish", counted)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        equals_sql(spark, table, "stream_restart_audit")
+    finally:
+        spark.conf.unset(key)
+    assert batches == [0, 1, 2]

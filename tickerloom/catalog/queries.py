@@ -1100,17 +1100,19 @@ def rollup_bars_1d(spark, sf):
 
 @query
 def stream_restart_audit(spark, sf):
-    """Two files, a stop, a third file, a restart from the same checkpoint; then the audit."""
+    """Two periods, each a micro-batch, a stop, a third one, a restart from the same checkpoint;
+    then the audit."""
     folder, path, state = (scratch_path(spark, f"restart-{x}") for x in ("in", "out", "state"))
 
     def run() -> None:
-        messages = captured_messages(spark, folder, max_files_per_trigger=1)
+        messages = captured_messages(spark, folder)
         log = trades.bronze(trades.enrich(parse_trades(messages)))
         streams.finish({"log": streams.write_stream(
             log, path, state, trigger=streams.AVAILABLE_NOW)})
 
-    _delivered_files(spark, sf, folder, [0, 1])
-    run()
+    for number in (0, 1):
+        _delivered_files(spark, sf, folder, [number])
+        run()
     before = materialize(spark.read.parquet(path).filter("trade_id IS NOT NULL"), "before")
     _delivered_files(spark, sf, folder, [2])
     run()
