@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -43,38 +44,56 @@ _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(
 _CHECK = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _by_hash(part: str, one_in: int) -> list[str]:
-    codes = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+def _by_hash(long: list[str], one_in: int) -> list[list[str]]:
+    """Every one of these parts cut where the hash of three characters of it says so."""
+    codes = np.frombuffer("".join(long).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     mixed = (codes[:-2] * _MIX[0] + codes[1:-1]) * _MIX[1] + codes[2:]
     mixed = (mixed ^ (mixed >> np.uint64(29))) * _MIX[2]
     ends = np.flatnonzero((mixed >> np.uint64(40)) % np.uint64(one_in) == 0) + 3
-    return [part[a:b] for a, b in pairwise([0, *ends.tolist(), len(part)]) if a < b]
+    borders = np.cumsum([0, *map(len, long)])
+    # Characters on both sides of a border are not next to each other in the text.
+    own = np.searchsorted(borders, ends, side="left") - 1
+    inside = ends - borders[own] >= 3
+    ends, own = (ends - borders[own])[inside], own[inside]
+    first = np.searchsorted(own, np.arange(len(long) + 1)).tolist()
+    ends = ends.tolist()
+    return [[part[a:b] for a, b in pairwise([0, *ends[first[n]:first[n + 1]], len(part)]) if a < b]
+            for n, part in enumerate(long)]
 
 
 def parts(text: str) -> list[str]:
     """Paragraph parts in order; together they are the whole text, but for blank ones."""
     short = len(text) <= SHORT_CHARS
-    found = [part for part in (_WORDS if short else _LINES).split(text) if part]
+    found = list(filter(None, (_WORDS if short else _LINES).split(text)))
     longest, one_in = UNBROKEN_SHORT if short else UNBROKEN
     if max(map(len, found), default=0) <= longest:
         return found
-    found = [own for part in found for own in (_by_hash(part, one_in) if len(part) > longest else (part,))]
-    # A text of one character has no such places: slices from where its part begins.
-    return [part[at:at + LONGEST_PART] for part in found for at in range(0, len(part), LONGEST_PART)]
+    cut = iter(_by_hash([part for part in found if len(part) > longest], one_in))
+    out: list[str] = []
+    for part in found:
+        if len(part) <= longest:
+            out.append(part)
+            continue
+        for piece in next(cut):
+            # A text of one character has no such places: slices from where its part begins.
+            if len(piece) <= LONGEST_PART:
+                out.append(piece)
+            else:
+                out.extend(piece[at:at + LONGEST_PART] for at in range(0, len(piece), LONGEST_PART))
+    return out
 
 
 def digests(text: str) -> np.ndarray:
     """Digest of every part; the n-th repeat of a part has a digest of its own."""
     own = parts(text)
-    if len(set(own)) == len(own):
-        return np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own))
-    seen: dict[str, int] = {}
-    found = []
-    for part in own:
-        n = seen[part] = seen.get(part, -1) + 1
-        found.append(xxhash.xxh3_64_intdigest(f"{n}\0{part}" if n else part))
+    once = dict.fromkeys(own)
+    found = np.fromiter(map(xxhash.xxh3_64_intdigest, once), np.uint64, len(once))
+    if len(once) == len(own):
+        return found
+    repeats = [xxhash.xxh3_64_intdigest(f"{n}\0{part}")
+               for part, copies in Counter(own).items() if copies > 1 for n in range(1, copies)]
     # A digest may stand in a sketch once only, or it would cancel itself out.
-    return np.unique(np.array(found, dtype=np.uint64))
+    return np.unique(np.concatenate([found, np.array(repeats, np.uint64)]))
 
 
 def _spread(keys: np.ndarray, salt: np.uint64) -> np.ndarray:
@@ -117,9 +136,10 @@ class Sketches:
                         & (self.checks[live] == _spread(self.keys[live], _CHECK))]
             if not len(pure):
                 break
-            # The same digest may be alone in several of its cells.
-            pairs = np.stack([owner_of[pure].astype(np.uint64), self.keys[pure]])
-            _, once = np.unique(pairs, axis=1, return_index=True)
+            # The same digest may be alone in several of its cells. One that shares this number
+            # with another sketch's is left for the next round.
+            number = self.keys[pure] ^ (owner_of[pure].astype(np.uint64) * _MIX[1])
+            _, once = np.unique(number, return_index=True)
             pure = pure[once]
             owner, key, sign = owner_of[pure], self.keys[pure].copy(), self.count[pure].copy()
             self.add(owner, key, -sign)
@@ -131,24 +151,54 @@ class Sketches:
         return join(owners, np.int64), join(keys, np.uint64), join(signs, np.int64), ~stuck
 
 
-def differences(old: list[np.ndarray], new: list[np.ndarray],
-                cells: int = CELLS) -> list[tuple[np.ndarray, np.ndarray]]:
+def sketched(version: list[np.ndarray], cells: int = CELLS) -> Sketches:
+    """Sketches of whole documents, all with the same number of cells."""
+    sketches = Sketches(np.full(len(version), cells, np.int64))
+    owner = np.repeat(np.arange(len(version)), [len(x) for x in version])
+    sketches.add(owner, np.concatenate([np.zeros(0, np.uint64), *version]), 1)
+    return sketches
+
+
+def subtracted(sketches: Sketches, old: np.ndarray, new: np.ndarray) -> Sketches:
+    """What is left of the sketches numbered ``old`` less those numbered ``new``, pair by pair."""
+    cells = int(sketches.sizes[0]) if len(sketches.sizes) else CELLS
+    left = Sketches(np.full(len(old), cells, np.int64))
+    take = lambda values, which: values.reshape(-1, cells)[which].ravel()
+    left.count = take(sketches.count, old) - take(sketches.count, new)
+    left.keys = take(sketches.keys, old) ^ take(sketches.keys, new)
+    left.checks = take(sketches.checks, old) ^ take(sketches.checks, new)
+    return left
+
+
+def _size(counts: np.ndarray) -> int:
+    """Cells for the digests that differ, estimated from the counts of a subtracted sketch.
+
+    In a third of m cells d digests with signs that sum to s give squares that sum to
+    d (1 - 1 / m) + s^2 / m on average.
+    """
+    thirds = counts.reshape(HASHES, -1).astype(np.float64)
+    m = thirds.shape[1]
+    differ = ((thirds ** 2).sum() / HASHES - thirds[0].sum() ** 2 / m) / (1 - 1 / m) if m > 1 else 0
+    wanted = max(2 * counts.size, 2 * differ, 2 * abs(int(thirds[0].sum())))
+    return -(-int(wanted) // HASHES) * HASHES
+
+
+def differences(old: list[np.ndarray], new: list[np.ndarray], cells: int = CELLS,
+                left: Sketches | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per pair of versions the digests only the old and only the new one has.
 
-    All pairs are peeled together; those that get stuck are tried again with twice the cells.
-    A sketch never needs to be larger than a few cells per digest, so this ends.
+    The first try takes what is ``left`` of the stored sketches. All pairs are peeled together;
+    those that get stuck are tried again, with as many cells as the counts let expect and from
+    then on with twice the cells. A sketch never needs to be larger than a few cells per digest,
+    so this ends.
     """
     found: list = [None] * len(old)
-    todo = [n for n in range(len(old)) if len(old[n]) or len(new[n])]
-    for n in set(range(len(old))) - set(todo):
-        found[n] = (np.zeros(0, np.uint64), np.zeros(0, np.uint64))
-    # The counts in two fingerprints already say how many parts differ at least.
-    sizes = {n: max(cells, -(-2 * abs(len(old[n]) - len(new[n])) // HASHES) * HASHES) for n in todo}
+    todo = list(range(len(old)))
+    sketches = left or subtracted(sketched([*old, *new], cells), np.arange(len(old)),
+                                  np.arange(len(old), 2 * len(old)))
+    first = sketches.count.reshape(len(old), -1).copy() if todo else sketches.count
+    sizes: dict[int, int] = {}
     while todo:
-        sketches = Sketches(np.array([sizes[n] for n in todo], np.int64))
-        for side, sign in ((old, 1), (new, -1)):
-            owner = np.repeat(np.arange(len(todo)), [len(side[n]) for n in todo])
-            sketches.add(owner, np.concatenate([side[n] for n in todo]), sign)
         owner, keys, signs, done = sketches.peel()
         order = np.argsort(owner, kind="stable")
         owner, keys, signs = owner[order], keys[order], signs[order]
@@ -158,16 +208,19 @@ def differences(old: list[np.ndarray], new: list[np.ndarray],
                 own, sign = keys[bounds[at]:bounds[at + 1]], signs[bounds[at]:bounds[at + 1]]
                 found[n] = (own[sign > 0], own[sign < 0])
         todo = [n for at, n in enumerate(todo) if not done[at]]
-        for n in todo:
-            sizes[n] *= 2
+        if todo:
+            for n in todo:
+                sizes[n] = 2 * sizes[n] if n in sizes else _size(first[n])
+            sketches = Sketches(np.array([sizes[n] for n in todo], np.int64))
+            for side, sign in ((old, 1), (new, -1)):
+                owner = np.repeat(np.arange(len(todo)), [len(side[n]) for n in todo])
+                sketches.add(owner, np.concatenate([side[n] for n in todo]), sign)
     return found
 
 
-def encoded(version: list[np.ndarray], cells: int = CELLS) -> list[str]:
+def encoded(version: list[np.ndarray], cells: int = CELLS, sketches: Sketches | None = None) -> list[str]:
     """The stored form: number of parts and cells, base64."""
-    sketches = Sketches(np.full(len(version), cells, np.int64))
-    owner = np.repeat(np.arange(len(version)), [len(x) for x in version])
-    sketches.add(owner, np.concatenate([np.zeros(0, np.uint64), *version]), 1)
+    sketches = sketches or sketched(version, cells)
     # A count is that of a plain sum; XORs fold to 32 bits of check each.
     count, checks = sketches.count.astype("<u4"), (sketches.checks >> np.uint64(32)).astype("<u4")
     out = []
@@ -179,10 +232,10 @@ def encoded(version: list[np.ndarray], cells: int = CELLS) -> list[str]:
     return out
 
 
-def likeness(old: list[np.ndarray], new: list[np.ndarray]) -> np.ndarray:
+def likeness(old: list[np.ndarray], new: list[np.ndarray], left: Sketches | None = None) -> np.ndarray:
     """Common parts over all parts of each pair, from the recovered differences; empty is like empty."""
     out = np.ones(len(old))
-    for n, (gone, come) in enumerate(differences(old, new)):
+    for n, (gone, come) in enumerate(differences(old, new, left=left)):
         common = len(old[n]) - len(gone)
         total = common + len(gone) + len(come)
         out[n] = common / total if total else 1.0
@@ -302,12 +355,19 @@ def _pairs(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, str]]:
 def _compared(block: list[tuple[int, str, str]]) -> Iterator[tuple]:
     changed = [edited(text, following) for _, text, following in block]
     own = [digests(text) for _, text, _ in block]
-    # Neighbours in a block follow each other, so most successors are known already.
-    after = [own[n + 1] if n + 1 < len(block) and block[n + 1][1] == row[2] else digests(row[2])
-             for n, row in enumerate(block)]
     new = [digests(text) for text in changed]
-    mine, theirs = encoded(own), encoded(new)
-    near_edited, near_next = likeness(own, new), likeness(own, after)
+    # Neighbours in a block follow each other, so most successors are known already.
+    every, following = [*own, *new], []
+    for n, row in enumerate(block):
+        known = n + 1 < len(block) and block[n + 1][1] == row[2]
+        following.append(n + 1 if known else len(every))
+        if not known:
+            every.append(digests(row[2]))
+    sketches, at = sketched(every), np.arange(len(block))
+    prints = encoded(every[:2 * len(block)], sketches=sketches)
+    mine, theirs = prints[:len(block)], prints[len(block):]
+    near_edited = likeness(own, new, subtracted(sketches, at, at + len(block)))
+    near_next = likeness(own, [every[n] for n in following], subtracted(sketches, at, np.array(following)))
     for n, (doc_id, text, _) in enumerate(block):
         yield (None if doc_id == _LOWEST else doc_id, len(text),
                hashlib.sha256(changed[n].encode()).hexdigest(), mine[n], theirs[n],
