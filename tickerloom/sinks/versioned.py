@@ -27,7 +27,10 @@ from tickerloom.sinks.storage import delete, get_text, names, put_text
 from tickerloom.sources.tables import TableMissing, read_table
 
 BATCH, GROUP = "batch_id", "batch_group"
+_PLACE = "_place"
 GROUP_SIZE = 1000
+# Rows that one task of a merge sorts.
+SORTED_ROWS = 1_000_000
 
 
 class SchemaMismatch(ValueError):
@@ -235,7 +238,8 @@ def merge_groups(spark: SparkSession, path: str, rows_per_file: int = 5_000_000)
 
     A group is whole when a batch of a later group exists. It is merged again when batches of it
     were written since. Files are sorted by batch, so that a reader of an old version skips row
-    groups. The new files count from the moment the list of groups is replaced, by one rename;
+    groups. A task sorts and writes one file, of about ``SORTED_ROWS`` rows at most; a batch with
+    more is dealt over several by the places of its rows. The new files count from the moment the list of groups is replaced, by one rename;
     what they were made of is deleted after that. One writer at a time, as for batches.
     """
     log, root = batch_log(spark, path), path.rstrip("/")
@@ -250,9 +254,11 @@ def merge_groups(spark: SparkSession, path: str, rows_per_file: int = 5_000_000)
         if before and not _written_since(spark, path, merged, [group]) or not before and not rows:
             continue
         folder = f"{GROUP}={group}-{uuid.uuid4().hex}"
+        number = max(1, -(-rows // min(rows_per_file, SORTED_ROWS)))
         (
             _rows(spark, path, group.__eq__)
-            .repartitionByRange(max(1, -(-rows // rows_per_file)), BATCH)
+            .withColumn(_PLACE, F.monotonically_increasing_id())
+            .repartitionByRange(number, BATCH, _PLACE).drop(_PLACE)
             .sortWithinPartitions(BATCH).write.parquet(f"{_merged_root(path)}/{folder}")
         )
         put_text(spark, f"{_merged_root(path)}/current.json", json.dumps(
